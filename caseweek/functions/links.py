@@ -17,19 +17,15 @@ from .messages import render
 
 # Java's String.trim(): every char up to U+0020 at either end.
 _EDGE_CTRL = r"^[\x00-\x20]+|[\x00-\x20]+\z"
-
-
-def _drop_suffix(text: Column, suffix: str) -> Column:
-    """Remove one trailing ``suffix`` if present."""
-    cut = text.substr(F.lit(1), F.length(text) - F.lit(len(suffix)))
-    return F.when(text.endswith(suffix), cut).otherwise(text)
+# One trailing ";" and then one trailing "/" (together: an optional "/" and
+# an optional ";" right at the end).
+_SUFFIX = r"/?;?\z"
+# Text after the last "/" that precedes the last "-", to the end.
+TAIL_RE = r"([^/]*-[^-]*)\z"
 
 
 def clean_tail(raw: Column) -> Column:
-    t = F.regexp_replace(raw, _EDGE_CTRL, "")
-    t = _drop_suffix(t, ";")
-    t = _drop_suffix(t, "/")
-    return F.upper(t)
+    return F.upper(F.regexp_replace(F.regexp_replace(raw, _EDGE_CTRL, ""), _SUFFIX, ""))
 
 
 def has_dash(link: Column) -> Column:
@@ -38,17 +34,13 @@ def has_dash(link: Column) -> Column:
 
 def link_tail(link: Column) -> Column:
     """Tail of a link (null when the link is null or holds no ``-``)."""
-    after_dash = F.substring_index(link, "-", -1)
-    before = link.substr(F.lit(1), F.length(link) - F.length(after_dash) - F.lit(1))
-    seg = F.substring_index(before, "/", -1)
-    return F.when(has_dash(link), clean_tail(F.concat(seg, F.lit("-"), after_dash)))
+    return F.when(has_dash(link), clean_tail(F.regexp_extract(link, TAIL_RE, 1)))
 
 
 def link_tail_backtrack(link: Column, n: int) -> Column:
     """Tail taken as the ``n`` characters before the last ``-`` onwards;
     null when fewer than ``n`` characters precede it."""
-    after_dash = F.substring_index(link, "-", -1)
-    dash0 = F.length(link) - F.length(after_dash) - F.lit(1)    # 0-based index
+    dash0 = F.length(link) - F.length(F.substring_index(link, "-", -1)) - F.lit(1)  # 0-based
     raw = link.substr(dash0 - F.lit(n) + F.lit(1), F.length(link))
     return F.when(has_dash(link) & (dash0 >= F.lit(n)), clean_tail(raw))
 
@@ -57,13 +49,16 @@ def _full(pattern: str) -> str:
     return rf"^{pattern}\z"
 
 
-def link_parts(link: Column, spec: LinkSpec, component: Column | None = None) -> dict[str, Column]:
+def link_parts(link: Column, spec: LinkSpec, component: Column | None = None,
+               tail: Column | None = None) -> dict[str, Column]:
     """Id, findings array and helper columns for one link column.
 
-    Returns ``id`` (int), ``present`` (the id text exists, before the int
-    cast) and ``findings`` (array<struct<code, message>>, nulls removed).
+    ``tail`` may be a column already holding ``link_tail(link)`` (computed
+    once in an earlier projection). Returns ``id`` (int), ``present`` (the
+    id text exists, before the int cast) and ``findings``
+    (array<struct<code, message>>, nulls removed).
     """
-    tail = link_tail(link)
+    tail = link_tail(link) if tail is None else tail
     full = _full(spec.pattern)
     matched = tail.rlike(full)
     digits = F.regexp_extract(tail, full, spec.id_group)

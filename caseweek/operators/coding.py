@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (account_id, environment_id, link_parts, parse_case_timestamp,
+from ..functions import (account_id, environment_id, link_parts, link_tail, parse_case_timestamp,
                          render, resolution_minutes, severity_code, status_code,
                          week_partition_columns)
 from ..specs import LINKS, RULES, SURROGATE_DIMENSIONS, DimensionSpec, RuleSpec
@@ -19,6 +19,10 @@ def natural_key(spec: DimensionSpec) -> Column:
     return F.coalesce(c, F.lit(spec.null_member)) if spec.null_member is not None else c
 
 
+def tail_column(link: str) -> str:
+    return f"_tail_{link}"
+
+
 def key_column(spec: DimensionSpec) -> str:
     return f"_nk_{spec.name}"
 
@@ -47,16 +51,22 @@ def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
     ids), one natural-key column per surrogate dimension, the partition
     columns ``year``/``week`` and ``findings`` (array<struct<code, message>>).
     """
+    # Stage 1: the costly texts (link tails, open time) once per row; the
+    # optimizer keeps this projection apart because its outputs are reused.
+    staged = extract.select(
+        "*", parse_case_timestamp(F.col("dateOpen"), as_of).alias("_opened"),
+        *[link_tail(F.col(s.column)).alias(tail_column(s.column)) for s in LINKS])
     severity = severity_code(F.col("severity"))
     status = status_code(F.col("status"))
-    opened = parse_case_timestamp(F.col("dateOpen"), as_of)
-    links = {s.column: link_parts(F.col(s.column), s, F.col("component")) for s in LINKS}
+    opened = F.col("_opened")
+    links = {s.column: link_parts(F.col(s.column), s, F.col("component"), F.col(tail_column(s.column)))
+             for s in LINKS}
     rule = rule_finding(F.col("rootcause"), severity, status,
                         {k: v["present"] for k, v in links.items()})
     findings = F.concat(F.filter(F.array(rule), lambda e: e.isNotNull()),
                         *[links[s.column]["findings"] for s in LINKS])
     part = week_partition_columns(opened, as_of)
-    return extract.select(
+    return staged.select(
         severity.alias("severity"),
         F.col("caseNum"),
         status.alias("status"),

@@ -38,7 +38,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
 def write_staging(df: DataFrame, path: str, sep: str) -> None:
     """Delimited staging text ``(name, ID)`` with a header line."""
     (df.select(F.col("name").cast("string"), F.col("ID").cast("string"))
-     .write.mode("overwrite").option("header", True).option("sep", sep).csv(path))
+     .write.mode("overwrite").option("header", True).option("sep", sep)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def write_findings(findings: DataFrame, path: str, fmt: str = "orc") -> None:

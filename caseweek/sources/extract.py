@@ -37,4 +37,6 @@ def read_extract(spark: SparkSession, path: str, sep: str = ",",
 def write_extract(raw: DataFrame, path: str, sep: str = ",") -> None:
     """Write header-named extract rows as delimited text with a header line."""
     (raw.select(*[F.col(f"`{h}`") for h, _, _ in EXTRACT_LAYOUT])
-     .write.mode("overwrite").option("header", True).option("sep", sep).csv(path))
+     .write.mode("overwrite").option("header", True).option("sep", sep)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))

@@ -108,3 +108,30 @@ def raw_extract(spark: SparkSession, sf_dir: str, batch: str = "all") -> DataFra
         raise ValueError(batch)
     customer = table(spark, sf_dir, "customer")
     return _raw_extract(orders, customer, revised=(batch == "new"))
+
+
+def side_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Automation-style side rows from ``events``; the case number is twice
+    the event id, so only some of them point at an existing case."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        (F.col("event_id") * 2).cast("int").alias("CaseNum"),
+        F.concat(F.lit("user-"), _s(F.col("user_id"))).alias("Case_Owner"),
+        F.col("event_type").alias("Description"),
+        (F.col("value") > F.lit(50.0)).alias("Actionable"),
+        F.col("props").alias("JIRA"),
+        F.col("event_type").alias("status"))
+
+
+def smartsense_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SmartSense-style rows from ``events``; priority 1-4 by hour of day."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        (F.col("event_id") * 2).cast("int").alias("CaseNum"),
+        F.col("event_type").alias("Existing_Rule"),
+        F.col("props").alias("Suggestion"),
+        F.concat(F.lit("user-"), _s(F.col("user_id"))).alias("Suggestion_Owner"),
+        F.lit(None).cast("string").alias("Reviewed_By"),
+        F.concat(F.lit("EV-"), _s(F.col("event_id"))).alias("JIRA"),
+        F.col("event_type").alias("status"),
+        (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("Priority"))
