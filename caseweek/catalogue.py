@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from . import testbed
 from .functions import (account_id, environment_id, link_parts, link_tail, link_tail_backtrack,
-                        parse_case_timestamp, resolution_minutes, severity_code, status_code,
-                        week_partition_columns)
+                        resolution_minutes, severity_code, status_code, week_partition_columns,
+                        with_case_timestamps)
 from .operators import (account_changes, batch_accounts, batch_members, batch_profile, code_cases,
                         dense_ids, duplicate_keys, explode_findings, findings_case_count,
                         findings_report, lookup_ids, merge_surrogates, new_members, orphan_rows,
@@ -71,9 +71,8 @@ def severity_status_codes(spark, sf):
 
 def case_timestamps(spark, sf):
     """open/close timestamps from the two layouts."""
-    return _x(spark, sf).select("caseNum",
-                                parse_case_timestamp(F.col("dateOpen"), AS_OF).alias("dateOpen"),
-                                parse_case_timestamp(F.col("dateClose"), AS_OF).alias("dateClose"))
+    x = _x(spark, sf).select("caseNum", F.col("dateOpen").alias("_o"), F.col("dateClose").alias("_c"))
+    return with_case_timestamps(x, {"dateOpen": "_o", "dateClose": "_c"}, AS_OF).drop("_o", "_c")
 
 
 def account_env_ids(spark, sf):
@@ -120,8 +119,8 @@ def resolution_minutes_q(spark, sf):
 def week_partition(spark, sf):
     """(week-year, Friday label) of case open dates (as_of when
     missing), event times and line-item ship dates."""
-    x = _x(spark, sf)
-    opened = parse_case_timestamp(F.col("dateOpen"), AS_OF)
+    x = with_case_timestamps(_x(spark, sf), {"_opened": "dateOpen"}, AS_OF)
+    opened = F.col("_opened")
 
     def part(df, source, key, ts):
         w = week_partition_columns(ts, AS_OF)

@@ -7,11 +7,17 @@ field takes exactly its pattern width, other fields take all digits, and
 trailing text (``.000``, ``:00 AM``) is ignored. A two-digit year is placed in
 the 100-year window that starts 80 years before ``as_of``; any other year is
 taken literally. Out-of-range fields give null instead of rolling over.
+
+For wide projections use the two-step form: ``timestamp_parts`` (one
+projection holding the digit groups as columns) then
+``timestamp_from_parts`` (cheap assembly), so every regex runs once per row.
+``parse_case_timestamp`` is the one-expression form of the same rule.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,44 +30,75 @@ COMPACT_RE = (rf"^{_WS}(\d{{4}}){_WS}(\d{{2}}){_WS}(\d+) {_WS}(\d{{2}}){_WS}(\d{
 # MM / dd / yy ' ' HH : mm, every field free width
 SLASHED_RE = rf"^{_WS}(\d+)/{_WS}(\d+)/{_WS}(\d+) {_WS}(\d+):{_WS}(\d+)"
 
+# part name -> (pattern, group); "yl" is the length of the slashed year text
+_PARTS = {**{f"c{i}": (COMPACT_RE, i) for i in range(1, 7)},
+          **{f"s{i}": (SLASHED_RE, i) for i in range(1, 6)}}
 
-def century_window(as_of: _dt.date) -> tuple[int, int]:
-    """(century base, start key yyyymmddHHMMSS) of the two-digit-year window."""
+
+def window_start(as_of: _dt.date) -> _dt.date:
     try:
-        start = as_of.replace(year=as_of.year - TWO_DIGIT_YEAR_WINDOW_BACK)
+        return as_of.replace(year=as_of.year - TWO_DIGIT_YEAR_WINDOW_BACK)
     except ValueError:          # 29 February -> 28 February
-        start = as_of.replace(year=as_of.year - TWO_DIGIT_YEAR_WINDOW_BACK, day=28)
-    base = (start.year // 100) * 100
-    key = int(start.strftime("%Y%m%d")) * 1_000_000
-    return base, key
+        return as_of.replace(year=as_of.year - TWO_DIGIT_YEAR_WINDOW_BACK, day=28)
+
+
+def century_window(as_of: _dt.date) -> tuple[int, int]:
+    """(century base, start key yyyymmddHHMMSS) of the two-digit-year window."""
+    start = window_start(as_of)
+    return (start.year // 100) * 100, int(start.strftime("%Y%m%d")) * 1_000_000
 
 
-def _field(text: Column, pattern: str, idx: int) -> Column:
+def _part(text: Column, name: str) -> Column:
+    if name == "yl":
+        return F.length(F.regexp_extract(text, SLASHED_RE, 3))
+    pattern, idx = _PARTS[name]
     # int first: an over-long digit run becomes null instead of overflowing later
-    return F.regexp_extract(text, pattern, idx).try_cast("int").cast("long")
+    return F.regexp_extract(text, pattern, idx).try_cast("int")
 
 
-def _checked(y, mo, d, h, mi, s) -> Column:
-    ok = (mo.between(1, 12) & h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
-          & y.between(1, 9999))
-    return F.when(ok, F.try_make_timestamp_ntz(y.cast("int"), mo.cast("int"), d.cast("int"),
-                                               h.cast("int"), mi.cast("int"), s.cast("int")))
+def _assemble(get: Callable[[str], Column], as_of: _dt.date) -> Column:
+    def make(y, mo, d, h, mi, s):
+        # the try_ form gives null for a bad month, day, hour or minute;
+        # second 60 (which it would roll over) and year 0 are refused here
+        return F.when((s < F.lit(60)) & (y >= F.lit(1)),
+                      F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
+
+    compact = make(*(get(f"c{i}") for i in range(1, 7)))
+    start = F.lit(window_start(as_of).isoformat() + " 00:00:00").cast("timestamp_ntz")
+    base = century_window(as_of)[0]
+    mo, d, yy, h, mi = (get(f"s{i}") for i in range(1, 6))
+    zero = F.lit(0)
+    low = make(F.lit(base) + yy, mo, d, h, mi, zero)
+    high = make(F.lit(base + 100) + yy, mo, d, h, mi, zero)
+    # Two-digit year: the window's century unless that falls before the start.
+    two_digit = F.when(low >= start, low).otherwise(high)
+    slashed = F.when(get("yl") == F.lit(2), two_digit).otherwise(make(yy, mo, d, h, mi, zero))
+    return F.coalesce(compact, slashed)
+
+
+def timestamp_parts(text: Column, prefix: str) -> list[Column]:
+    """Digit groups of both layouts as columns named ``{prefix}_<part>``."""
+    return [_part(text, n).alias(f"{prefix}_{n}") for n in [*_PARTS, "yl"]]
+
+
+def timestamp_part_names(prefix: str) -> list[str]:
+    return [f"{prefix}_{n}" for n in [*_PARTS, "yl"]]
+
+
+def timestamp_from_parts(prefix: str, as_of: _dt.date) -> Column:
+    """Timestamp from the columns made by ``timestamp_parts(..., prefix)``."""
+    return _assemble(lambda n: F.col(f"{prefix}_{n}"), as_of)
 
 
 def parse_case_timestamp(text: Column, as_of: _dt.date) -> Column:
-    """Parse an extract date/time text; null when no layout matches."""
-    y, mo, d, h, mi, s = (_field(text, COMPACT_RE, i) for i in range(1, 7))
-    compact = _checked(y, mo, d, h, mi, s)
-
-    base, start_key = century_window(as_of)
-    yy_txt = F.regexp_extract(text, SLASHED_RE, 3)
-    mo2, d2, yy, h2, mi2 = (_field(text, SLASHED_RE, i) for i in (1, 2, 3, 4, 5))
-    # Two-digit year: first try the window's century, move on by 100 years
-    # when that instant falls before the window start.
-    y_low = F.lit(base) + yy
-    key = (y_low * F.lit(10_000_000_000) + mo2 * F.lit(100_000_000) + d2 * F.lit(1_000_000)
-           + h2 * F.lit(10_000) + mi2 * F.lit(100))
-    y_two = F.when(key < F.lit(start_key), y_low + F.lit(100)).otherwise(y_low)
-    y2 = F.when(F.length(yy_txt) == 2, y_two).otherwise(yy)
-    slashed = _checked(y2, mo2, d2, h2, mi2, F.lit(0))
-    return F.coalesce(compact, slashed)
+    """Parse an extract date/time text in one expression; null when no layout matches."""
+    return _assemble(lambda n: _part(text, n), as_of)
+
+
+def with_case_timestamps(df, columns: dict[str, str], as_of: _dt.date):
+    """Add parsed timestamps ``{out: text column}`` in two projections."""
+    parts = [c for i, text in enumerate(columns.values())
+             for c in timestamp_parts(F.col(text), f"_tsp{i}")]
+    staged = df.select("*", *parts)
+    outs = [timestamp_from_parts(f"_tsp{i}", as_of).alias(out) for i, out in enumerate(columns)]
+    return staged.select(*[F.col(f"`{c}`") for c in df.columns], *outs)

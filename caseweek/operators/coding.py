@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (account_id, environment_id, link_parts, link_tail, parse_case_timestamp,
+from ..functions import (account_id, environment_id, link_parts, link_tail, with_case_timestamps,
                          render, resolution_minutes, severity_code, status_code,
                          week_partition_columns)
 from ..specs import LINKS, RULES, SURROGATE_DIMENSIONS, DimensionSpec, RuleSpec
@@ -51,11 +51,12 @@ def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
     ids), one natural-key column per surrogate dimension, the partition
     columns ``year``/``week`` and ``findings`` (array<struct<code, message>>).
     """
-    # Stage 1: the costly texts (link tails, open time) once per row; the
-    # optimizer keeps this projection apart because its outputs are reused.
-    staged = extract.select(
-        "*", parse_case_timestamp(F.col("dateOpen"), as_of).alias("_opened"),
-        *[link_tail(F.col(s.column)).alias(tail_column(s.column)) for s in LINKS])
+    # Stages 1-2: the costly texts (timestamp digit groups, link tails) once
+    # per row; the optimizer keeps these projections apart because their
+    # outputs are used several times.
+    staged = with_case_timestamps(
+        extract.select("*", *[link_tail(F.col(s.column)).alias(tail_column(s.column)) for s in LINKS]),
+        {"_opened": "dateOpen", "_closed": "dateClose"}, as_of)
     severity = severity_code(F.col("severity"))
     status = status_code(F.col("status"))
     opened = F.col("_opened")
@@ -71,7 +72,7 @@ def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
         F.col("caseNum"),
         status.alias("status"),
         opened.alias("dateOpen"),
-        parse_case_timestamp(F.col("dateClose"), as_of).alias("dateClose"),
+        F.col("_closed").alias("dateClose"),
         account_id(F.col("accountID")).alias("accountID"),
         *[links[s.column]["id"].alias(s.column) for s in LINKS],
         environment_id(F.col("Env")).alias("Env"),

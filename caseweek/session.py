@@ -73,3 +73,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Hint a broadcast only after counting that ``df`` fits the bound."""
     n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin a plain file scan that yields fewer partitions than the
+    cluster has cores (one small extract file is one split), so the
+    CPU-heavy row coding uses every core. A large input already splits into
+    many partitions and is returned unchanged (no shuffle). Call it on scans
+    only: counting partitions of a scan plans it but runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EXTRACT_FIELDS, EXTRACT_LAYOUT, EXTRACT_SCHEMA
+from ..session import spread
 
 _FIELD_OF = {field: header for header, _, field in EXTRACT_LAYOUT}
 
@@ -31,7 +32,7 @@ def read_extract(spark: SparkSession, path: str, sep: str = ",",
     ``check_header=True`` makes Spark compare the header line with the
     layout's names instead of only skipping it.
     """
-    return extract_fields(extract_reader(spark, sep, check_header).csv(path))
+    return extract_fields(spread(extract_reader(spark, sep, check_header).csv(path)))
 
 
 def write_extract(raw: DataFrame, path: str, sep: str = ",") -> None:

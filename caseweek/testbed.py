@@ -19,6 +19,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import spread
+
 LINK_BASE = "https://issues.example.org/browse/"
 ROOT_CAUSES = ["Undetermined at this time", "Working as Designed", "Use Case Advice",
                "Documentation Defect", "System Limitation", "No Customer Response",
@@ -99,7 +101,7 @@ def _raw_extract(orders: DataFrame, customer: DataFrame, revised: bool) -> DataF
 
 def raw_extract(spark: SparkSession, sf_dir: str, batch: str = "all") -> DataFrame:
     """Header-named extract rows: ``batch`` is ``all``, ``old`` or ``new``."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     if batch == "old":
         orders = orders.where(F.col("o_orderdate") < F.lit(OLD_BEFORE))
     elif batch == "new":
