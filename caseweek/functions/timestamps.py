@@ -30,9 +30,7 @@ COMPACT_RE = (rf"^{_WS}(\d{{4}}){_WS}(\d{{2}}){_WS}(\d+) {_WS}(\d{{2}}){_WS}(\d{
 # MM / dd / yy ' ' HH : mm, every field free width
 SLASHED_RE = rf"^{_WS}(\d+)/{_WS}(\d+)/{_WS}(\d+) {_WS}(\d+):{_WS}(\d+)"
 
-# part name -> (pattern, group); "yl" is the length of the slashed year text
-_PARTS = {**{f"c{i}": (COMPACT_RE, i) for i in range(1, 7)},
-          **{f"s{i}": (SLASHED_RE, i) for i in range(1, 6)}}
+_LAYOUTS = {"c": (COMPACT_RE, 6), "s": (SLASHED_RE, 5)}
 
 
 def window_start(as_of: _dt.date) -> _dt.date:
@@ -48,12 +46,26 @@ def century_window(as_of: _dt.date) -> tuple[int, int]:
     return (start.year // 100) * 100, int(start.strftime("%Y%m%d")) * 1_000_000
 
 
-def _part(text: Column, name: str) -> Column:
-    if name == "yl":
-        return F.length(F.regexp_extract(text, SLASHED_RE, 3))
-    pattern, idx = _PARTS[name]
-    # int first: an over-long digit run becomes null instead of overflowing later
-    return F.regexp_extract(text, pattern, idx).try_cast("int")
+def _groups(text: Column, layout: str) -> Column:
+    """All digit groups of one layout as array<string>, null when it does not match.
+
+    One guard and one rewrite per layout instead of one regex run per group:
+    the matched prefix (and the rest of the text) is replaced by the groups
+    joined with commas, then split on the comma.
+    """
+    pattern, n = _LAYOUTS[layout]
+    joined = ",".join(f"${i}" for i in range(1, n + 1))
+    return F.when(text.rlike(pattern),
+                  F.split(F.regexp_replace(text, "(?s)" + pattern + ".*", joined), ","))
+
+
+def _getter(arrays: Callable[[str], Column]) -> Callable[[str], Column]:
+    def get(name: str) -> Column:
+        if name == "yl":
+            return F.length(arrays("s").getItem(2))
+        # int first: an over-long digit run becomes null instead of overflowing later
+        return arrays(name[0]).getItem(int(name[1:]) - 1).try_cast("int")
+    return get
 
 
 def _assemble(get: Callable[[str], Column], as_of: _dt.date) -> Column:
@@ -77,22 +89,18 @@ def _assemble(get: Callable[[str], Column], as_of: _dt.date) -> Column:
 
 
 def timestamp_parts(text: Column, prefix: str) -> list[Column]:
-    """Digit groups of both layouts as columns named ``{prefix}_<part>``."""
-    return [_part(text, n).alias(f"{prefix}_{n}") for n in [*_PARTS, "yl"]]
-
-
-def timestamp_part_names(prefix: str) -> list[str]:
-    return [f"{prefix}_{n}" for n in [*_PARTS, "yl"]]
+    """Digit groups of both layouts as array columns ``{prefix}_c`` / ``{prefix}_s``."""
+    return [_groups(text, k).alias(f"{prefix}_{k}") for k in _LAYOUTS]
 
 
 def timestamp_from_parts(prefix: str, as_of: _dt.date) -> Column:
     """Timestamp from the columns made by ``timestamp_parts(..., prefix)``."""
-    return _assemble(lambda n: F.col(f"{prefix}_{n}"), as_of)
+    return _assemble(_getter(lambda k: F.col(f"{prefix}_{k}")), as_of)
 
 
 def parse_case_timestamp(text: Column, as_of: _dt.date) -> Column:
     """Parse an extract date/time text in one expression; null when no layout matches."""
-    return _assemble(lambda n: _part(text, n), as_of)
+    return _assemble(_getter(lambda k: _groups(text, k)), as_of)
 
 
 def with_case_timestamps(df, columns: dict[str, str], as_of: _dt.date):

@@ -6,7 +6,7 @@ Surrogate dimensions are handled together in a *long* form
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import account_id
@@ -14,9 +14,6 @@ from ..session import pin
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 from .coding import natural_key
 
-_LOW33 = (1 << 33) - 1
-
-
 def batch_members(extract: DataFrame,
                   specs: list[DimensionSpec] = SURROGATE_DIMENSIONS) -> DataFrame:
     """Distinct ``(dimension, member)`` of a batch, all dimensions in one pass.
@@ -43,46 +40,53 @@ def max_ids(current: DataFrame) -> DataFrame:
     return current.groupBy("dimension").agg(F.max("id").alias("_base"))
 
 
-def dense_ids(keys: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def dense_ids(keys: DataFrame, base: DataFrame | None = None,
+              sizes: dict[str, int] | None = None) -> DataFrame:
     """Number distinct ``(dimension, member)`` keys 1, 2, ... per dimension,
     in member order (nulls first), after the dimension's ``base`` id.
 
     Equal to ``base + row_number() OVER (PARTITION BY dimension ORDER BY
     member)`` without funnelling a dimension through one task: the keys are
     range-partitioned and sorted, each row gets its position inside its
-    partition, and a per-(partition, dimension) count table - at most
-    partitions x dimensions rows - yields every partition's starting offset.
-    The sorted, positioned keys are checkpointed once so both passes see the
-    same partitioning.
+    partition, and the row counts per (partition, dimension) give every
+    partition its starting offset (the same scheme as ``zipWithIndex``).
+    The positioned keys are checkpointed once, so the offsets and the ids
+    see the same partitioning even if an executor is lost. Only the offset
+    table - at most (range partitions x dimensions) rows - and the per-
+    dimension max ids travel to the driver and back as a broadcast. When
+    ``sizes`` is given it receives the number of keys per dimension.
     """
+    spark = keys.sparkSession
     ranged = (keys.repartitionByRange("dimension", "member")
               .sortWithinPartitions("dimension", "member")
               .withColumn("_pos", F.monotonically_increasing_id()))
     tagged = pin(ranged).withColumn("_pid", F.shiftright("_pos", 33))
-    stats = tagged.groupBy("_pid", "dimension").agg(F.count(F.lit(1)).alias("_n"),
-                                                     F.min("_pos").alias("_first"))
-    before = Window.partitionBy("dimension").orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    if base is not None:
-        stats = stats.join(base, "dimension", "left")
-        start = F.coalesce(F.col("_base"), F.lit(0))
-    else:
-        start = F.lit(0)
-    offsets = stats.select("_pid", "dimension",
-                           (F.col("_before") + start - F.col("_first")).alias("_shift"))
-    # offsets: at most (range partitions x dimensions) rows -> bounded broadcast
-    return (tagged.join(F.broadcast(offsets), ["_pid", "dimension"])
+    stats = (tagged.groupBy("_pid", "dimension")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first")).collect())
+    start = {} if base is None else {r["dimension"]: r["_base"] or 0 for r in base.collect()}
+    seen: dict[str, int] = {}
+    offsets = []
+    for r in sorted(stats, key=lambda r: (r["dimension"], r["_pid"])):
+        before = seen.get(r["dimension"], 0)
+        offsets.append((r["_pid"], r["dimension"], start.get(r["dimension"], 0) + before - r["first"]))
+        seen[r["dimension"]] = before + r["n"]
+    if sizes is not None:
+        sizes.update(seen)
+    shift = spark.createDataFrame(offsets, "_pid long, dimension string, _shift long")
+    return (tagged.join(F.broadcast(shift), ["_pid", "dimension"])
             .select("dimension", "member",
                     (F.col("_pos") + F.col("_shift") + F.lit(1)).cast("int").alias("id")))
 
 
-def merge_surrogates(current: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def merge_surrogates(current: DataFrame, members: DataFrame,
+                     sizes: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Keep every existing id; give new members max+1, max+2, ... per dimension.
 
-    Returns ``(merged, added)`` in long form.
+    Returns ``(merged, added)`` in long form; ``added`` is pinned, so it
+    stays the same even after the dimension tables are appended to.
+    ``sizes`` (optional) receives the number of added members per dimension.
     """
-    added = dense_ids(new_members(members, current), max_ids(current))
+    added = dense_ids(new_members(members, current), max_ids(current), sizes)
     merged = current.select("dimension", "member", "id").unionByName(added)
     return merged, added
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_COLUMNS, PARTITION_COLUMNS
-from ..session import bounded_broadcast
+from ..session import fits_broadcast
 from ..specs import LOOKUP_MISS_ID, SURROGATE_DIMENSIONS, DimensionSpec
 from .coding import key_column
 
@@ -16,17 +16,18 @@ def lookup_ids(coded: DataFrame, dims_long: DataFrame,
                broadcast_check: bool = True) -> DataFrame:
     """Replace each natural key with its dimension id; absent keys get -1.
 
-    Equi-joins are null-safe (null is a member). Each dimension side is
-    broadcast only after its row count is checked against the bound; a
-    larger one is left to a shuffle join (AQE splits skewed keys).
+    Equi-joins are null-safe (null is a member). The dimension sides are
+    broadcast only after one count shows all of them together fit the
+    bound; larger ones are left to shuffle joins (AQE splits skewed keys).
     """
     out = coded
+    small = broadcast_check and fits_broadcast(dims_long)
     for spec in specs:
         dk = f"_dk_{spec.name}"
         dim = (dims_long.where(F.col("dimension") == F.lit(spec.name))
                .select(F.col("member").alias(dk), F.col("id").alias(spec.fact_column)))
-        if broadcast_check:
-            dim = bounded_broadcast(dim)
+        if small:
+            dim = F.broadcast(dim)
         out = (out.join(dim, out[key_column(spec)].eqNullSafe(dim[dk]), "left")
                .drop(dk, key_column(spec))
                .withColumn(spec.fact_column,

@@ -12,7 +12,7 @@ def touched_partitions(facts: DataFrame) -> DataFrame:
     return facts.select(*PARTITION_COLUMNS).distinct()
 
 
-def merge_partitions(current: DataFrame, batch: DataFrame) -> DataFrame:
+def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False) -> DataFrame:
     """New contents of every partition the batch touches.
 
     ``current`` is the existing fact table (any superset of the touched
@@ -20,10 +20,12 @@ def merge_partitions(current: DataFrame, batch: DataFrame) -> DataFrame:
     batch carries its case number for that partition; all batch rows are
     added (batch duplicates kept). Untouched partitions are not in the
     result, so a dynamic-partition overwrite leaves them as they are.
+    ``scoped=True`` says ``current`` already holds only touched partitions
+    (e.g. from ``read_partitions``), which skips a second semi join.
     """
-    touched = touched_partitions(batch)
-    scoped = current.join(touched, PARTITION_COLUMNS, "left_semi")
+    if not scoped:
+        current = current.join(touched_partitions(batch), PARTITION_COLUMNS, "left_semi")
     replaced = batch.select(*PARTITION_COLUMNS, "caseNum").distinct()
-    survivors = scoped.join(replaced, [*PARTITION_COLUMNS, "caseNum"], "left_anti")
+    survivors = current.join(replaced, [*PARTITION_COLUMNS, "caseNum"], "left_anti")
     cols = [*FACT_COLUMNS, *PARTITION_COLUMNS]
     return survivors.select(*cols).unionByName(batch.select(*cols))

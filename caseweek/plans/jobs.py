@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from ..operators import (account_changes, batch_accounts, batch_members, code_cases,
                          explode_findings, from_long, lookup_ids, merge_partitions,
-                         merge_surrogates, to_facts, to_long, upsert_accounts)
+                         merge_surrogates, to_facts, to_long, touched_partitions,
+                         upsert_accounts)
 from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
 from ..session import pin
-from ..sinks import write_facts, write_findings, write_table
-from ..sources import read_dimension, read_extract, read_facts
+from ..sinks import append_table, write_facts, write_findings, write_table
+from ..sources import read_dimension, read_extract, read_partitions
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 
 
@@ -63,7 +64,7 @@ def read_accounts(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 @dataclass
 class DimensionUpdate:
-    surrogates: DataFrame        # merged long form, lineage cut
+    surrogates: DataFrame        # stored surrogate dimensions after the update, long form
     accounts: DataFrame          # merged account dimension, lineage cut
     added: dict[str, int]        # new members per surrogate dimension
     account_changes: int         # new or renamed accounts
@@ -71,24 +72,26 @@ class DimensionUpdate:
 
 def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame) -> DimensionUpdate:
     """Add the batch's new members (dense ids after the current max) and
-    upsert account names; rewrite only the dimension tables that changed.
-    Dimensions are written before any fact row, as a reload relies on it."""
-    current = read_surrogates(spark, wh)
-    merged, added = merge_surrogates(current, batch_members(extract))
-    merged = pin(merged)        # cut lineage: the tables read above get overwritten
-    # at most one row per dimension; taken before any table is rewritten
-    counts = {r["dimension"]: r["count"] for r in added.groupBy("dimension").count().collect()}
+    upsert account names; write only the dimension tables that changed.
+
+    Surrogate dimensions only grow and existing ids never change, so their
+    new members are appended; the account dimension (names change in place)
+    is rewritten from a checkpoint. Dimensions are written before any fact
+    row, as a reload relies on it.
+    """
+    added_sizes: dict[str, int] = {}
+    _, added = merge_surrogates(read_surrogates(spark, wh), batch_members(extract), added_sizes)
     for spec in SURROGATE_DIMENSIONS:
-        if counts.get(spec.name, 0) > 0:
-            write_table(from_long(merged, spec), wh.dimension(spec.name), wh.fmt)
+        if added_sizes.get(spec.name, 0) > 0:
+            append_table(from_long(added, spec), wh.dimension(spec.name), wh.fmt)
 
     accounts_now = read_accounts(spark, wh)
     batch = batch_accounts(extract)
     changed = account_changes(accounts_now, batch).count()
-    accounts = pin(upsert_accounts(accounts_now, batch))
+    accounts = pin(upsert_accounts(accounts_now, batch))   # the table read above gets rewritten
     if changed > 0:
         write_table(accounts, wh.dimension("account"), wh.fmt)
-    return DimensionUpdate(merged, accounts, counts, changed)
+    return DimensionUpdate(read_surrogates(spark, wh), accounts, added_sizes, changed)
 
 
 def batch_facts(extract: DataFrame, surrogates: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
@@ -104,11 +107,15 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     week partition is the key)."""
     as_of = as_of or _dt.date.today()
     extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    coded = None
     try:
         dims = maintain_dimensions(spark, wh, extract)
-        facts, findings = batch_facts(extract, dims.surrogates, as_of)
+        # coded rows feed both the fact and the findings write: code once
+        coded = code_cases(extract, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+        facts, findings = to_facts(lookup_ids(coded, dims.surrogates)), explode_findings(coded)
         if mode == "upsert":
-            merged = merge_partitions(read_facts(spark, wh.facts, wh.fmt), facts)
+            current = read_partitions(spark, wh.facts, touched_partitions(facts), wh.fmt)
+            merged = merge_partitions(current, facts, scoped=True)
             write_facts(merged, wh.facts, "overwrite", wh.fmt)
         else:
             write_facts(facts, wh.facts, mode, wh.fmt)
@@ -116,6 +123,8 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
         write_findings(findings.withColumn("batch", F.lit(label)), wh.findings, wh.fmt)
         return dims
     finally:
+        if coded is not None:
+            coded.unpersist()
         extract.unpersist()
 
 

@@ -69,10 +69,14 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Count ``df`` (one small job) and say whether it is within the bound."""
+    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` fits the bound."""
-    n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -35,6 +35,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def append_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
+    """Append rows to an (unpartitioned) table folder, e.g. new dimension members."""
+    df.write.mode("append").format(fmt).save(path)
+
+
 def write_staging(df: DataFrame, path: str, sep: str) -> None:
     """Delimited staging text ``(name, ID)`` with a header line."""
     (df.select(F.col("name").cast("string"), F.col("ID").cast("string"))
@@ -64,5 +69,5 @@ def write_smartsense(df: DataFrame, table: str, path: str, fmt: str = "orc") ->
      .option("path", path).saveAsTable(table))
 
 
-__all__ = ["write_facts", "write_table", "write_staging", "write_findings",
+__all__ = ["write_facts", "write_table", "append_table", "write_staging", "write_findings",
            "write_automation", "write_smartsense"]

@@ -34,17 +34,31 @@ def read_partition(spark: SparkSession, path: str, year: int, week: str,
     return facts.where((F.col("year") == F.lit(year)) & (F.col("week") == F.lit(week)))
 
 
+# Largest touched-partition list turned into a static folder filter; a batch
+# spanning more weeks than this falls back to a broadcast semi join.
+MAX_PARTITION_LIST = 20_000
+
+
 def read_partitions(spark: SparkSession, path: str, partitions: DataFrame,
-                    fmt: str = "orc") -> DataFrame:
+                    fmt: str = "orc", max_list: int = MAX_PARTITION_LIST) -> DataFrame:
     """Fact rows of the partitions listed in ``partitions(year, week)``.
 
-    A left-semi join on the partition columns; the distinct partition list
-    of a batch is tiny, so the planner broadcasts it and prunes folders at
-    run time (dynamic partition pruning).
+    The distinct (year, week) keys of a batch are bounded by the calendar,
+    not by its row count, so they are collected (at most ``max_list`` + 1
+    of them) and become a static filter on the partition columns: the file
+    index lists and reads only those folders. A semi join on the same keys
+    follows either way; it is what remains if the list is over the bound
+    (dynamic pruning needs a selective filter on the other side, which a
+    batch's partition list does not have).
     """
     facts = read_facts(spark, path, fmt)
     keys = partitions.select("year", "week").distinct()
-    return facts.join(keys, ["year", "week"], "left_semi")
+    listed = keys.limit(max_list + 1).collect()
+    if len(listed) <= max_list:
+        tags = [f"{r['year']}|{r['week']}" for r in listed]
+        facts = facts.where(F.concat_ws("|", F.col("year").cast("string"), F.col("week")).isin(tags))
+    return facts.join(F.broadcast(keys) if len(listed) <= max_list else keys,
+                      ["year", "week"], "left_semi")
 
 
 def read_dimension(spark: SparkSession, path: str, schema: StructType,
