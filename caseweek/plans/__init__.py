@@ -1,7 +1,9 @@
 """Job plans: the weekly load and update flows."""
 
 from .jobs import (DimensionUpdate, Warehouse, batch_facts, load_batch, load_frame,
-                   maintain_dimensions, read_accounts, read_surrogates, update_batch)
+                   maintain_dimensions, read_accounts, read_surrogates, register_tables,
+                   update_batch)
 
 __all__ = ["DimensionUpdate", "Warehouse", "batch_facts", "load_batch", "load_frame",
-           "maintain_dimensions", "read_accounts", "read_surrogates", "update_batch"]
+           "maintain_dimensions", "read_accounts", "read_surrogates", "register_tables",
+           "update_batch"]

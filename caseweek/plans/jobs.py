@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import (account_changes, batch_accounts, batch_members, code_cases,
                          explode_findings, from_long, lookup_ids, merge_partitions,
@@ -91,7 +92,10 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     accounts = pin(upsert_accounts(accounts_now, batch))   # the table read above gets rewritten
     if changed > 0:
         write_table(accounts, wh.dimension("account"), wh.fmt)
-    return DimensionUpdate(read_surrogates(spark, wh), accounts, added_sizes, changed)
+    # tiny and read by every lookup: keep one copy in memory (re-read from the
+    # tables if an executor holding it is lost)
+    surrogates = read_surrogates(spark, wh).persist(StorageLevel.MEMORY_AND_DISK)
+    return DimensionUpdate(surrogates, accounts, added_sizes, changed)
 
 
 def batch_facts(extract: DataFrame, surrogates: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
@@ -107,14 +111,15 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     week partition is the key)."""
     as_of = as_of or _dt.date.today()
     extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
-    coded = None
+    coded = dims = None
     try:
         dims = maintain_dimensions(spark, wh, extract)
         # coded rows feed both the fact and the findings write: code once
         coded = code_cases(extract, as_of).persist(StorageLevel.MEMORY_AND_DISK)
         facts, findings = to_facts(lookup_ids(coded, dims.surrogates)), explode_findings(coded)
         if mode == "upsert":
-            current = read_partitions(spark, wh.facts, touched_partitions(facts), wh.fmt)
+            # the partition keys come straight from the coded rows (no lookups needed)
+            current = read_partitions(spark, wh.facts, touched_partitions(coded), wh.fmt)
             merged = merge_partitions(current, facts, scoped=True)
             write_facts(merged, wh.facts, "overwrite", wh.fmt)
         else:
@@ -125,6 +130,8 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     finally:
         if coded is not None:
             coded.unpersist()
+        if dims is not None:
+            dims.surrogates.unpersist()
         extract.unpersist()
 
 
@@ -139,3 +146,34 @@ def update_batch(spark: SparkSession, path: str, wh: Warehouse, *,
                  as_of: _dt.date | None = None, sep: str = ",") -> DimensionUpdate:
     """Weekly update: upsert by case number inside each touched week."""
     return load_frame(spark, read_extract(spark, path, sep), wh, mode="upsert", as_of=as_of)
+
+
+def _ddl_columns(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dict[str, str]:
+    """Expose the warehouse folders as catalog tables (``USING <fmt>``):
+    the partitioned fact table, the five dimensions and the findings.
+
+    Tables are external (``LOCATION`` = the shared folder), so dropping one
+    keeps its files. Fact partitions already on disk are recovered.
+    Returns ``{logical name: table name}``.
+    """
+    from ..schemas import FACT_SCHEMA, FINDINGS_SCHEMA
+    names = {}
+
+    def create(logical: str, schema, location: str, partitioned: str = "") -> None:
+        name = f"{prefix}{logical}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({_ddl_columns(schema)}) USING {wh.fmt} "
+                  f"{partitioned} LOCATION '{location}'")
+        names[logical] = name
+
+    create("cases", FACT_SCHEMA, wh.facts, "PARTITIONED BY (year, week)")
+    spark.sql(f"ALTER TABLE `{names['cases']}` RECOVER PARTITIONS")
+    for spec in SURROGATE_DIMENSIONS:
+        create(spec.name, _dim_schema(spec), wh.dimension(spec.name))
+    create("account", ACCOUNT_DIM_SCHEMA, wh.dimension("account"))
+    findings_schema = StructType([*FINDINGS_SCHEMA.fields, StructField("batch", StringType(), True)])
+    create("findings", findings_schema, wh.findings)
+    return names

@@ -96,3 +96,15 @@ def test_findings_do_not_depend_on_partitioning(spark):
     a = findings_report(explode_findings(code_cases(x.repartition(1), AS_OF))).collect()
     b = findings_report(explode_findings(code_cases(x.repartition(7), AS_OF))).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_register_tables_reads_same_rows(spark, extracts):
+    from caseweek.plans import register_tables
+    old, _ = extracts
+    wh = Warehouse(work_path(spark, "t-reg"))
+    load_batch(spark, old, wh, as_of=AS_OF)
+    names = register_tables(spark, wh, prefix="t_reg_")
+    via_table = spark.table(names["cases"])
+    assert snapshot(via_table) == snapshot(read_facts(spark, wh.facts))
+    assert spark.table(names["product"]).count() == 5
+    assert via_table.where("year = 2017 AND week = '06-30'").count() > 0
