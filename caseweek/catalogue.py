@@ -22,12 +22,13 @@ from .operators import (account_changes, batch_accounts, batch_members, batch_pr
                         dense_ids, duplicate_keys, explode_findings, findings_case_count,
                         findings_report, lookup_ids, merge_surrogates, new_members, orphan_rows,
                         to_facts, touched_partitions, upsert_accounts)
-from .plans import Warehouse, load_batch, read_accounts, read_surrogates, update_batch
-from .schemas import FACT_COLUMNS, PARTITION_COLUMNS
+from .plans import (Warehouse, load_batch, maintain_dimensions, read_accounts, read_surrogates,
+                    update_batch)
 from .session import work_path
 from .sinks import write_automation, write_smartsense, write_staging, write_table
-from .sources import read_dimension, read_extract, read_facts, read_partitions, read_staging, write_extract
 from .schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA
+from .sources import (extract_fields, read_dimension, read_extract, read_facts, read_partitions,
+                      read_staging, write_extract)
 from .specs import LINKS
 from .streaming import process_once as _process_once
 
@@ -37,7 +38,6 @@ _LINK = {s.column: s for s in LINKS}
 
 
 def _x(spark: SparkSession, sf: str, batch: str = "all") -> DataFrame:
-    from .sources import extract_fields
     return extract_fields(testbed.raw_extract(spark, sf, batch))
 
 
@@ -202,9 +202,9 @@ def _read_all_dims(spark, wh) -> DataFrame:
 
 
 def dim_rewrite_roundtrip(spark, sf):
-    """K1: dimension tables written for the old batch, rewritten in place for
-    the new one, read back."""
-    from .plans import maintain_dimensions
+    """K1: dimension tables written for the old batch, updated for the new one
+    (surrogates: new members appended; accounts: rewritten from a
+    checkpoint), read back."""
     wh = Warehouse(work_path(spark, "dims"))
     maintain_dimensions(spark, wh, _x(spark, sf, "old"))
     maintain_dimensions(spark, wh, _x(spark, sf, "new"))

@@ -2,9 +2,11 @@
 
 ``read -> maintain dimensions -> code rows -> look up ids -> assign week
 partitions -> write facts -> write findings``; every step is a lazy
-DataFrame plan and nothing on the data path is collected to the driver.
-The only driver-side values are per-dimension change counts (at most one
-row per dimension) that decide which dimension tables get rewritten.
+DataFrame plan and no row data is collected to the driver. Driver-side
+values are bounded metadata only: per-dimension counts of added members,
+the dense-id offset table (range partitions x dimensions), one row count
+before broadcasting dimensions, and the list of touched (year, week)
+partitions of an upsert (bounded by the calendar, capped).
 """
 
 from __future__ import annotations
