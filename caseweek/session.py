@@ -82,9 +82,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 def spread(scan: DataFrame) -> DataFrame:
     """Round-robin a plain file scan that yields fewer partitions than the
     cluster has cores (one small extract file is one split), so the
-    CPU-heavy row coding uses every core. A large input already splits into
-    many partitions and is returned unchanged (no shuffle). Call it on scans
-    only: counting partitions of a scan plans it but runs nothing.
+    CPU-heavy row coding runs as one full wave of tasks. The count is
+    explicit on purpose: AQE would size the partitions by bytes, and a few
+    megabytes of text would collapse onto a couple of tasks although the
+    regex work per byte is high. A large input already splits into at least
+    as many partitions as there are cores and is returned unchanged (no
+    shuffle). Call it on scans only: counting partitions of a scan plans it
+    but runs nothing.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

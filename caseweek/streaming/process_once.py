@@ -19,6 +19,7 @@ from ..functions import run_stamp
 from ..plans.jobs import Warehouse, load_frame
 from ..sources.extract import extract_fields
 from ..schemas import EXTRACT_SCHEMA
+from ..session import spread
 
 
 def ledger_path(wh: Warehouse) -> str:
@@ -27,16 +28,23 @@ def ledger_path(wh: Warehouse) -> str:
 
 def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint: str,
                  archive: str | None = None, mode: str = "upsert",
-                 as_of: _dt.date | None = None, sep: str = ",") -> None:
-    """Run one availableNow pass over ``inbox`` and wait for it to finish."""
+                 as_of: _dt.date | None = None, sep: str = ",",
+                 max_files_per_trigger: int | None = None) -> None:
+    """Run one availableNow pass over ``inbox`` and wait for it to finish.
+
+    ``max_files_per_trigger`` splits a backlog of drops into several
+    micro-batches (each one load) instead of one.
+    """
     stream = (spark.readStream.schema(EXTRACT_SCHEMA).option("header", True)
               .option("sep", sep).option("mode", "PERMISSIVE"))
     if archive:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_files_per_trigger:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = stream.csv(inbox)
 
     def _load(batch: DataFrame, batch_id: int) -> None:
-        extract = extract_fields(batch)
+        extract = extract_fields(spread(batch))
         load_frame(spark, extract, wh, mode=mode, as_of=as_of, batch_label=f"stream-{batch_id}")
         (extract.agg(F.count(F.lit(1)).alias("rows"))
          .select(F.lit(batch_id).cast("long").alias("batch_id"),
