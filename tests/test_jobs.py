@@ -108,3 +108,17 @@ def test_register_tables_reads_same_rows(spark, extracts):
     assert snapshot(via_table) == snapshot(read_facts(spark, wh.facts))
     assert spark.table(names["product"]).count() == 5
     assert via_table.where("year = 2017 AND week = '06-30'").count() > 0
+
+
+def test_side_tables_are_bucketed(spark):
+    from caseweek.sinks import write_automation, write_smartsense
+    a, s = "t_automation_b", "t_smartsense_b"
+    write_automation(testbed.side_rows(spark, SF), a, work_path(spark, a))
+    write_smartsense(testbed.smartsense_rows(spark, SF), s, work_path(spark, s))
+
+    def info(t):
+        return {r[0].strip(): (r[1] or "").strip() for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect()}
+    ia, is_ = info(a), info(s)
+    assert ia["Num Buckets"] == "3" and "CaseNum" in ia["Bucket Columns"]
+    assert is_["Num Buckets"] == "2" and "Priority" in is_.get("Part 0", "Priority")
+    assert spark.table(a).count() == testbed.table(spark, SF, "events").count()
