@@ -19,8 +19,12 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from caseweek import testbed  # noqa: E402
 from caseweek.catalogue import QUERIES  # noqa: E402
-from caseweek.session import build_session  # noqa: E402
+from caseweek.operators import code_cases, touched_partitions  # noqa: E402
+from caseweek.plans import Warehouse, load_batch, update_batch  # noqa: E402
+from caseweek.session import build_session, work_path  # noqa: E402
+from caseweek.sources import extract_fields, write_extract  # noqa: E402
 
 HEADLINE = [
     "case_extract_scan",       # delimited extract scan, positional schema
@@ -36,6 +40,28 @@ HEADLINE = [
 ]
 
 
+def structure(spark, sf_dir: str) -> dict:
+    """Spark jobs (AQE runs each shuffle stage as its own job) of one weekly
+    load and one weekly update, and how many week partitions the update
+    rewrites in its single write job - to set against BASELINE's counts."""
+    sc = spark.sparkContext
+    paths = {}
+    for b in ("old", "new"):
+        paths[b] = work_path(spark, f"bench-{b}")
+        write_extract(testbed.raw_extract(spark, sf_dir, b), paths[b])
+    wh = Warehouse(work_path(spark, "bench-wh"))
+    out = {}
+    for key, run in (("jobs_per_weekly_load", lambda: load_batch(spark, paths["old"], wh, as_of=testbed.AS_OF)),
+                     ("jobs_per_weekly_update", lambda: update_batch(spark, paths["new"], wh, as_of=testbed.AS_OF))):
+        sc.setJobGroup(key, key)
+        run()
+        out[key] = len(sc.statusTracker().getJobIdsForGroup(key))
+    sc.setJobGroup("bench", "bench")
+    new = code_cases(extract_fields(testbed.raw_extract(spark, sf_dir, "new")), testbed.AS_OF)
+    out["update_partitions_in_one_write"] = touched_partitions(new).count()
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -48,9 +74,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    extra = structure(spark, sf_dir) if not sys.argv[1:] else {}
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
-                      "sf": float(m.group(1)) if m else sf_dir}))
+                      "sf": float(m.group(1)) if m else sf_dir, "structure": extra}))
     spark.stop()
 
 

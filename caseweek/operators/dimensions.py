@@ -62,11 +62,16 @@ def dense_ids(keys: DataFrame, base: DataFrame | None = None,
               .withColumn("_pos", F.monotonically_increasing_id()))
     tagged = pin(ranged).withColumn("_pid", F.shiftright("_pos", 33))
     stats = (tagged.groupBy("_pid", "dimension")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first")).collect())
-    start = {} if base is None else {r["dimension"]: r["_base"] or 0 for r in base.collect()}
+             .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first")))
+    if base is not None:    # the per-dimension max ids ride along as partition -1
+        stats = stats.unionByName(base.select(F.lit(-1).cast("long").alias("_pid"), "dimension",
+                                              F.coalesce(F.col("_base"), F.lit(0)).cast("long").alias("n"),
+                                              F.lit(None).cast("long").alias("first")))
+    rows = stats.collect()
+    start = {r["dimension"]: r["n"] for r in rows if r["_pid"] == -1}
     seen: dict[str, int] = {}
     offsets = []
-    for r in sorted(stats, key=lambda r: (r["dimension"], r["_pid"])):
+    for r in sorted((r for r in rows if r["_pid"] != -1), key=lambda r: (r["dimension"], r["_pid"])):
         before = seen.get(r["dimension"], 0)
         offsets.append((r["_pid"], r["dimension"], start.get(r["dimension"], 0) + before - r["first"]))
         seen[r["dimension"]] = before + r["n"]
@@ -111,18 +116,28 @@ def batch_accounts(extract: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.max("name").alias("name")))
 
 
+def account_merge(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """Type-1 merge on id: ``(id, name, change)``.
+
+    The batch's name wins (even a null one), other accounts keep theirs;
+    ``change`` is ``new`` (id not in the dimension), ``renamed`` (name
+    differs, null-safe) or null. One full outer join on the natural key.
+    """
+    c = current.select("id", F.col("name").alias("_old"), F.lit(True).alias("_known"))
+    b = batch.select("id", F.col("name").alias("_new"), F.lit(True).alias("_sent"))
+    j = c.join(b, "id", "full_outer")
+    sent, known = F.col("_sent").isNotNull(), F.col("_known").isNotNull()
+    change = (F.when(sent & ~known, F.lit("new"))
+              .when(sent & ~F.col("_new").eqNullSafe(F.col("_old")), F.lit("renamed")))
+    return j.select("id", F.when(sent, F.col("_new")).otherwise(F.col("_old")).alias("name"),
+                    change.alias("change"))
+
+
 def upsert_accounts(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """Type-1 upsert on id: the batch's name wins (even a null one), other
-    accounts keep theirs."""
-    kept = current.select("id", "name").join(batch.select("id"), "id", "left_anti")
-    return kept.unionByName(batch.select("id", "name"))
+    """Account dimension after the type-1 upsert: ``(id, name)``."""
+    return account_merge(current, batch).select("id", "name")
 
 
 def account_changes(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch accounts that are new or renamed, with a ``change`` label."""
-    c = current.select("id", F.col("name").alias("_old"), F.lit(True).alias("_known"))
-    j = batch.join(c, "id", "left")
-    return (j.where(F.col("_known").isNull() | ~F.col("name").eqNullSafe(F.col("_old")))
-            .select("id", "name",
-                    F.when(F.col("_known").isNull(), F.lit("new")).otherwise(F.lit("renamed"))
-                    .alias("change")))
+    return account_merge(current, batch).where(F.col("change").isNotNull())

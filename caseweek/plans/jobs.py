@@ -19,10 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import (account_changes, batch_accounts, batch_members, code_cases,
+from ..operators import (account_merge, batch_accounts, batch_members, code_cases,
                          explode_findings, from_long, lookup_ids, merge_partitions,
-                         merge_surrogates, to_facts, to_long, touched_partitions,
-                         upsert_accounts)
+                         merge_surrogates, to_facts, to_long, touched_partitions)
 from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
 from ..session import pin
 from ..sinks import append_table, write_facts, write_findings, write_table
@@ -88,10 +87,10 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
         if added_sizes.get(spec.name, 0) > 0:
             append_table(from_long(added, spec), wh.dimension(spec.name), wh.fmt)
 
-    accounts_now = read_accounts(spark, wh)
-    batch = batch_accounts(extract)
-    changed = account_changes(accounts_now, batch).count()
-    accounts = pin(upsert_accounts(accounts_now, batch))   # the table read above gets rewritten
+    # the account table read here gets rewritten: merge once into a checkpoint
+    merged = pin(account_merge(read_accounts(spark, wh), batch_accounts(extract)))
+    changed = merged.where(F.col("change").isNotNull()).count()
+    accounts = merged.select("id", "name")
     if changed > 0:
         write_table(accounts, wh.dimension("account"), wh.fmt)
     # tiny and read by every lookup: keep one copy in memory (re-read from the
