@@ -120,3 +120,30 @@ def test_scalars(spark):
     assert one(spark, ["ENV-7", "", None, "ENV-"], environment_id) == [7, None, None, None]
     assert one(spark, ["0 days 8 hours48 mn", "2 days 0 hours5 mn", None, "8 hours",
                        "1 days 1 hours 99999999999 mn"], resolution_minutes) == [528, 2885, None, None, None]
+
+
+def test_findings_set_union_per_case(spark):
+    """A case sent twice with the same problems reports each message once."""
+    from caseweek.operators import code_cases, explode_findings, findings_report
+    from caseweek.sources import extract_fields
+    from caseweek import testbed
+    x = extract_fields(testbed.raw_extract(spark, "/root/testdata/sf0.001"))
+    one = x.where(F.col("caseNum") == 1)
+    doubled = one.unionByName(one)
+    rep = findings_report(explode_findings(code_cases(doubled, AS_OF))).collect()
+    single = findings_report(explode_findings(code_cases(one, AS_OF))).collect()
+    assert len(rep) == 1 and rep[0]["messages"] == single[0]["messages"]
+    assert rep[0]["n_messages"] == single[0]["n_messages"]
+
+
+def test_lookup_misses_and_null_members(spark):
+    from caseweek.operators import lookup_ids
+    from caseweek.operators.coding import key_column
+    from caseweek.specs import SURROGATE_DIMENSIONS
+    dims = spark.createDataFrame([("ambariVersion", "Not used", 7), ("stackVersion", None, 3),
+                                  ("product", "HDFS", 1), ("rootcause", "x", 2)],
+                                 "dimension string, member string, id int")
+    rows = [("Not used", None, "HDFS", "y"), ("2.5", "2.6.0", "HIVE", "x")]
+    coded = spark.createDataFrame(rows, ", ".join(f"{key_column(s)} string" for s in SURROGATE_DIMENSIONS))
+    got = [tuple(r) for r in lookup_ids(coded, dims).collect()]
+    assert got == [(7, 3, 1, -1), (-1, -1, -1, 2)]
