@@ -30,7 +30,8 @@ def read_extract(spark: SparkSession, path: str, sep: str = ",",
     """Scan one or more extract files; columns bind by position.
 
     ``check_header=True`` makes Spark compare the header line with the
-    layout's names instead of only skipping it.
+    layout's names (for the columns a query reads) instead of only skipping
+    it; a mismatch fails the scan.
     """
     return extract_fields(spread(extract_reader(spark, sep, check_header).csv(path)))
 

@@ -122,3 +122,19 @@ def test_side_tables_are_bucketed(spark):
     assert ia["Num Buckets"] == "3" and "CaseNum" in ia["Bucket Columns"]
     assert is_["Num Buckets"] == "2" and "Priority" in is_.get("Part 0", "Priority")
     assert spark.table(a).count() == testbed.table(spark, SF, "events").count()
+
+
+def test_extract_scan_binds_by_position_and_can_check_header(spark):
+    from caseweek.sources import read_extract
+    from caseweek.schemas import EXTRACT_LAYOUT
+    raw = testbed.raw_extract(spark, SF, "old")
+    good = work_path(spark, "t-hdr-good")
+    write_extract(raw, good)
+    assert read_extract(spark, good, check_header=True).count() == raw.count()
+    # same columns under other header names: bound by position unless checked
+    renamed = raw.select(*[F.col(f"`{h}`").alias(f"col{i}") for i, (h, _, _) in enumerate(EXTRACT_LAYOUT)])
+    bad = work_path(spark, "t-hdr-bad")
+    renamed.write.option("header", True).csv(bad)
+    assert read_extract(spark, bad).count() == raw.count()
+    with pytest.raises(Exception):   # the header names of the columns read are compared
+        read_extract(spark, bad, check_header=True).collect()
