@@ -2,9 +2,11 @@
 
 Two layouts are tried in order, ``yyyyMMdd HHmmss`` then ``MM/dd/yy HH:mm``.
 Each is a *prefix* match with the old lenient date parser's reading rules:
-blanks/tabs before a number are skipped, a field followed by another number
-field takes exactly its pattern width, other fields take all digits, and
-trailing text (``.000``, ``:00 AM``) is ignored. A two-digit year is placed in
+a field followed directly by another number field (yyyy, MM, HH, mm of the
+compact layout) takes exactly its pattern width in digits - a blank before
+it would eat into that width, which never yields a valid date - while any
+other field skips leading blanks/tabs and takes all digits; trailing text
+(``.000``, ``:00 AM``) is ignored. A two-digit year is placed in
 the 100-year window that starts 80 years before ``as_of``; any other year is
 taken literally. Out-of-range fields give null instead of rolling over.
 
@@ -26,7 +28,7 @@ from ..specs import TWO_DIGIT_YEAR_WINDOW_BACK
 
 _WS = r"[ \t]*"
 # yyyy MM (fixed widths, next field numeric) dd (free) ' ' HH mm (fixed) ss (free)
-COMPACT_RE = (rf"^{_WS}(\d{{4}}){_WS}(\d{{2}}){_WS}(\d+) {_WS}(\d{{2}}){_WS}(\d{{2}}){_WS}(\d+)")
+COMPACT_RE = rf"^(\d{{4}})(\d{{2}}){_WS}(\d+) (\d{{2}})(\d{{2}}){_WS}(\d+)"
 # MM / dd / yy ' ' HH : mm, every field free width
 SLASHED_RE = rf"^{_WS}(\d+)/{_WS}(\d+)/{_WS}(\d+) {_WS}(\d+):{_WS}(\d+)"
 

@@ -30,6 +30,10 @@ TS_CASES = [
     ("1/20/17 3:25 PM", dt.datetime(2017, 1, 20, 3, 25)),
     ("6/9/85 01:00", dt.datetime(1985, 6, 9, 1, 0)),
     ("2/29/00 10:00", dt.datetime(2000, 2, 29, 10, 0)),
+    ("  6/ 9/17  13:09", dt.datetime(2017, 6, 9, 13, 9)),
+    (" 20170306 064703", None),
+    ("20170306  064703", None),
+    ("2017030 064703", None),
     ("13/45/17 25:61", None),
     ("20171306 064703", None),
     ("2017-03-06 06:47:03", None),
