@@ -138,3 +138,19 @@ def test_extract_scan_binds_by_position_and_can_check_header(spark):
     assert read_extract(spark, bad).count() == raw.count()
     with pytest.raises(Exception):   # the header names of the columns read are compared
         read_extract(spark, bad, check_header=True).collect()
+
+
+def test_upsert_exact_with_a_hot_week_and_a_hot_case(spark):
+    """A third of the rows in one week, many copies of one case number."""
+    path = work_path(spark, "t-skew")
+    current = [(i, 2017, "06-09" if i % 3 == 0 else f"0{1 + i % 9}-0{1 + i % 7}", 0) for i in range(3000)]
+    current += [(42, 2017, "06-09", 0)] * 1000          # hot case number, hot week
+    write_facts(fact(spark, current), path)
+    batch = [(i, 2017, "06-09", 9) for i in range(0, 300, 3)] + [(42, 2017, "06-09", 9)] * 5
+    merged = merge_partitions(read_facts(spark, path), fact(spark, batch))
+    write_facts(merged, path, "overwrite")
+    got = snapshot(read_facts(spark, path))
+    resent = {i for i, *_ in batch}
+    expected = sorted([(y, w, c, s) for c, y, w, s in current if not (w == "06-09" and c in resent)]
+                      + [(y, w, c, s) for c, y, w, s in batch])
+    assert got == expected
