@@ -176,5 +176,6 @@ def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dic
         create(spec.name, _dim_schema(spec), wh.dimension(spec.name))
     create("account", ACCOUNT_DIM_SCHEMA, wh.dimension("account"))
     findings_schema = StructType([*FINDINGS_SCHEMA.fields, StructField("batch", StringType(), True)])
-    create("findings", findings_schema, wh.findings)
+    create("findings", findings_schema, wh.findings, "PARTITIONED BY (batch)")
+    spark.sql(f"ALTER TABLE `{names['findings']}` RECOVER PARTITIONS")
     return names

@@ -49,7 +49,10 @@ def write_staging(df: DataFrame, path: str, sep: str) -> None:
 
 
 def write_findings(findings: DataFrame, path: str, fmt: str = "orc") -> None:
-    findings.write.mode("append").format(fmt).save(path)
+    """Findings of one batch, partitioned by its ``batch`` label; a rerun of
+    the same batch replaces its partition instead of adding rows twice."""
+    (findings.write.format(fmt).partitionBy("batch").mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").save(path))
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:

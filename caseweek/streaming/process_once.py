@@ -4,8 +4,9 @@ A file-stream source with an ``availableNow`` trigger: each run picks up the
 files not yet committed in the checkpoint, loads them through
 ``load_frame`` in ``foreachBatch`` and archives them. The default mode is
 ``upsert``, so a micro-batch replayed after a failure rewrites the same
-rows instead of adding them twice. Each micro-batch appends a ledger row
-``(batch_id, run_date yyyyMMdd, rows)``.
+rows instead of adding them twice; its findings and its ledger row
+``(batch_id, run_date yyyyMMdd, rows)`` are likewise written to their own
+``batch`` / ``batch_id`` partitions, replaced on a replay.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint:
         (extract.agg(F.count(F.lit(1)).alias("rows"))
          .select(F.lit(batch_id).cast("long").alias("batch_id"),
                  run_stamp(F.current_date()).alias("run_date"), "rows")
-         .write.mode("append").format(wh.fmt).save(ledger_path(wh)))
+         .write.format(wh.fmt).partitionBy("batch_id").mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").save(ledger_path(wh)))
 
     query = (raw.writeStream.foreachBatch(_load)
              .option("checkpointLocation", checkpoint)

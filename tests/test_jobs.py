@@ -154,3 +154,15 @@ def test_upsert_exact_with_a_hot_week_and_a_hot_case(spark):
     expected = sorted([(y, w, c, s) for c, y, w, s in current if not (w == "06-09" and c in resent)]
                       + [(y, w, c, s) for c, y, w, s in batch])
     assert got == expected
+
+
+def test_findings_rerun_replaces_its_batch(spark, extracts):
+    from caseweek.plans import load_frame
+    from caseweek.sources import read_extract
+    old, _ = extracts
+    wh = Warehouse(work_path(spark, "t-find"))
+    for _ in range(2):
+        load_frame(spark, read_extract(spark, old), wh, mode="upsert", as_of=AS_OF, batch_label="b1")
+    f = spark.read.orc(wh.findings)
+    x = extract_fields(testbed.raw_extract(spark, SF, "old"))
+    assert f.where(F.col("batch") == "b1").count() == explode_findings(code_cases(x, AS_OF)).count()
