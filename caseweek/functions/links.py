@@ -16,16 +16,14 @@ from ..specs import NO_DASH_CODE, NO_DASH_MESSAGE, LinkSpec
 from .messages import render
 
 # Java's String.trim(): every char up to U+0020 at either end.
-_EDGE_CTRL = r"^[\x00-\x20]+|[\x00-\x20]+\z"
+_EDGE_CHARS = "".join(chr(c) for c in range(0x21))
 # One trailing ";" and then one trailing "/" (together: an optional "/" and
 # an optional ";" right at the end).
 _SUFFIX = r"/?;?\z"
-# Text after the last "/" that precedes the last "-", to the end.
-TAIL_RE = r"([^/]*-[^-]*)\z"
 
 
 def clean_tail(raw: Column) -> Column:
-    return F.upper(F.regexp_replace(F.regexp_replace(raw, _EDGE_CTRL, ""), _SUFFIX, ""))
+    return F.upper(F.regexp_replace(F.btrim(raw, F.lit(_EDGE_CHARS)), _SUFFIX, ""))
 
 
 def has_dash(link: Column) -> Column:
@@ -33,8 +31,16 @@ def has_dash(link: Column) -> Column:
 
 
 def link_tail(link: Column) -> Column:
-    """Tail of a link (null when the link is null or holds no ``-``)."""
-    return F.when(has_dash(link), clean_tail(F.regexp_extract(link, TAIL_RE, 1)))
+    """Tail of a link (null when the link is null or holds no ``-``).
+
+    String functions only (linear in the text length, whatever its shape):
+    the part after the last ``-``, and before it the segment after the last
+    ``/`` of the text preceding that ``-``.
+    """
+    after = F.substring_index(link, "-", -1)
+    before = link.substr(F.lit(1), F.length(link) - F.length(after) - F.lit(1))
+    raw = F.concat(F.substring_index(before, "/", -1), F.lit("-"), after)
+    return F.when(has_dash(link), clean_tail(raw))
 
 
 def link_tail_backtrack(link: Column, n: int) -> Column:

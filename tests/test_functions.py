@@ -151,3 +151,14 @@ def test_lookup_misses_and_null_members(spark):
     coded = spark.createDataFrame(rows, ", ".join(f"{key_column(s)} string" for s in SURROGATE_DIMENSIONS))
     got = [tuple(r) for r in lookup_ids(coded, dims).collect()]
     assert got == [(7, 3, 1, -1), (-1, -1, -1, 2)]
+
+
+def test_tail_trims_like_java_and_stays_linear(spark):
+    import time
+    got = one(spark, ["\tBUG-5\n", "x/BUG-5 ;", "BUG-5\u2028", "BUG-5 ", None], link_tail)
+    # U+2028 is above U+0020, so it is not trimmed
+    assert got == ["BUG-5", "BUG-5 ", "BUG-5\u2028", "BUG-5", None]
+    long = "a" * 200_000 + "/b-c" + " " * 100_000 + "x"
+    t = time.time()
+    assert one(spark, [long], link_tail) == ["B-C" + " " * 100_000 + "X"]
+    assert time.time() - t < 20
