@@ -99,12 +99,6 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     return DimensionUpdate(surrogates, accounts, added_sizes, changed)
 
 
-def batch_facts(extract: DataFrame, surrogates: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
-    """``(facts, findings)`` of a batch given the (already merged) dimensions."""
-    coded = code_cases(extract, as_of)
-    return to_facts(lookup_ids(coded, surrogates)), explode_findings(coded)
-
-
 def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode: str = "append",
                as_of: _dt.date | None = None, batch_label: str | None = None) -> DimensionUpdate:
     """Load an extract DataFrame: ``mode`` is append, overwrite (only the

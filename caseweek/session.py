@@ -74,10 +74,6 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` fits the bound."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def spread(scan: DataFrame) -> DataFrame:
     """Round-robin a plain file scan that yields fewer partitions than the
