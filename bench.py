@@ -40,10 +40,44 @@ HEADLINE = [
 ]
 
 
+class ActionCounter:
+    """Counts DataFrame actions (collect, count, checkpoint, writer save) and
+    the rows that reach the driver, by wrapping those entry points."""
+
+    def __init__(self, spark):
+        frame = type(spark.range(0))              # the runtime DataFrame class
+        writer = type(spark.range(0).write)
+        self.targets = [(frame, "collect"), (frame, "count"), (frame, "checkpoint"),
+                        (writer, "save")]
+        self.actions = self.rows = 0
+        self.saved = {}
+
+    def __enter__(self):
+        for cls, name in self.targets:
+            orig = getattr(cls, name)
+            self.saved[(cls, name)] = orig
+
+            def wrapped(*a, __orig=orig, __name=name, **k):
+                self.actions += 1
+                out = __orig(*a, **k)
+                if __name == "collect":
+                    self.rows += len(out)
+                elif __name == "count":
+                    self.rows += 1
+                return out
+            setattr(cls, name, wrapped)
+        return self
+
+    def __exit__(self, *exc):
+        for (cls, name), orig in self.saved.items():
+            setattr(cls, name, orig)
+
+
 def structure(spark, sf_dir: str) -> dict:
-    """Spark jobs (AQE runs each shuffle stage as its own job) of one weekly
-    load and one weekly update, and how many week partitions the update
-    rewrites in its single write job - to set against BASELINE's counts."""
+    """Actions, rows returned to the driver and Spark jobs (AQE runs each
+    shuffle stage as its own job) of one weekly load and one weekly update,
+    and how many week partitions the update rewrites in its single write
+    job - to set against BASELINE's counts."""
     sc = spark.sparkContext
     paths = {}
     for b in ("old", "new"):
@@ -54,8 +88,12 @@ def structure(spark, sf_dir: str) -> dict:
     for key, run in (("jobs_per_weekly_load", lambda: load_batch(spark, paths["old"], wh, as_of=testbed.AS_OF)),
                      ("jobs_per_weekly_update", lambda: update_batch(spark, paths["new"], wh, as_of=testbed.AS_OF))):
         sc.setJobGroup(key, key)
-        run()
+        with ActionCounter(spark) as counter:
+            run()
+        kind = key.replace("jobs_per_", "")
         out[key] = len(sc.statusTracker().getJobIdsForGroup(key))
+        out[f"actions_per_{kind}"] = counter.actions
+        out[f"driver_rows_per_{kind}"] = counter.rows
     sc.setJobGroup("bench", "bench")
     new = code_cases(extract_fields(testbed.raw_extract(spark, sf_dir, "new")), testbed.AS_OF)
     out["update_partitions_in_one_write"] = touched_partitions(new).count()
