@@ -31,10 +31,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--sep", default=",")
     ap.add_argument("--format", default="orc")
     ap.add_argument("--register", action="store_true", help="also expose the tables in the catalog")
+    ap.add_argument("--catalog-prefix", default=None,
+                    help="keep the fact table in the catalog as <prefix>cases (partition pruning by the catalog)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"caseweek-{args.job}").getOrCreate()
-    wh = Warehouse(args.warehouse, args.format)
+    wh = Warehouse(args.warehouse, args.format, args.catalog_prefix)
     try:
         if args.job == "load":
             res = load_batch(spark, args.file, wh, overwrite=args.overwrite, as_of=args.as_of, sep=args.sep)

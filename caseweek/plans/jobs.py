@@ -24,16 +24,29 @@ from ..operators import (account_merge, batch_accounts, batch_members, code_case
                          merge_surrogates, to_facts, to_long, touched_partitions)
 from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
 from ..session import pin
-from ..sinks import append_table, write_facts, write_findings, write_table
-from ..sources import read_dimension, read_extract, read_partitions
+from ..sinks import append_table, insert_facts, write_facts, write_findings, write_table
+from ..sources import read_dimension, read_extract, read_facts, scope_partitions
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folder layout of one warehouse (a shared file-system root)."""
+    """Folder layout of one warehouse (a shared file-system root).
+
+    With ``catalog_prefix`` set, the fact table is also a catalog table
+    (``<prefix>cases``, created on first use): facts are read with
+    ``spark.table`` and written with ``insertInto``, so partition filters are
+    answered by the catalog and only the touched week folders are listed -
+    what a fact table with years of weekly partitions needs. Without it,
+    facts are read and written by path.
+    """
     root: str
     fmt: str = "orc"
+    catalog_prefix: str | None = None
+
+    @property
+    def fact_table(self) -> str | None:
+        return None if self.catalog_prefix is None else f"{self.catalog_prefix}cases"
 
     @property
     def facts(self) -> str:
@@ -60,6 +73,23 @@ def read_surrogates(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return out
 
 
+def fact_rows(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The fact table: the catalog table in catalog mode, else the folder."""
+    if wh.fact_table is None:
+        return read_facts(spark, wh.facts, wh.fmt)
+    register_tables(spark, wh, prefix=wh.catalog_prefix)
+    return spark.table(wh.fact_table)
+
+
+def store_facts(spark: SparkSession, wh: Warehouse, facts: DataFrame, mode: str) -> None:
+    """Append, or overwrite only the touched week partitions."""
+    if wh.fact_table is None:
+        write_facts(facts, wh.facts, mode, wh.fmt)
+        return
+    register_tables(spark, wh, prefix=wh.catalog_prefix)
+    insert_facts(facts, wh.fact_table, overwrite=(mode == "overwrite"))
+
+
 def read_accounts(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return read_dimension(spark, wh.dimension("account"), ACCOUNT_DIM_SCHEMA, wh.fmt)
 
@@ -114,11 +144,13 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
         facts, findings = to_facts(lookup_ids(coded, dims.surrogates)), explode_findings(coded)
         if mode == "upsert":
             # the partition keys come straight from the coded rows (no lookups needed)
-            current = read_partitions(spark, wh.facts, touched_partitions(coded), wh.fmt)
+            current = scope_partitions(fact_rows(spark, wh), touched_partitions(coded))
             merged = merge_partitions(current, facts, scoped=True)
-            write_facts(merged, wh.facts, "overwrite", wh.fmt)
+            store_facts(spark, wh, merged, "overwrite")
+        elif mode in ("append", "overwrite"):
+            store_facts(spark, wh, facts, mode)
         else:
-            write_facts(facts, wh.facts, mode, wh.fmt)
+            raise ValueError(f"unknown load mode {mode!r}")
         label = batch_label or _dt.datetime.now().strftime("%Y%m%d%H%M%S")
         write_findings(findings.withColumn("batch", F.lit(label)), wh.findings, wh.fmt)
         return dims
@@ -147,29 +179,41 @@ def _ddl_columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _recover(spark: SparkSession, table: str) -> None:
+    """Register partition folders already on disk (none yet is fine)."""
+    try:
+        spark.sql(f"ALTER TABLE `{table}` RECOVER PARTITIONS")
+    except Exception as exc:  # noqa: BLE001 - only a missing folder is expected
+        if "does not exist" not in str(exc) and "FileNotFound" not in str(exc):
+            raise
+
+
 def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dict[str, str]:
     """Expose the warehouse folders as catalog tables (``USING <fmt>``):
     the partitioned fact table, the five dimensions and the findings.
 
     Tables are external (``LOCATION`` = the shared folder), so dropping one
-    keeps its files. Fact partitions already on disk are recovered.
-    Returns ``{logical name: table name}``.
+    keeps its files. Partition folders already on disk are registered once,
+    when a partitioned table is created; later writes through ``insertInto``
+    keep the catalog current. Returns ``{logical name: table name}``.
     """
     from ..schemas import FACT_SCHEMA, FINDINGS_SCHEMA
     names = {}
 
     def create(logical: str, schema, location: str, partitioned: str = "") -> None:
         name = f"{prefix}{logical}"
+        names[logical] = name
+        if spark.catalog.tableExists(name):
+            return
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({_ddl_columns(schema)}) USING {wh.fmt} "
                   f"{partitioned} LOCATION '{location}'")
-        names[logical] = name
+        if partitioned:
+            _recover(spark, name)
 
     create("cases", FACT_SCHEMA, wh.facts, "PARTITIONED BY (year, week)")
-    spark.sql(f"ALTER TABLE `{names['cases']}` RECOVER PARTITIONS")
     for spec in SURROGATE_DIMENSIONS:
         create(spec.name, _dim_schema(spec), wh.dimension(spec.name))
     create("account", ACCOUNT_DIM_SCHEMA, wh.dimension("account"))
     findings_schema = StructType([*FINDINGS_SCHEMA.fields, StructField("batch", StringType(), True)])
     create("findings", findings_schema, wh.findings, "PARTITIONED BY (batch)")
-    spark.sql(f"ALTER TABLE `{names['findings']}` RECOVER PARTITIONS")
     return names

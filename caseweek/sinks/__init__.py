@@ -27,6 +27,25 @@ def write_facts(facts: DataFrame, path: str, mode: str = "append", fmt: str = "o
     writer.save(path)
 
 
+def insert_facts(facts: DataFrame, table: str, overwrite: bool = False) -> None:
+    """Append to, or overwrite only the touched partitions of, a catalog fact
+    table; the catalog learns new partitions as they are written.
+
+    ``insertInto`` binds columns by position (table order is selected here)
+    and reads the overwrite mode from the session, so dynamic partition
+    overwrite is switched on for this one write and restored afterwards.
+    """
+    spark = facts.sparkSession
+    out = facts.select(*FACT_COLUMNS, *PARTITION_COLUMNS).hint("rebalance", *PARTITION_COLUMNS)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        out.write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
     """Replace a whole (unpartitioned) table folder, e.g. a dimension.
 
@@ -72,5 +91,5 @@ def write_smartsense(df: DataFrame, table: str, path: str, fmt: str = "orc") ->
      .option("path", path).saveAsTable(table))
 
 
-__all__ = ["write_facts", "write_table", "append_table", "write_staging", "write_findings",
+__all__ = ["write_facts", "insert_facts", "write_table", "append_table", "write_staging", "write_findings",
            "write_automation", "write_smartsense"]

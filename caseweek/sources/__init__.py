@@ -2,9 +2,10 @@
 
 from .extract import extract_fields, extract_reader, read_extract, write_extract
 from .tables import (load_or_empty, read_dimension, read_facts, read_partition,
-                     read_partitions, read_staging)
+                     read_partitions, read_staging, scope_partitions)
 
 __all__ = [
     "extract_fields", "extract_reader", "read_extract", "write_extract", "load_or_empty",
     "read_dimension", "read_facts", "read_partition", "read_partitions", "read_staging",
+    "scope_partitions",
 ]

@@ -41,7 +41,14 @@ MAX_PARTITION_LIST = 20_000
 
 def read_partitions(spark: SparkSession, path: str, partitions: DataFrame,
                     fmt: str = "orc", max_list: int = MAX_PARTITION_LIST) -> DataFrame:
-    """Fact rows of the partitions listed in ``partitions(year, week)``.
+    """Fact rows (path-based table) of the partitions in ``partitions(year, week)``."""
+    return scope_partitions(read_facts(spark, path, fmt), partitions, max_list)
+
+
+def scope_partitions(facts: DataFrame, partitions: DataFrame,
+                     max_list: int = MAX_PARTITION_LIST) -> DataFrame:
+    """Rows of ``facts`` (a path-based read or a catalog table) in the
+    partitions listed in ``partitions(year, week)``.
 
     The distinct (year, week) keys of a batch are bounded by the calendar,
     not by its row count, so they are collected (at most ``max_list`` + 1
@@ -49,9 +56,9 @@ def read_partitions(spark: SparkSession, path: str, partitions: DataFrame,
     index lists and reads only those folders. A semi join on the same keys
     follows either way; it is what remains if the list is over the bound
     (dynamic pruning needs a selective filter on the other side, which a
-    batch's partition list does not have).
+    batch's partition list does not have). On a catalog table the filter
+    is answered by the catalog, so only the touched folders are listed.
     """
-    facts = read_facts(spark, path, fmt)
     keys = partitions.select("year", "week").distinct()
     listed = keys.limit(max_list + 1).collect()
     if len(listed) <= max_list:

@@ -166,3 +166,22 @@ def test_findings_rerun_replaces_its_batch(spark, extracts):
     f = spark.read.orc(wh.findings)
     x = extract_fields(testbed.raw_extract(spark, SF, "old"))
     assert f.where(F.col("batch") == "b1").count() == explode_findings(code_cases(x, AS_OF)).count()
+
+
+def test_catalog_mode_matches_path_mode_and_lists_only_touched_weeks(spark, extracts, capsys):
+    from caseweek.plans import fact_rows
+    from caseweek.sources import scope_partitions
+    old, new = extracts
+    by_path = Warehouse(work_path(spark, "t-path"))
+    by_cat = Warehouse(work_path(spark, "t-cat"), catalog_prefix="t_cat_")
+    for wh in (by_path, by_cat):
+        load_batch(spark, old, wh, as_of=AS_OF)
+        update_batch(spark, new, wh, as_of=AS_OF)
+    assert snapshot(spark.table("t_cat_cases")) == snapshot(read_facts(spark, by_path.facts))
+    touched = code_cases(extract_fields(testbed.raw_extract(spark, SF, "new")), AS_OF)
+    scoped = scope_partitions(fact_rows(spark, by_cat), touched.select("year", "week"))
+    capsys.readouterr()
+    scoped.explain()
+    plan = capsys.readouterr().out
+    n_weeks = touched.select("year", "week").distinct().count()
+    assert f"InMemoryFileIndex({n_weeks} paths)" in plan
