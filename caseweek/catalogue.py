@@ -302,6 +302,12 @@ def audit_duplicate_cases(spark, sf):
     return duplicate_keys(li, ["l_orderkey", "l_linenumber"])
 
 
+def audit_duplicate_facts(spark, sf):
+    """K9 on the fact table: the old and the new batch appended (a repeated
+    append keeps both copies), then case numbers stored more than once."""
+    return duplicate_keys(_two_loads(spark, sf, "append"), ["caseNum"])
+
+
 def audit_orphan_cases(spark, sf):
     """Side-table rows whose case number has no case."""
     side = testbed.side_rows(spark, sf)
@@ -390,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "findings_case_count": findings_case_count_q,
     "batch_profile": batch_profile_q,
     "audit_duplicate_cases": audit_duplicate_cases,
+    "audit_duplicate_facts": audit_duplicate_facts,
     "audit_orphan_cases": audit_orphan_cases,
     "staging_account": staging_account,
     "staging_product": staging_product,

@@ -418,6 +418,9 @@ def oracle_queries() -> dict[str, str]:
             "UNION ALL SELECT 'table', 'account' FROM ao) GROUP BY kind, dimension"),
         "audit_duplicate_cases": ("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
                                   "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
+        "audit_duplicate_facts": _with(_XO, _XN, _DIMS_O, _DIMS_M, _F_O, _F_N) + (
+            "SELECT caseNum, count(*) AS n FROM (SELECT caseNum FROM f_o UNION ALL SELECT caseNum FROM f_n) "
+            "GROUP BY caseNum HAVING count(*) > 1"),
         "audit_orphan_cases": _with(_XA, f"side AS ({_side_sql()})") + (
             "SELECT CaseNum, Description FROM side s WHERE NOT EXISTS "
             "(SELECT 1 FROM xa WHERE xa.caseNum = s.CaseNum)"),
