@@ -63,3 +63,15 @@ def test_account_upsert_golden(spark):
     assert sorted(map(tuple, upsert_accounts(cur, batch).collect())) == [(1, "A"), (2, "B2"), (3, "C")]
     changes = sorted(map(tuple, account_changes(cur, batch).collect()))
     assert changes == [(2, "B2", "renamed"), (3, "C", "new")]
+
+
+def test_batch_accounts_one_name_per_id(spark):
+    from caseweek.operators import batch_accounts
+    extract = spark.createDataFrame(
+        [("CUST-7", "Beta"), ("CUST-7", "Alpha"), ("X-9", None), ("", "NoId"), (None, "NoId2")],
+        "accountID string, account string")
+    got = sorted(map(tuple, batch_accounts(extract).collect()), key=str)
+    assert got == sorted([(7, "Beta"), (9, None), (-1, "NoId2")], key=str)
+    cur = spark.createDataFrame([(9, "Old"), (5, "Keep")], "id int, name string")
+    merged = sorted(map(tuple, upsert_accounts(cur, batch_accounts(extract)).collect()), key=str)
+    assert merged == sorted([(5, "Keep"), (7, "Beta"), (9, None), (-1, "NoId2")], key=str)
