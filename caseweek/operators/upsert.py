@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..schemas import FACT_COLUMNS, PARTITION_COLUMNS
+from ..session import fits_broadcast
 
 
 def touched_partitions(facts: DataFrame) -> DataFrame:
@@ -12,7 +14,8 @@ def touched_partitions(facts: DataFrame) -> DataFrame:
     return facts.select(*PARTITION_COLUMNS).distinct()
 
 
-def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False) -> DataFrame:
+def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False,
+                     broadcast_check: bool = True) -> DataFrame:
     """New contents of every partition the batch touches.
 
     ``current`` is the existing fact table (any superset of the touched
@@ -22,10 +25,18 @@ def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False)
     result, so a dynamic-partition overwrite leaves them as they are.
     ``scoped=True`` says ``current`` already holds only touched partitions
     (e.g. from ``read_partitions``), which skips a second semi join.
+
+    The batch's (year, week, caseNum) keys grow with the weekly batch, not
+    with the fact table; after a count shows they fit the broadcast bound
+    they are broadcast, so the existing rows are filtered where they are
+    read instead of being shuffled (AQE could only switch to a broadcast
+    after that shuffle was written).
     """
     if not scoped:
         current = current.join(touched_partitions(batch), PARTITION_COLUMNS, "left_semi")
     replaced = batch.select(*PARTITION_COLUMNS, "caseNum").distinct()
+    if broadcast_check and fits_broadcast(replaced):
+        replaced = F.broadcast(replaced)
     survivors = current.join(replaced, [*PARTITION_COLUMNS, "caseNum"], "left_anti")
     cols = [*FACT_COLUMNS, *PARTITION_COLUMNS]
     return survivors.select(*cols).unionByName(batch.select(*cols))

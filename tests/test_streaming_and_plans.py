@@ -55,3 +55,22 @@ def test_lookups_broadcast_small_dimensions(spark, capsys):
     facts = to_facts(lookup_ids(code_cases(x, testbed.AS_OF), dense_ids(batch_members(x))))
     plan = plan_text(facts, capsys)
     assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
+
+
+def test_upsert_keeps_existing_rows_in_place(spark, capsys):
+    """The batch keys are broadcast: the existing rows are not shuffled for the anti join."""
+    from caseweek.operators import merge_partitions
+    wh = Warehouse(work_path(spark, "t-bcast"))
+    p = work_path(spark, "t-bcast-x")
+    write_extract(testbed.raw_extract(spark, SF, "old"), p)
+    load_batch(spark, p, wh, as_of=testbed.AS_OF)
+    coded = code_cases(extract_fields(testbed.raw_extract(spark, SF, "new")), testbed.AS_OF)
+    facts = coded.select(*[c for c in coded.columns if not c.startswith("_nk_") and c != "findings"],
+                         *[F.lit(-1).alias(c) for c in ("ambariVersionID", "stackVersionID",
+                                                         "componentID", "rootcauseID")])
+    merged = merge_partitions(read_partitions(spark, wh.facts, touched_partitions(coded)), facts,
+                              scoped=True)
+    plan = plan_text(merged, capsys)
+    anti = [line for line in plan.splitlines() if "LeftAnti" in line]
+    assert anti and all("BroadcastHashJoin" in line and "BuildRight" in line for line in anti)
+    assert "SortMergeJoin" not in plan
