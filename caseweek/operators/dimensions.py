@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import account_id
-from ..session import pin
+from ..session import fits_broadcast, pin
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 from .coding import natural_key
 
@@ -116,19 +116,39 @@ def batch_accounts(extract: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.max("name").alias("name")))
 
 
-def account_merge(current: DataFrame, batch: DataFrame) -> DataFrame:
+def account_merge(current: DataFrame, batch: DataFrame, broadcast_check: bool = True) -> DataFrame:
     """Type-1 merge on id: ``(id, name, change)``.
 
     The batch's name wins (even a null one), other accounts keep theirs;
     ``change`` is ``new`` (id not in the dimension), ``renamed`` (name
-    differs, null-safe) or null. One full outer join on the natural key.
+    differs, null-safe) or null.
+
+    The batch holds one row per account of one week, the dimension every
+    account ever seen. When a count shows the batch fits the broadcast
+    bound, the batch is broadcast: untouched accounts pass through an anti
+    join where they are read, and only the old rows of the batch's ids meet
+    the batch. Otherwise one full outer join on the id does the same.
     """
+    def label(sent_name, old_name, known):
+        return (F.when(~known, F.lit("new"))
+                .when(~sent_name.eqNullSafe(old_name), F.lit("renamed")))
+
+    if broadcast_check and fits_broadcast(batch):
+        b = F.broadcast(batch.select("id", "name"))
+        kept = (current.select("id", "name").join(b.select("id"), "id", "left_anti")
+                .select("id", "name", F.lit(None).cast("string").alias("change")))
+        before = current.select("id", F.col("name").alias("_old"), F.lit(True).alias("_known")) \
+            .join(b.select("id"), "id", "left_semi")
+        sent = b.join(before, "id", "left")
+        changed = sent.select("id", "name", label(F.col("name"), F.col("_old"),
+                                                   F.col("_known").isNotNull()).alias("change"))
+        return kept.unionByName(changed)
+
     c = current.select("id", F.col("name").alias("_old"), F.lit(True).alias("_known"))
-    b = batch.select("id", F.col("name").alias("_new"), F.lit(True).alias("_sent"))
-    j = c.join(b, "id", "full_outer")
-    sent, known = F.col("_sent").isNotNull(), F.col("_known").isNotNull()
-    change = (F.when(sent & ~known, F.lit("new"))
-              .when(sent & ~F.col("_new").eqNullSafe(F.col("_old")), F.lit("renamed")))
+    bt = batch.select("id", F.col("name").alias("_new"), F.lit(True).alias("_sent"))
+    j = c.join(bt, "id", "full_outer")
+    sent = F.col("_sent").isNotNull()
+    change = F.when(sent, label(F.col("_new"), F.col("_old"), F.col("_known").isNotNull()))
     return j.select("id", F.when(sent, F.col("_new")).otherwise(F.col("_old")).alias("name"),
                     change.alias("change"))
 

@@ -75,3 +75,13 @@ def test_batch_accounts_one_name_per_id(spark):
     cur = spark.createDataFrame([(9, "Old"), (5, "Keep")], "id int, name string")
     merged = sorted(map(tuple, upsert_accounts(cur, batch_accounts(extract)).collect()), key=str)
     assert merged == sorted([(5, "Keep"), (7, "Beta"), (9, None), (-1, "NoId2")], key=str)
+
+
+def test_account_merge_same_with_and_without_broadcast(spark):
+    from caseweek.operators import account_merge
+    cur = spark.createDataFrame([(1, "A"), (2, "B"), (3, None), (4, "D")], "id int, name string")
+    batch = spark.createDataFrame([(2, "B2"), (3, None), (4, None), (5, "E")], "id int, name string")
+    a = sorted(map(tuple, account_merge(cur, batch).collect()), key=str)
+    b = sorted(map(tuple, account_merge(cur, batch, broadcast_check=False).collect()), key=str)
+    assert a == b == sorted([(1, "A", None), (2, "B2", "renamed"), (3, None, None),
+                             (4, None, "renamed"), (5, "E", "new")], key=str)
