@@ -22,13 +22,13 @@ from .operators import (account_changes, batch_accounts, batch_members, batch_pr
                         dense_ids, duplicate_keys, explode_findings, findings_case_count,
                         findings_report, lookup_ids, merge_surrogates, new_members, orphan_rows,
                         to_facts, touched_partitions, upsert_accounts)
-from .plans import (Warehouse, fact_rows, load_batch, maintain_dimensions, read_accounts,
+from .plans import (Warehouse, bootstrap_dimensions, fact_rows, load_batch, maintain_dimensions, read_accounts,
                     read_surrogates, update_batch)
 from .session import work_path
-from .sinks import write_automation, write_smartsense, write_staging, write_table
-from .schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA
+from .sinks import write_automation, write_smartsense, write_staging
+from .schemas import NAME_DIM_SCHEMA
 from .sources import (extract_fields, read_dimension, read_extract, read_facts, read_partitions,
-                      read_staging, write_extract)
+                      write_extract)
 from .specs import LINKS
 from .streaming import process_once as _process_once
 
@@ -316,24 +316,22 @@ def audit_orphan_cases(spark, sf):
 
 def staging_account(spark, sf):
     """Customers as $-delimited staging text -> account dimension."""
-    root = work_path(spark, "staging")
+    wh = Warehouse(work_path(spark, "staging"))
     cust = testbed.table(spark, sf, "customer")
     write_staging(cust.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("ID")),
-                  f"{root}/accounts", "$")
-    stg = read_staging(spark, f"{root}/accounts", "$")
-    write_table(stg.select(F.col("ID").try_cast("int").alias("id"), "name"), f"{root}/account")
-    return read_dimension(spark, f"{root}/account", ACCOUNT_DIM_SCHEMA)
+                  f"{wh.root}/stage-accounts", "$")
+    bootstrap_dimensions(spark, wh, account_staging=f"{wh.root}/stage-accounts")
+    return read_accounts(spark, wh)
 
 
 def staging_product(spark, sf):
     """Parts as comma-delimited staging text -> product dimension."""
-    root = work_path(spark, "staging")
+    wh = Warehouse(work_path(spark, "staging"))
     part = testbed.table(spark, sf, "part")
     write_staging(part.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("ID")),
-                  f"{root}/products", ",")
-    stg = read_staging(spark, f"{root}/products", ",")
-    write_table(stg.select("name", F.col("ID").try_cast("int").alias("id")), f"{root}/product")
-    return read_dimension(spark, f"{root}/product", NAME_DIM_SCHEMA)
+                  f"{wh.root}/stage-products", ",")
+    bootstrap_dimensions(spark, wh, product_staging=f"{wh.root}/stage-products")
+    return read_dimension(spark, wh.dimension("product"), NAME_DIM_SCHEMA)
 
 
 def _table_name(prefix: str) -> str:

@@ -25,7 +25,7 @@ from ..operators import (account_merge, batch_accounts, batch_members, code_case
 from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
 from ..session import pin
 from ..sinks import append_table, insert_facts, write_facts, write_findings, write_table
-from ..sources import read_dimension, read_extract, read_facts, scope_partitions
+from ..sources import read_dimension, read_extract, read_facts, read_staging, scope_partitions
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 
 
@@ -129,6 +129,28 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     return DimensionUpdate(surrogates, accounts, added_sizes, changed)
 
 
+# ---- Fixed values: staging text layouts (separator, header line) -------------
+ACCOUNT_STAGING_SEP = "$"
+PRODUCT_STAGING_SEP = ","
+# ------------------------------------------------------------------------------
+
+
+def bootstrap_dimensions(spark: SparkSession, wh: Warehouse, *, account_staging: str | None = None,
+                         product_staging: str | None = None) -> None:
+    """Load the account and/or product dimension from delimited staging text
+    (``name``, ``ID``; one header line; ``$`` resp. ``,`` separated),
+    replacing the table. The id text becomes an int (null if it is not one).
+    """
+    if account_staging:
+        stg = read_staging(spark, account_staging, ACCOUNT_STAGING_SEP)
+        write_table(stg.select(F.col("ID").try_cast("int").alias("id"), "name"),
+                    wh.dimension("account"), wh.fmt)
+    if product_staging:
+        stg = read_staging(spark, product_staging, PRODUCT_STAGING_SEP)
+        write_table(stg.select("name", F.col("ID").try_cast("int").alias("id")),
+                    wh.dimension("product"), wh.fmt)
+
+
 def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode: str = "append",
                as_of: _dt.date | None = None, batch_label: str | None = None) -> DimensionUpdate:
     """Load an extract DataFrame: ``mode`` is append, overwrite (only the
