@@ -2,6 +2,7 @@
 
     spark-submit -m caseweek load   --file EXTRACT --warehouse ROOT [--overwrite]
     python -m caseweek update --file EXTRACT --warehouse ROOT
+    python -m caseweek bootstrap --warehouse ROOT [--accounts STAGING] [--products STAGING]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so the
 cluster's own settings (master, shared ``spark.checkpoint.dir``) apply.
@@ -16,13 +17,15 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans import Warehouse, load_batch, register_tables, update_batch
+from .plans import Warehouse, bootstrap_dimensions, load_batch, register_tables, update_batch
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="caseweek")
-    ap.add_argument("job", choices=["load", "update"])
-    ap.add_argument("--file", required=True, help="extract file or folder")
+    ap.add_argument("job", choices=["load", "update", "bootstrap"])
+    ap.add_argument("--file", help="extract file or folder (load, update)")
+    ap.add_argument("--accounts", help="bootstrap: $-delimited account staging text")
+    ap.add_argument("--products", help="bootstrap: comma-delimited product staging text")
     ap.add_argument("--warehouse", required=True, help="shared warehouse root folder")
     ap.add_argument("--overwrite", action="store_true",
                     help="load: replace the week partitions the batch touches")
@@ -34,10 +37,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--catalog-prefix", default=None,
                     help="keep the fact table in the catalog as <prefix>cases (partition pruning by the catalog)")
     args = ap.parse_args(argv)
+    if args.job != "bootstrap" and not args.file:
+        ap.error("--file is required for load and update")
 
     spark = SparkSession.builder.appName(f"caseweek-{args.job}").getOrCreate()
     wh = Warehouse(args.warehouse, args.format, args.catalog_prefix)
     try:
+        if args.job == "bootstrap":
+            bootstrap_dimensions(spark, wh, account_staging=args.accounts, product_staging=args.products)
+            print("caseweek bootstrap: done")
+            return 0
         if args.job == "load":
             res = load_batch(spark, args.file, wh, overwrite=args.overwrite, as_of=args.as_of, sep=args.sep)
         else:
