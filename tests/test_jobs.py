@@ -185,3 +185,15 @@ def test_catalog_mode_matches_path_mode_and_lists_only_touched_weeks(spark, extr
     plan = capsys.readouterr().out
     n_weeks = touched.select("year", "week").distinct().count()
     assert f"InMemoryFileIndex({n_weeks} paths)" in plan
+
+
+def test_empty_extract_loads_nothing(spark, extracts):
+    old, _ = extracts
+    wh = Warehouse(work_path(spark, "t-empty"))
+    load_batch(spark, old, wh, as_of=AS_OF)
+    before = snapshot(read_facts(spark, wh.facts))
+    empty = work_path(spark, "t-empty-x")
+    write_extract(testbed.raw_extract(spark, SF, "old").limit(0), empty)
+    res = update_batch(spark, empty, wh, as_of=AS_OF)
+    assert res.added == {} and res.account_changes == 0
+    assert snapshot(read_facts(spark, wh.facts)) == before
