@@ -26,6 +26,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # delete reliable checkpoints once their DataFrames are garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
