@@ -233,7 +233,7 @@ def _two_loads(spark, sf, second: str, catalog: bool = False) -> DataFrame:
 
 
 def fact_append_roundtrip(spark, sf):
-    """K2/K6: old then new batch appended to the partitioned ORC fact table."""
+    """K2: old then new batch appended to the partitioned ORC fact table (by path)."""
     return _two_loads(spark, sf, "append")
 
 
@@ -244,8 +244,9 @@ def fact_overwrite_partitions(spark, sf):
 
 
 def fact_upsert_partitions(spark, sf):
-    """Old batch loaded, then the new batch upserted by
-    case number inside each touched week."""
+    """Old batch loaded, then the new batch upserted by case
+    number inside each touched week (the merged rows stay a DataFrame; K13's
+    temporary view is not needed)."""
     return _two_loads(spark, sf, "upsert")
 
 
