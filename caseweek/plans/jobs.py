@@ -129,6 +129,17 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     return DimensionUpdate(surrogates, accounts, added_sizes, changed)
 
 
+def compact_dimensions(spark: SparkSession, wh: Warehouse) -> None:
+    """Rewrite each surrogate dimension into few files: weekly appends of a
+    few new members leave one small file per load. A REBALANCE lets AQE size
+    the output (one file for a small table). Contents and ids stay the same;
+    each table is pinned first because it is read and replaced.
+    """
+    for spec in SURROGATE_DIMENSIONS:
+        dim = read_dimension(spark, wh.dimension(spec.name), _dim_schema(spec), wh.fmt)
+        write_table(pin(dim.hint("rebalance")), wh.dimension(spec.name), wh.fmt)
+
+
 # ---- Fixed values: staging text layouts (separator, header line) -------------
 ACCOUNT_STAGING_SEP = "$"
 PRODUCT_STAGING_SEP = ","
