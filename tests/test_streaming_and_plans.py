@@ -74,3 +74,21 @@ def test_upsert_keeps_existing_rows_in_place(spark, capsys):
     anti = [line for line in plan.splitlines() if "LeftAnti" in line]
     assert anti and all("BroadcastHashJoin" in line and "BuildRight" in line for line in anti)
     assert "SortMergeJoin" not in plan
+
+
+def test_process_once_one_file_per_micro_batch_equals_load_then_update(spark):
+    from caseweek.plans import update_batch
+    root = work_path(spark, "t-inbox2")
+    for batch in ("old", "new"):          # one file per drop, written in order
+        write_extract(testbed.raw_extract(spark, SF, batch).coalesce(1), f"{root}/in/{batch}")
+    wh = Warehouse(f"{root}/wh")
+    process_once(spark, f"{root}/in/*/*.csv", wh, checkpoint=f"{root}/cp", as_of=testbed.AS_OF,
+                 max_files_per_trigger=1)
+    ref = Warehouse(f"{root}/ref")
+    load_batch(spark, f"{root}/in/old", ref, as_of=testbed.AS_OF)
+    update_batch(spark, f"{root}/in/new", ref, as_of=testbed.AS_OF)
+
+    def rows(w):
+        return sorted(map(tuple, read_facts(spark, w.facts).collect()), key=str)
+    assert rows(wh) == rows(ref)
+    assert spark.read.orc(ledger_path(wh)).count() == 2
