@@ -92,3 +92,14 @@ def test_process_once_one_file_per_micro_batch_equals_load_then_update(spark):
         return sorted(map(tuple, read_facts(spark, w.facts).collect()), key=str)
     assert rows(wh) == rows(ref)
     assert spark.read.orc(ledger_path(wh)).count() == 2
+
+
+def test_account_merge_reads_the_dimension_in_place(spark, capsys):
+    from caseweek.operators import account_merge, batch_accounts
+    dim = spark.range(0, 5000).select(F.col("id").cast("int").alias("id"),
+                                      F.concat(F.lit("acct-"), F.col("id").cast("string")).alias("name"))
+    x = extract_fields(testbed.raw_extract(spark, SF, "new"))
+    plan = plan_text(account_merge(dim, batch_accounts(x)), capsys)
+    joins = [line for line in plan.splitlines() if "Join" in line and "==" not in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+    assert "SortMergeJoin" not in plan
