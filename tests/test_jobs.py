@@ -209,3 +209,18 @@ def test_compact_dimensions_keeps_ids(spark, extracts):
     compact_dimensions(spark, wh)
     assert sorted(map(tuple, read_surrogates(spark, wh).collect()), key=str) == before
     assert len(spark.read.orc(wh.dimension("stackVersion")).inputFiles()) == 1
+
+
+def test_fallbacks_without_broadcast_give_the_same_rows(spark, extracts):
+    from caseweek.operators import batch_members, dense_ids, lookup_ids, to_facts
+    x = extract_fields(testbed.raw_extract(spark, SF))
+    dims = dense_ids(batch_members(x))
+    coded = code_cases(x, AS_OF)
+    a = to_facts(lookup_ids(coded, dims))
+    b = to_facts(lookup_ids(coded, dims, broadcast_check=False))
+    assert snapshot(a) == snapshot(b)
+    cur = a.where(F.col("caseNum") % 2 == 0)
+    new = a.where(F.col("caseNum") % 3 == 0)
+    m1 = merge_partitions(cur, new)
+    m2 = merge_partitions(cur, new, broadcast_check=False)
+    assert sorted(map(tuple, m1.collect()), key=str) == sorted(map(tuple, m2.collect()), key=str)
