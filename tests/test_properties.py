@@ -81,3 +81,21 @@ def test_timestamp_model(spark, cases):
 def test_resolution_model(spark, parts):
     texts = [f"{a} days {b} hours{c} mn" for a, b, c in parts]
     assert run(spark, texts, resolution_minutes) == [1440 * a + 60 * b + c for a, b, c in parts]
+
+
+def model_week(d):
+    since_sunday = (d.weekday() + 1) % 7          # Sunday-first weeks
+    friday = d - dt.timedelta(days=since_sunday) + dt.timedelta(days=5)
+    return (friday + dt.timedelta(days=1)).year, friday.strftime("%m-%d")
+
+
+@SETTINGS
+@given(st.lists(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2100, 12, 31)),
+                min_size=300, max_size=300))
+def test_week_partition_model(spark, days):
+    from caseweek.functions import week_partition_columns
+    df = spark.createDataFrame([(dt.datetime(d.year, d.month, d.day, 12),) for d in days],
+                               "t timestamp_ntz")
+    w = week_partition_columns(F.col("t"), AS_OF)
+    got = [tuple(r) for r in df.select(w["year"], w["week"]).collect()]
+    assert got == [model_week(d) for d in days]
