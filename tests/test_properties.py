@@ -99,3 +99,22 @@ def test_week_partition_model(spark, days):
     w = week_partition_columns(F.col("t"), AS_OF)
     got = [tuple(r) for r in df.select(w["year"], w["week"]).collect()]
     assert got == [model_week(d) for d in days]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.none(), st.text(alphabet="xyzXYZ019 ", max_size=6))),
+                min_size=1, max_size=400, unique=True),
+       st.fixed_dictionaries({"a": st.integers(0, 50), "b": st.integers(0, 50)}))
+def test_dense_ids_model(spark, keys, bases):
+    from caseweek.operators import dense_ids
+    kdf = spark.createDataFrame(keys, "dimension string, member string").repartition(5)
+    base = spark.createDataFrame(list(bases.items()), "dimension string, _base int")
+    got = {(r.dimension, r.member): r.id for r in dense_ids(kdf, base).collect()}
+    expected = {}
+    for dim in "abc":
+        members = sorted((m for d, m in keys if d == dim),
+                         key=lambda m: (m is not None, (m or "").encode()))
+        for i, m in enumerate(members, 1):
+            expected[(dim, m)] = bases.get(dim, 0) + i
+    assert got == expected
