@@ -118,3 +118,33 @@ def test_dense_ids_model(spark, keys, bases):
         for i, m in enumerate(members, 1):
             expected[(dim, m)] = bases.get(dim, 0) + i
     assert got == expected
+
+
+row = st.tuples(st.integers(0, 30), st.sampled_from(["01-06", "01-13", "01-20", "01-27"]))
+
+
+@SETTINGS
+@given(st.lists(row, max_size=60), st.lists(row, max_size=30))
+def test_upsert_model(spark, current, batch):
+    from caseweek.operators import merge_partitions
+    from caseweek.schemas import FACT_COLUMNS, FACT_SCHEMA
+    from caseweek.session import work_path
+    from caseweek.sinks import write_facts
+    from caseweek.sources import read_facts
+
+    def frame(rows, tag):
+        out = []
+        for case, week in rows:
+            v = {c: None for c in FACT_COLUMNS}
+            v.update(caseNum=case, severity=tag)
+            out.append(tuple(v[c] for c in FACT_COLUMNS) + (2017, week))
+        return spark.createDataFrame(out, FACT_SCHEMA)
+
+    path = work_path(spark, "p-upsert")
+    write_facts(frame(current, 0), path)
+    write_facts(merge_partitions(read_facts(spark, path), frame(batch, 1)), path, "overwrite")
+    got = sorted((r.week, r.caseNum, r.severity) for r in read_facts(spark, path).collect())
+    sent = {(w, c) for c, w in batch}
+    expected = sorted([(w, c, 0) for c, w in current if (w, c) not in sent]
+                      + [(w, c, 1) for c, w in batch])
+    assert got == expected
