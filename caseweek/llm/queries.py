@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id
+from . import byte_bpe, language_id, simhash
 from .common import documents, in_fold
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle_words=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, from profiles learned on the rows that are not held out."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -32,6 +39,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
