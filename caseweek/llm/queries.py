@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, simhash
+from . import byte_bpe, exact_dedup, language_id, simhash
 from .common import documents, in_fold
 
 
@@ -16,6 +16,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of each group of equal texts stays."""
+    verdicts, _ = exact_dedup.deduplicate(documents(spark, sf_dir), carry=False)
+    return verdicts.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP3_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, from profiles learned on the rows that are not held out."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -40,8 +53,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_exact_dedup": op3_exact_dedup,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_exact_dedup": OP3_SQL,
+}
