@@ -30,3 +30,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def in_fold(id_col: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id's text leaves ``remainder`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
+
+
+class Memo(dict):
+    """Computed values by text. When it is full, values not used since it was last full are forgotten,
+    so its size is bounded; long texts are computed each time."""
+
+    def __init__(self, compute, entries: int, longest: int = 64):
+        super().__init__()
+        self.compute, self.entries, self.longest, self.old = compute, entries, longest, {}
+
+    def __missing__(self, text):
+        value = self.old.get(text)
+        if value is None:
+            value = self.compute(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[text] = value
+        return value

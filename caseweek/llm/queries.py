@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, simhash
+from . import byte_bpe, exact_dedup, language_id, packing, simhash
 from .common import documents, in_fold
 
 
@@ -29,6 +29,15 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens packed into sequences of 1024."""
+    import public_tokenizers
+
+    packed = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                    end_id=2, capacity=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, from profiles learned on the rows that are not held out."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -54,6 +63,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
