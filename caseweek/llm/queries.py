@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, packing, simhash
+from . import byte_bpe, exact_dedup, language_id, line_dedup, packing, simhash
 from .common import documents, in_fold
 
 
@@ -48,6 +48,32 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that many documents share, as digests."""
+    kept = line_dedup.drop_common_lines(documents(spark, sf_dir), least_docs=3, least_chars=20)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP8_SQL = """
+WITH texts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS own FROM documents
+), lines AS (
+  SELECT doc_id, unnest(own) AS line, unnest(range(len(own))) AS pos FROM texts
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.top AS gone FROM keyed k LEFT JOIN common c USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     import public_tokenizers
@@ -65,9 +91,11 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
+    "op8_line_dedup": op8_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
