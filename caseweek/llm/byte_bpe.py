@@ -20,15 +20,17 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITE_SPACE
 
-#: Pieces and token pairs remembered by one worker before it starts afresh (bounds memory only).
-MEMO_ENTRIES = 400_000
+#: Entries of a memo (chunks, pieces, token pairs) before it starts afresh, and rows handled at a time;
+#: both bound memory only.
+MEMO_ENTRIES = 200_000
+ROWS = 256
 
 #: Text between white space, with one space before it, or white space as the split pattern leaves it.
 #: No alternative of a byte-level split pattern crosses these borders.
@@ -42,7 +44,7 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-def _remember(memo: dict, text: str, ids) -> None:
+def _remember(memo: dict[str, bytes], text: str, ids: bytes) -> None:
     if len(text) <= 64:
         if len(memo) >= MEMO_ENTRIES:
             memo.clear()
@@ -67,11 +69,12 @@ class ByteBpe:
                 continue  # merges never make it; only a piece that equals it gets it
             if len(token) > 1:
                 self.merged[parts] = i
-            self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
+            self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
+        self.lengths = [len(token) for token in tokens]
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, np.ndarray] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def _last_merge(self, rank: int, token: bytes) -> tuple[int, int] | None:
         """The parts left when only merges of lower rank have been made, if they are two."""
@@ -128,22 +131,21 @@ class ByteBpe:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
+        n, lengths, compatible = len(piece), self.lengths, self.compatible
         starting: list[list[int]] = [[] for _ in range(n)]  # token ids by start, shortest first
-        for end, (token, length) in self.automaton.iter(piece.decode("latin-1")):
-            starting[end - length + 1].append(token)
-        tokens, compatible = self.tokens, self.compatible
+        for end, token in self.automaton.iter(piece.decode("latin-1")):
+            starting[end - lengths[token] + 1].append(token)
         ids: list[int] = []
         at = 0
-        left = [None] * n  # candidates not tried yet, by position on the current path
+        untried: list[list[int] | None] = [None] * n  # of the positions on the current path
         fruitless = bytearray(n + 1)
         while at < n:
-            if left[at] is None:
-                left[at] = starting[at].copy()
-            here = left[at]
+            here = untried[at]
+            if here is None:
+                here = untried[at] = starting[at]  # a position is entered once, or is fruitless
             while here:
                 token = here.pop()
-                end = at + len(tokens[token])
+                end = at + lengths[token]
                 if not fruitless[end] and (not ids or compatible(ids[-1], token)):
                     ids.append(token)
                     at = end
@@ -152,58 +154,68 @@ class ByteBpe:
                 fruitless[at] = 1
                 if not ids:
                     raise ValueError("the vocabulary lacks single bytes")
-                at -= len(tokens[ids.pop()])
+                at -= lengths[ids.pop()]
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text."""
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as packed 32-bit integers."""
         known, found = self.chunks, []
         for chunk in _CHUNK.findall(text):
             ids = known.get(chunk)
             if ids is None:
-                ids = np.array([i for piece in self.pattern.findall(chunk) for i in self._piece_ids(piece)],
-                               dtype=np.int32)
+                ids = b"".join(map(self._piece_ids, self.pattern.findall(chunk)))
                 _remember(known, chunk, ids)
             found.append(ids)
-        return np.concatenate(found) if found else np.empty(0, np.int32)
+        return b"".join(found)
 
-    def _piece_ids(self, piece: str) -> list[int]:
+    def _piece_ids(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self.encode_piece(piece.encode())
+            ids = np.array(self.encode_piece(piece.encode("utf-8", "surrogatepass")), np.int32).tobytes()
             _remember(self.pieces, piece, ids)
         return ids
 
-    def decode(self, ids) -> bytes:
-        """Bytes of a sequence of ids."""
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 @functools.lru_cache(maxsize=2)
 def _codec(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(read_ranks(path), pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def _tokens(path: str) -> list[bytes]:
+    return read_ranks(path)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every row's whole text. ``ranks_path`` must exist on every worker."""
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(ranks_path, pattern)
-        for texts in batches:
-            yield pd.Series([codec.encode(t or "") for t in texts], dtype=object)
-
-    return docs.select(id_col, ids_of(F.col(text_col)).alias("ids"))
-
-
-def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """``encoded`` with the bytes its ids stand for in ``decoded``."""
-
-    @F.pandas_udf("binary")
-    def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
-        for rows in batches:
-            yield pd.Series([codec.decode(() if ids is None else ids.tolist()) for ids in rows], dtype=object)
-
-    return encoded.withColumn("decoded", bytes_of(F.col(ids_col)))
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                                      names=[id_col, "ids"])
+
+    rows = docs.select(id_col, text_col)
+    return rows.mapInArrow(encoded, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>")
+
+
+def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id, ids, decoded) with the bytes the ids stand for."""
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = _tokens(ranks_path).__getitem__
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                texts = [b"".join(map(token, ids or ())) for ids in part.column(1).to_pylist()]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.binary())],
+                                      names=[id_col, "ids", "decoded"])
+
+    rows = encoded.select(id_col, ids_col)
+    return rows.mapInArrow(decoded, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>, decoded binary")
