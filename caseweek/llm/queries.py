@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, line_dedup, packing, simhash
+from . import byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_rules, simhash
 from .common import documents, in_fold
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures of every document, and whether the rules' votes keep it."""
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle_words=3, max_bits=3)
@@ -87,6 +92,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_packing": op6_packing,
