@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_rules, simhash
-from .common import documents, in_fold
+from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_rules, simhash,
+               toxicity)
+from .common import documents, in_fold, labels
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +92,16 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a grammar whose insults are learned on the rows that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    weights, prior = toxicity.learn(docs, labels(spark, sf_dir).filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"),
+                         toxicity.toxicity_column(F.col("text"), weights, prior).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -99,6 +110,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
