@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_rules, simhash,
-               toxicity)
+from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_classifier, quality_rules,
+               simhash, toxicity)
 from .common import documents, in_fold, labels
 
 
@@ -35,6 +35,16 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from positive and unlabelled rows that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    model = quality_classifier.learn(docs.filter(~held_out), labels(spark, sf_dir).filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"),
+                         quality_classifier.quality_column(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens packed into sequences of 1024."""
     import public_tokenizers
@@ -106,6 +116,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
