@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_classifier, quality_rules,
-               simhash, toxicity)
-from .common import documents, in_fold, labels
+               simhash, toxicity, warc_fixity)
+from .common import documents, in_fold, labels, stored
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,53 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def _damaged_copy(replica: DataFrame) -> DataFrame:
+    """Stand-in input: a second copy of a replica in which some records are lost, cut short or altered."""
+    digest = F.sha2(F.concat(F.lit("damage"), F.sha2("payload", 256)).cast("binary"), 256)
+    chance, n = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), F.length("payload")
+    altered = F.concat(F.expr("substring(payload, 1, length(payload) - 5)"), F.lit("~").cast("binary"),
+                       F.expr("substring(payload, length(payload) - 3, 4)"))
+    payload = (F.when(chance % 40 == 1, F.expr("substring(payload, 1, length(payload) div 2)"))
+               .when((chance % 40 == 2) & (n > 5), altered).otherwise(F.col("payload")))
+    return replica.filter(chance % 40 != 0).withColumn("payload", payload)
+
+
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages whose second copy is damaged, found by comparing hash trees."""
+    first = stored(warc_fixity.archive(spark.read.parquet(f"{sf_dir}/pages.parquet")), "warc-first")
+    second = stored(_damaged_copy(first), "warc-second")
+    tree = warc_fixity.FixityTree(first)
+    found = warc_fixity.audit(tree, warc_fixity.FixityTree(second))
+    owners = tree.records.select("file", "offset", F.col("record_id").alias("page_id"), "length")
+    return found.join(owners, ["file", "offset"]).select(
+        "page_id", "length", "status", F.col("digest_a").alias("sha256"), F.col("digest_b").alias("found_sha256"))
+
+
+OP5_SQL = r"""
+WITH parts AS (
+  SELECT page_id, encode('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+           || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+           || 'Content-Type: text/html' || chr(13) || chr(10)
+           || 'Content-Length: ' || octet_length(encode(coalesce(html, '')))::VARCHAR
+           || chr(13) || chr(10) || chr(13) || chr(10)
+           || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS payload
+  FROM pages
+), hashed AS (
+  SELECT *, octet_length(payload) AS length, hex(payload) AS digits, sha256(payload) AS sha256 FROM parts
+), chosen AS (
+  SELECT *, ('0x' || substr(sha256('damage' || sha256), 1, 4))::INTEGER % 40 AS chance FROM hashed
+), copied AS (
+  SELECT *, CASE chance WHEN 0 THEN NULL WHEN 1 THEN sha256(unhex(substr(digits, 1, 2 * (length // 2))))
+            WHEN 2 THEN sha256(unhex(substr(digits, 1, 2 * (length - 5)) || '7E' || right(digits, 8)))
+            ELSE sha256 END AS found_sha256 FROM chosen
+)
+SELECT page_id, length, CASE WHEN found_sha256 IS NULL THEN 'missing' ELSE 'changed' END AS status, sha256,
+       found_sha256
+FROM copied WHERE found_sha256 IS DISTINCT FROM sha256
+"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens packed into sequences of 1024."""
     import public_tokenizers
@@ -117,6 +164,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_warc_fixity": op5_warc_fixity,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
@@ -126,5 +174,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op5_warc_fixity": OP5_SQL,
     "op8_line_dedup": OP8_SQL,
 }
