@@ -18,7 +18,7 @@ from . import testbed
 from .functions import (account_id, environment_id, link_parts, link_tail, link_tail_backtrack,
                         resolution_minutes, severity_code, status_code, week_partition_columns,
                         with_case_timestamps)
-from .operators import (account_changes, batch_accounts, batch_members, batch_profile, code_cases,
+from .operators import (account_merge, batch_accounts, batch_members, batch_profile, code_cases,
                         dense_ids, duplicate_keys, explode_findings, findings_case_count,
                         findings_report, lookup_ids, merge_surrogates, new_members, orphan_rows,
                         to_facts, touched_partitions, upsert_accounts)
@@ -30,6 +30,7 @@ from .schemas import NAME_DIM_SCHEMA
 from .sources import (extract_fields, read_dimension, read_extract, read_facts, read_partitions,
                       write_extract)
 from .specs import LINKS
+from .streaming import ledger_path
 from .streaming import process_once as _process_once
 
 AS_OF = testbed.AS_OF
@@ -83,15 +84,13 @@ def account_env_ids(spark, sf):
 
 def link_tail_q(spark, sf):
     """Link tails of every extract link column and of ``pages.url``."""
-    x = _x(spark, sf)
-    parts = [x.select(F.lit(s.column).alias("source"), F.col("caseNum").cast("long").alias("id"),
-                      F.col(s.column).alias("link")) for s in LINKS]
-    parts.append(testbed.table(spark, sf, "pages").select(
+    links = F.explode(F.array(*[F.struct(F.lit(s.column).alias("source"), F.col(s.column).alias("link"))
+                                for s in LINKS]))
+    cases = _x(spark, sf).select(F.col("caseNum").cast("long").alias("id"), links.alias("l")).select(
+        "l.source", "id", "l.link")
+    rows = cases.unionByName(testbed.table(spark, sf, "pages").select(
         F.lit("pages.url").alias("source"), F.col("page_id").cast("long").alias("id"),
         F.col("url").alias("link")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
     return rows.select("source", "id", "link", link_tail(F.col("link")).alias("tail"),
                        link_tail_backtrack(F.col("link"), BACKTRACK).alias("tail_back"))
 
@@ -170,23 +169,17 @@ def dim_growth(spark, sf):
     """Per dimension, old and new size, members added, accounts renamed."""
     x_old, x_new = _x(spark, sf, "old"), _x(spark, sf, "new")
     dims_old = dense_ids(batch_members(x_old))
-    merged, added = merge_surrogates(dims_old, batch_members(x_new))
-    acc_old, acc_batch = batch_accounts(x_old), batch_accounts(x_new)
-    acc_new = upsert_accounts(acc_old, acc_batch)
-    changes = account_changes(acc_old, acc_batch)
-
-    def tag(df, dim, o=0, n=0, a=0, r=0):
-        return df.select(dim.alias("dimension"), F.lit(o).alias("o"), F.lit(n).alias("n"),
-                         F.lit(a).alias("a"), F.lit(r).alias("r"))
-    acct = F.lit("account")
-    rows = (tag(dims_old, F.col("dimension"), o=1).unionByName(tag(merged, F.col("dimension"), n=1))
-            .unionByName(tag(added, F.col("dimension"), a=1))
-            .unionByName(tag(acc_old, acct, o=1)).unionByName(tag(acc_new, acct, n=1))
-            .unionByName(tag(changes.where(F.col("change") == "new"), acct, a=1))
-            .unionByName(tag(changes.where(F.col("change") == "renamed"), acct, r=1)))
+    _, added = merge_surrogates(dims_old, batch_members(x_new))
+    # every row of the merged tables once, with what the update did to it
+    accounts = account_merge(batch_accounts(x_old), batch_accounts(x_new)).select(
+        F.lit("account").alias("dimension"), "change")
+    rows = (dims_old.select("dimension", F.lit(None).cast("string").alias("change"))
+            .unionByName(added.select("dimension", F.lit("new").alias("change"))).unionByName(accounts))
+    is_new = F.coalesce(F.col("change") == "new", F.lit(False))
     return rows.groupBy("dimension").agg(
-        F.sum("o").cast("long").alias("old_size"), F.sum("n").cast("long").alias("new_size"),
-        F.sum("a").cast("long").alias("added"), F.sum("r").cast("long").alias("renamed"))
+        F.count(F.when(~is_new, 1)).alias("old_size"), F.count(F.lit(1)).alias("new_size"),
+        F.count(F.when(is_new, 1)).alias("added"),
+        F.count(F.when(F.col("change") == "renamed", 1)).alias("renamed"))
 
 
 def dim_lookup_default(spark, sf):
@@ -335,6 +328,36 @@ def staging_product(spark, sf):
     return read_dimension(spark, wh.dimension("product"), NAME_DIM_SCHEMA)
 
 
+def fact_after_bootstrap(spark, sf):
+    """A product dimension bootstrapped from staging text that lists every
+    name many times, then a load: one fact row for each extract row."""
+    wh = Warehouse(work_path(spark, "wh"))
+    cust = testbed.table(spark, sf, "customer")
+    write_staging(cust.select(F.col("c_mktsegment").alias("name"), F.col("c_custkey").alias("ID")),
+                  f"{wh.root}/stage-products", ",")
+    bootstrap_dimensions(spark, wh, product_staging=f"{wh.root}/stage-products")
+    load_batch(spark, _csv(spark, sf, "new"), wh, as_of=AS_OF)
+    return fact_rows(spark, wh).select("caseNum", "componentID")
+
+
+def malformed_cases(spark, sf):
+    """A new batch whose pending cases have unreadable numbers, updated
+    twice: those rows stand in the refused table of both loads, the others
+    are stored once. Counts by kind and case."""
+    wh = Warehouse(work_path(spark, "wh"))
+    path = work_path(spark, "csv")
+    number = F.col("Case Number").cast("string")
+    raw = testbed.raw_extract(spark, sf, "new").withColumn(
+        "Case Number", F.when(F.col("Status") == "Pending", F.concat(F.lit("no-"), number)).otherwise(number))
+    write_extract(raw, path)
+    for _ in range(2):
+        update_batch(spark, path, wh, as_of=AS_OF)
+    refused = spark.read.format(wh.fmt).load(wh.refused).select(
+        F.lit("refused").alias("kind"), F.regexp_extract("line", ",no-([0-9]+),", 1).alias("case_number"))
+    stored = fact_rows(spark, wh).select(F.lit("fact").alias("kind"), F.col("caseNum").cast("string").alias("case_number"))
+    return refused.unionByName(stored).groupBy("kind", "case_number").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
@@ -354,11 +377,12 @@ def smartsense_bucketed(spark, sf):
 
 
 def process_once(spark, sf):
-    """Two extract drops in an inbox, loaded by a file-stream source
-    that runs twice; every file is loaded exactly once."""
+    """Two extract drops (a file each) in an inbox, loaded by a file-stream
+    source that runs twice; every file is loaded exactly once, the later after
+    the earlier."""
     root = work_path(spark, "inbox")
     for batch in ("old", "new"):
-        write_extract(testbed.raw_extract(spark, sf, batch), f"{root}/in/{batch}")
+        write_extract(testbed.raw_extract(spark, sf, batch).coalesce(1), f"{root}/in/{batch}")
     wh = Warehouse(f"{root}/wh")
     for _ in range(2):
         _process_once(spark, f"{root}/in/*/*.csv", wh, checkpoint=f"{root}/checkpoint",
@@ -366,6 +390,21 @@ def process_once(spark, sf):
     return read_facts(spark, wh.facts)
 
 
+def process_ledger(spark, sf):
+    """Two inboxes, each with its own checkpoint, loaded into one
+    warehouse: per load its rows, the length of its run date, and its cases with findings."""
+    root = work_path(spark, "inboxes")
+    wh = Warehouse(f"{root}/wh")
+    for batch in ("old", "new"):
+        write_extract(testbed.raw_extract(spark, sf, batch).coalesce(1), f"{root}/in-{batch}")
+        _process_once(spark, f"{root}/in-{batch}", wh, checkpoint=f"{root}/checkpoint-{batch}", as_of=AS_OF)
+    ledger = spark.read.format(wh.fmt).load(ledger_path(wh))
+    cases = spark.read.format(wh.fmt).load(wh.findings).groupBy("batch").agg(
+        F.count_distinct("case_num").alias("cases"))
+    return ledger.join(cases, "batch", "left").select(
+        "batch_id", "rows", F.length("run_date").alias("run_date_length"), "cases")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "case_extract_scan": case_extract_scan,
     "severity_status_codes": severity_status_codes,
@@ -402,4 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "automation_bucketed": automation_bucketed,
     "smartsense_bucketed": smartsense_bucketed,
     "process_once": process_once,
+    "fact_after_bootstrap": fact_after_bootstrap,
+    "malformed_cases": malformed_cases,
+    "process_ledger": process_ledger,
 }

@@ -23,8 +23,12 @@ def status_code(text: Column) -> Column:
 
 
 def trailing_int(text: Column) -> Column:
-    """Integer after the last ``-`` (the whole text if none); null if blank or not an int."""
-    return F.substring_index(text, "-", -1).try_cast("int")
+    """Integer after the last ``-`` (the whole text if none); null if blank or not an int.
+
+    Only digits with an optional sign count; a cast alone would also take blanks around them.
+    """
+    tail = F.substring_index(text, "-", -1)
+    return F.when(tail.rlike(r"^[+-]?[0-9]+\z"), tail.try_cast("int"))
 
 
 def account_id(text: Column) -> Column:

@@ -24,8 +24,9 @@ def lookup_ids(coded: DataFrame, dims_long: DataFrame,
     small = broadcast_check and fits_broadcast(dims_long)
     for spec in specs:
         dk = f"_dk_{spec.name}"
+        # one id per member, the smallest: a member stored twice must not multiply fact rows
         dim = (dims_long.where(F.col("dimension") == F.lit(spec.name))
-               .select(F.col("member").alias(dk), F.col("id").alias(spec.fact_column)))
+               .groupBy(F.col("member").alias(dk)).agg(F.min("id").alias(spec.fact_column)))
         if small:
             dim = F.broadcast(dim)
         out = (out.join(dim, out[key_column(spec)].eqNullSafe(dim[dk]), "left")

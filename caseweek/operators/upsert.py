@@ -37,6 +37,9 @@ def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False,
     replaced = batch.select(*PARTITION_COLUMNS, "caseNum").distinct()
     if broadcast_check and fits_broadcast(replaced):
         replaced = F.broadcast(replaced)
-    survivors = current.join(replaced, [*PARTITION_COLUMNS, "caseNum"], "left_anti")
+    # null-safe: a row without a case number is replaced by one without, not added to it
+    old, new = current.alias("old"), replaced.alias("new")
+    same = [F.col(f"old.{c}") == F.col(f"new.{c}") for c in PARTITION_COLUMNS]
+    survivors = old.join(new, same[0] & same[1] & F.col("old.caseNum").eqNullSafe(F.col("new.caseNum")), "left_anti")
     cols = [*FACT_COLUMNS, *PARTITION_COLUMNS]
     return survivors.select(*cols).unionByName(batch.select(*cols))

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from .functions.timestamps import COMPACT_RE, SLASHED_RE, century_window
 from .specs import (ACCOUNT_MISS_ID, LINKS, LOOKUP_MISS_ID, NO_DASH_CODE, NO_DASH_MESSAGE,
                     RULES, SEVERITY_CODES, SEVERITY_OTHER, SURROGATE_DIMENSIONS, LinkSpec)
 from .testbed import (AS_OF, LINK_BASE, NEW_FROM, OLD_BEFORE, ROOT_CAUSES, SEVERITY_TEXTS)
 
 
+# ---- Fixed values: the timestamp layouts in SQL terms, and the two-digit-year window ----
+COMPACT_SQL = "^([0-9]{4})([0-9]{2})[ \t]*([0-9]+) ([0-9]{2})([0-9]{2})[ \t]*([0-9]+)"
+SLASHED_SQL = "^[ \t]*([0-9]+)/[ \t]*([0-9]+)/[ \t]*([0-9]+) [ \t]*([0-9]+):[ \t]*([0-9]+)"
+WINDOW_YEARS_BACK = 80
+# ------------------------------------------------------------------------------
+
+
 def q(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -49,7 +55,8 @@ def extract_sql(batch: str = "all") -> str:
     date_close = ("CASE WHEN o.o_orderstatus = 'F' THEN "
                   "strftime(o.o_orderdate + INTERVAL 3 DAY, '%-m/%-d/%y %-H:%M') END")
     account = "c.c_name || ' Ltd'" if revised else "c.c_name"
-    account_id = f"CASE WHEN {k} % 211 = 0 THEN '' ELSE 'CUST-' || CAST(o.o_custkey AS VARCHAR) END"
+    account_id = (f"CASE WHEN {k} % 211 = 0 THEN '' WHEN {k} % 223 = 0 THEN 'CUST- ' || CAST(o.o_custkey AS VARCHAR) "
+                  "ELSE 'CUST-' || CAST(o.o_custkey AS VARCHAR) END")
     am, sm = (6, 9) if revised else (5, 7)
     ambari = f"CASE WHEN {k} % 4 <> 0 THEN '2.' || CAST({k} % {am} AS VARCHAR) END"
     stack = f"'2.6.' || CAST({k} % {sm} AS VARCHAR)"
@@ -90,7 +97,8 @@ def status_sql(c: str) -> str:
 
 
 def trailing_int_sql(c: str) -> str:
-    return f"TRY_CAST(string_split({c}, '-')[-1] AS INTEGER)"
+    tail = f"string_split({c}, '-')[-1]"
+    return f"CASE WHEN regexp_full_match({tail}, '[+-]?[0-9]+') THEN TRY_CAST({tail} AS INTEGER) END"
 
 
 def account_id_sql(c: str) -> str:
@@ -109,11 +117,12 @@ def _checked_ts(y, mo, dd, h, mi, s) -> str:
 
 def timestamp_sql(c: str, as_of: _dt.date = AS_OF) -> str:
     """Compact layout first, then the slashed one with the two-digit-year window."""
-    f1 = [_int(f"regexp_extract({c}, {q(COMPACT_RE)}, {i})") for i in range(1, 7)]
+    f1 = [_int(f"regexp_extract({c}, {q(COMPACT_SQL)}, {i})") for i in range(1, 7)]
     compact = _checked_ts(*f1)
-    mo, dd, yy, h, mi = (_int(f"regexp_extract({c}, {q(SLASHED_RE)}, {i})") for i in (1, 2, 3, 4, 5))
-    yy_txt = f"regexp_extract({c}, {q(SLASHED_RE)}, 3)"
-    base, start_key = century_window(as_of)
+    mo, dd, yy, h, mi = (_int(f"regexp_extract({c}, {q(SLASHED_SQL)}, {i})") for i in (1, 2, 3, 4, 5))
+    yy_txt = f"regexp_extract({c}, {q(SLASHED_SQL)}, 3)"
+    start = as_of.year - WINDOW_YEARS_BACK     # the window starts on the same day of that year
+    base, start_key = start // 100 * 100, (start * 10000 + as_of.month * 100 + as_of.day) * 1_000_000
     y_low = f"({base} + {yy})"
     key = (f"({y_low} * 10000000000 + {mo} * 100000000 + {dd} * 1000000 + {h} * 10000 + {mi} * 100)")
     y2 = (f"(CASE WHEN length({yy_txt}) = 2 THEN (CASE WHEN {key} < {start_key} THEN {y_low} + 100 "
@@ -346,6 +355,9 @@ def oracle_queries() -> dict[str, str]:
                   "WHERE o.dimension = m.dimension AND o.member IS NOT DISTINCT FROM m.member)")
     changes = ("ch AS (SELECT b.id, CASE WHEN o.id IS NULL THEN 'new' ELSE 'renamed' END AS change "
                "FROM an b LEFT JOIN ao o ON b.id = o.id WHERE o.id IS NULL OR b.name IS DISTINCT FROM o.name)")
+    upsert = _with(_XO, _XN, _DIMS_O, _DIMS_M, _F_O, _F_N) + (
+        f"SELECT * FROM f_o o WHERE NOT EXISTS (SELECT 1 FROM f_n n WHERE {same} "
+        "AND n.caseNum = o.caseNum) UNION ALL SELECT * FROM f_n")
     acc_up = f"au AS ({upsert_accounts_sql('ao', 'an')})"
     return {
         "case_extract_scan": _with(_XA) + f"SELECT {', '.join(fields)} FROM xa",
@@ -400,9 +412,7 @@ def oracle_queries() -> dict[str, str]:
         "touched_partitions": _with(_XN) + "SELECT DISTINCT year, week FROM n_c",
         "fact_partition_scan": _with(_XO, _XN, _DIMS_O, _F_O) + (
             f"SELECT * FROM f_o o WHERE EXISTS (SELECT 1 FROM n_c n WHERE {same})"),
-        "fact_upsert_partitions": _with(_XO, _XN, _DIMS_O, _DIMS_M, _F_O, _F_N) + (
-            f"SELECT * FROM f_o o WHERE NOT EXISTS (SELECT 1 FROM f_n n WHERE {same} "
-            "AND n.caseNum = o.caseNum) UNION ALL SELECT * FROM f_n"),
+        "fact_upsert_partitions": upsert,
         "findings_rules": _with(_XA) + rule_findings_sql("a"),
         "findings_links": _with(_XA) + link_findings_sql("a"),
         "findings_report": _with(_XA, _FI_A) + (
@@ -425,14 +435,26 @@ def oracle_queries() -> dict[str, str]:
             "SELECT CaseNum, Description FROM side s WHERE NOT EXISTS "
             "(SELECT 1 FROM xa WHERE xa.caseNum = s.CaseNum)"),
         "staging_account": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name FROM customer",
-        "staging_product": "SELECT p_name AS name, CAST(p_partkey AS INTEGER) AS id FROM part",
+        "staging_product": "SELECT p_name AS name, CAST(min(p_partkey) AS INTEGER) AS id FROM part GROUP BY p_name",
         "automation_bucketed": _side_sql(),
         "smartsense_bucketed": (
             "SELECT CAST(event_id * 2 AS INTEGER) AS CaseNum, event_type AS Existing_Rule, "
             "props AS Suggestion, 'user-' || CAST(user_id AS VARCHAR) AS Suggestion_Owner, "
             "CAST(NULL AS VARCHAR) AS Reviewed_By, 'EV-' || CAST(event_id AS VARCHAR) AS JIRA, "
             "event_type AS status, CAST(floor(hour(ts) / 6) + 1 AS INTEGER) AS Priority FROM events"),
-        "process_once": _with(
-            f"xu AS ({extract_sql('old')} UNION ALL {extract_sql('new')})", coded_ctes("u", "xu"),
-            f"dims_u AS ({dense_sql(members_sql('u'))})") + facts_sql("u", "dims_u"),
+        # the earlier file loaded, then the later one as an update
+        "process_once": upsert,
+        "fact_after_bootstrap": (
+            "SELECT CAST(o_orderkey AS INTEGER) AS caseNum, CAST(s.id AS INTEGER) AS componentID FROM orders "
+            "JOIN customer ON o_custkey = c_custkey JOIN (SELECT c_mktsegment AS name, min(c_custkey) AS id "
+            f"FROM customer GROUP BY 1) s ON s.name = c_mktsegment WHERE o_orderdate >= {d(NEW_FROM)}"),
+        "malformed_cases": (
+            "SELECT CASE WHEN o_orderstatus = 'P' THEN 'refused' ELSE 'fact' END AS kind, "
+            "CAST(o_orderkey AS VARCHAR) AS case_number, "
+            "CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS BIGINT) AS n "
+            f"FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= {d(NEW_FROM)}"),
+        "process_ledger": _with(_XO, _XN) + " UNION ALL ".join(
+            f"SELECT CAST(0 AS BIGINT) AS batch_id, (SELECT count(*) FROM x{p}) AS rows, 8 AS run_date_length, "
+            f"(SELECT count(DISTINCT case_num) FROM ({rule_findings_sql(p)} UNION ALL {link_findings_sql(p)})) AS cases"
+            for p in ("o", "n")),
     }

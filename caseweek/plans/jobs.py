@@ -12,6 +12,7 @@ partitions of an upsert (bounded by the calendar, capped).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -23,9 +24,11 @@ from ..operators import (account_merge, batch_accounts, batch_members, code_case
                          explode_findings, from_long, lookup_ids, merge_partitions,
                          merge_surrogates, to_facts, to_long, touched_partitions)
 from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
-from ..session import pin
-from ..sinks import append_table, insert_facts, write_facts, write_findings, write_table
-from ..sources import read_dimension, read_extract, read_facts, read_staging, scope_partitions
+from ..session import path_exists, pin
+from ..sinks import (append_table, insert_facts, replace_table, write_batch, write_facts, write_findings,
+                     write_table)
+from ..sources import (read_dimension, read_extract, read_facts, read_staging, scope_partitions,
+                       split_refused)
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 
 
@@ -33,8 +36,9 @@ from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
 class Warehouse:
     """Folder layout of one warehouse (a shared file-system root).
 
-    With ``catalog_prefix`` set, the fact table is also a catalog table
-    (``<prefix>cases``, created on first use): facts are read with
+    ``table`` names the fact table and its folder. With ``catalog_prefix``
+    set, it is also a catalog table
+    (``<prefix><table>``, created on first use): facts are read with
     ``spark.table`` and written with ``insertInto``, so partition filters are
     answered by the catalog and only the touched week folders are listed -
     what a fact table with years of weekly partitions needs. Without it,
@@ -43,14 +47,19 @@ class Warehouse:
     root: str
     fmt: str = "orc"
     catalog_prefix: str | None = None
+    table: str = "cases"
 
     @property
     def fact_table(self) -> str | None:
-        return None if self.catalog_prefix is None else f"{self.catalog_prefix}cases"
+        return None if self.catalog_prefix is None else f"{self.catalog_prefix}{self.table}"
 
     @property
     def facts(self) -> str:
-        return f"{self.root}/cases"
+        return f"{self.root}/{self.table}"
+
+    @property
+    def refused(self) -> str:
+        return f"{self.root}/refused"
 
     @property
     def findings(self) -> str:
@@ -100,6 +109,9 @@ class DimensionUpdate:
     accounts: DataFrame          # merged account dimension, lineage cut
     added: dict[str, int]        # new members per surrogate dimension
     account_changes: int         # new or renamed accounts
+    batch: str | None = None     # label of the load in the findings and the refused rows
+    rows: int = 0                # rows of the extract, refused ones too
+    refused: int = 0             # rows without a readable case number
 
 
 def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame) -> DimensionUpdate:
@@ -108,7 +120,8 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
 
     Surrogate dimensions only grow and existing ids never change, so their
     new members are appended; the account dimension (names change in place)
-    is rewritten from a checkpoint. Dimensions are written before any fact
+    is rewritten from a checkpoint into a folder of its own, which then takes
+    the table's place. Dimensions are written before any fact
     row, as a reload relies on it.
     """
     added_sizes: dict[str, int] = {}
@@ -122,7 +135,7 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     changed = merged.where(F.col("change").isNotNull()).count()
     accounts = merged.select("id", "name")
     if changed > 0:
-        write_table(accounts, wh.dimension("account"), wh.fmt)
+        replace_table(accounts, wh.dimension("account"), wh.fmt)
     # tiny and read by every lookup: keep one copy in memory (re-read from the
     # tables if an executor holding it is lost)
     surrogates = read_surrogates(spark, wh).persist(StorageLevel.MEMORY_AND_DISK)
@@ -150,15 +163,18 @@ def bootstrap_dimensions(spark: SparkSession, wh: Warehouse, *, account_staging:
                          product_staging: str | None = None) -> None:
     """Load the account and/or product dimension from delimited staging text
     (``name``, ``ID``; one header line; ``$`` resp. ``,`` separated),
-    replacing the table. The id text becomes an int (null if it is not one).
+    replacing the table. The id text becomes an int; rows whose id is none
+    are left out. A product name listed several times gets its smallest id
+    and an account id its largest name, so that every member has one row.
     """
+    number = F.col("ID").try_cast("int").alias("id")
     if account_staging:
-        stg = read_staging(spark, account_staging, ACCOUNT_STAGING_SEP)
-        write_table(stg.select(F.col("ID").try_cast("int").alias("id"), "name"),
+        stg = read_staging(spark, account_staging, ACCOUNT_STAGING_SEP).select(number, "name")
+        write_table(stg.where("id IS NOT NULL").groupBy("id").agg(F.max("name").alias("name")),
                     wh.dimension("account"), wh.fmt)
     if product_staging:
-        stg = read_staging(spark, product_staging, PRODUCT_STAGING_SEP)
-        write_table(stg.select("name", F.col("ID").try_cast("int").alias("id")),
+        stg = read_staging(spark, product_staging, PRODUCT_STAGING_SEP).select("name", number)
+        write_table(stg.where("id IS NOT NULL").groupBy("name").agg(F.min("id").alias("id")),
                     wh.dimension("product"), wh.fmt)
 
 
@@ -166,9 +182,16 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
                as_of: _dt.date | None = None, batch_label: str | None = None) -> DimensionUpdate:
     """Load an extract DataFrame: ``mode`` is append, overwrite (only the
     touched week partitions are replaced) or upsert (case number within its
-    week partition is the key)."""
+    week partition is the key).
+
+    Rows without a readable case number have no key: they are kept apart in
+    the ``refused`` table, as raw lines under the load's label, and reach
+    neither facts, dimensions nor findings. The label is unique unless given.
+    """
     as_of = as_of or _dt.date.today()
-    extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    label = batch_label or f"{_dt.datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
+    scanned = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    extract, refused = split_refused(scanned)
     coded = dims = None
     try:
         dims = maintain_dimensions(spark, wh, extract)
@@ -184,41 +207,43 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
             store_facts(spark, wh, facts, mode)
         else:
             raise ValueError(f"unknown load mode {mode!r}")
-        label = batch_label or _dt.datetime.now().strftime("%Y%m%d%H%M%S")
         write_findings(findings.withColumn("batch", F.lit(label)), wh.findings, wh.fmt)
+        write_batch(refused.withColumn("batch", F.lit(label)), wh.refused, wh.fmt)
+        if wh.catalog_prefix is not None:
+            register_tables(spark, wh, prefix=wh.catalog_prefix)
+        counts = scanned.agg(F.count(F.lit(1)).alias("n"), F.count("caseNum").alias("cases")).first()
+        dims.batch, dims.rows, dims.refused = label, counts["n"], counts["n"] - counts["cases"]
         return dims
     finally:
         if coded is not None:
             coded.unpersist()
         if dims is not None:
             dims.surrogates.unpersist()
-        extract.unpersist()
+        scanned.unpersist()
 
 
 def load_batch(spark: SparkSession, path: str, wh: Warehouse, *, overwrite: bool = False,
                as_of: _dt.date | None = None, sep: str = ",") -> DimensionUpdate:
     """Weekly load of an extract file (append, or overwrite touched weeks)."""
-    return load_frame(spark, read_extract(spark, path, sep), wh,
+    return load_frame(spark, read_extract(spark, path, sep, raw_line=True), wh,
                       mode="overwrite" if overwrite else "append", as_of=as_of)
 
 
 def update_batch(spark: SparkSession, path: str, wh: Warehouse, *,
                  as_of: _dt.date | None = None, sep: str = ",") -> DimensionUpdate:
     """Weekly update: upsert by case number inside each touched week."""
-    return load_frame(spark, read_extract(spark, path, sep), wh, mode="upsert", as_of=as_of)
+    return load_frame(spark, read_extract(spark, path, sep, raw_line=True), wh, mode="upsert", as_of=as_of)
 
 
 def _ddl_columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _recover(spark: SparkSession, table: str) -> None:
+def _recover(spark: SparkSession, table: str, location: str) -> None:
     """Register partition folders already on disk (none yet is fine)."""
-    try:
+    if path_exists(spark, location):
         spark.sql(f"ALTER TABLE `{table}` RECOVER PARTITIONS")
-    except Exception as exc:  # noqa: BLE001 - only a missing folder is expected
-        if "does not exist" not in str(exc) and "FileNotFound" not in str(exc):
-            raise
+        spark.catalog.refreshTable(table)
 
 
 def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dict[str, str]:
@@ -226,27 +251,33 @@ def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dic
     the partitioned fact table, the five dimensions and the findings.
 
     Tables are external (``LOCATION`` = the shared folder), so dropping one
-    keeps its files. Partition folders already on disk are registered once,
-    when a partitioned table is created; later writes through ``insertInto``
-    keep the catalog current. Returns ``{logical name: table name}``.
+    keeps its files. Every call registers the partition folders that writes
+    by path have added since the last one and drops what the session
+    remembers of the files; facts written through ``insertInto`` are known
+    already, and their folders are recovered only when the table is made.
+    Returns ``{logical name: table name}``.
     """
     from ..schemas import FACT_SCHEMA, FINDINGS_SCHEMA
     names = {}
 
-    def create(logical: str, schema, location: str, partitioned: str = "") -> None:
+    def create(logical: str, schema, location: str, partitioned: str = "", by_path: bool = True) -> None:
         name = f"{prefix}{logical}"
         names[logical] = name
-        if spark.catalog.tableExists(name):
-            return
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({_ddl_columns(schema)}) USING {wh.fmt} "
-                  f"{partitioned} LOCATION '{location}'")
-        if partitioned:
-            _recover(spark, name)
-
-    create("cases", FACT_SCHEMA, wh.facts, "PARTITIONED BY (year, week)")
+        known = spark.catalog.tableExists(name)
+        if not known:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({_ddl_columns(schema)}) USING {wh.fmt} "
+                      f"{partitioned} LOCATION '{location}'")
+        if partitioned and (by_path or not known):
+            _recover(spark, name, location)
+        elif known:
+            spark.catalog.refreshTable(name)
+
+    create(wh.table, FACT_SCHEMA, wh.facts, "PARTITIONED BY (year, week)", by_path=wh.fact_table is None)
     for spec in SURROGATE_DIMENSIONS:
         create(spec.name, _dim_schema(spec), wh.dimension(spec.name))
     create("account", ACCOUNT_DIM_SCHEMA, wh.dimension("account"))
     findings_schema = StructType([*FINDINGS_SCHEMA.fields, StructField("batch", StringType(), True)])
     create("findings", findings_schema, wh.findings, "PARTITIONED BY (batch)")
+    refused_schema = StructType([StructField("line", StringType(), True), StructField("batch", StringType(), True)])
+    create("refused", refused_schema, wh.refused, "PARTITIONED BY (batch)")
     return names

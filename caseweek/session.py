@@ -35,12 +35,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the file system its path names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    The session's setting wins. Only when it is unset (a test or a laptop
-    run) is a private temporary folder created and installed as the
-    checkpoint directory.
+    The session's setting wins. Only when it is unset on a local master (a
+    test or a laptop run) is a private temporary folder created and
+    installed as the checkpoint directory; a cluster, whose executors could
+    not see it, must name a shared folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -49,6 +61,8 @@ def shared_root(spark: SparkSession) -> str:
         if current:
             root = current.rstrip("/").rsplit("/", 1)[0]
     if not root:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="caseweek-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

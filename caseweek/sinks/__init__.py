@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def replace_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
+    """Replace a whole table folder by way of a folder beside it.
+
+    The new rows are written first; only when they are complete does their
+    folder take the old one's place, so a failed write leaves the table as it
+    was. On a file system with atomic renames it is missing for the moment
+    between two renames at most.
+    """
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(staged)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(staged), hadoop.Path(path)
+    files = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = hadoop.Path(f"{path.rstrip('/')}.before-{uuid.uuid4().hex[:12]}")
+    if files.exists(old) and not files.rename(old, before):
+        raise OSError(f"could not move {path} aside")
+    if not files.rename(new, old):
+        files.rename(before, old)
+        raise OSError(f"could not move {staged} to {path}")
+    files.delete(before, True)
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
     """Append rows to an (unpartitioned) table folder, e.g. new dimension members."""
     df.write.mode("append").format(fmt).save(path)
@@ -67,29 +92,38 @@ def write_staging(df: DataFrame, path: str, sep: str) -> None:
      .csv(path))
 
 
-def write_findings(findings: DataFrame, path: str, fmt: str = "orc") -> None:
-    """Findings of one batch, partitioned by its ``batch`` label; a rerun of
-    the same batch replaces its partition instead of adding rows twice."""
-    (findings.write.format(fmt).partitionBy("batch").mode("overwrite")
+def write_batch(rows: DataFrame, path: str, fmt: str = "orc") -> None:
+    """Rows of one load, partitioned by its ``batch`` label; a rerun under the
+    same label replaces its partition instead of adding rows twice."""
+    (rows.write.format(fmt).partitionBy("batch").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").save(path))
 
 
+def write_findings(findings: DataFrame, path: str, fmt: str = "orc") -> None:
+    """Findings of one batch (see ``write_batch``)."""
+    write_batch(findings, path, fmt)
+
+
 def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_automation(df: DataFrame, table: str, path: str, fmt: str = "orc") -> None:
-    """Automation side table: 3 buckets on CaseNum (catalog table at ``path``)."""
-    (_conform(df, AUTOMATION_SCHEMA).write.mode("overwrite").format(fmt)
+    """Automation side table: 3 buckets on CaseNum (catalog table at ``path``),
+    each written by one task."""
+    (_conform(df, AUTOMATION_SCHEMA).repartition(3, "CaseNum").write.mode("overwrite").format(fmt)
      .bucketBy(3, "CaseNum").sortBy("CaseNum").option("path", path).saveAsTable(table))
 
 
 def write_smartsense(df: DataFrame, table: str, path: str, fmt: str = "orc") -> None:
-    """SmartSense side table: partitioned by Priority, 2 buckets on CaseNum."""
-    (_conform(df, SMARTSENSE_SCHEMA).write.mode("overwrite").format(fmt)
+    """SmartSense side table: partitioned by Priority, 2 buckets on CaseNum;
+    the rows of a priority's bucket are written by one task."""
+    bucket = F.pmod(F.hash("CaseNum"), F.lit(2))
+    (_conform(df, SMARTSENSE_SCHEMA).repartition("Priority", bucket).write.mode("overwrite").format(fmt)
      .partitionBy("Priority").bucketBy(2, "CaseNum").sortBy("CaseNum")
      .option("path", path).saveAsTable(table))
 
 
 __all__ = ["write_facts", "insert_facts", "write_table", "append_table", "write_staging", "write_findings",
+           "write_batch", "replace_table",
            "write_automation", "write_smartsense"]

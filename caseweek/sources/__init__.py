@@ -1,11 +1,13 @@
 """Sources: the weekly extract scan and the warehouse table scans."""
 
-from .extract import extract_fields, extract_reader, read_extract, write_extract
+from .extract import (extract_fields, extract_reader, read_extract, scan_options, split_refused,
+                      with_raw_line, write_extract)
 from .tables import (load_or_empty, read_dimension, read_facts, read_partition,
                      read_partitions, read_staging, scope_partitions)
 
 __all__ = [
-    "extract_fields", "extract_reader", "read_extract", "write_extract", "load_or_empty",
+    "extract_fields", "extract_reader", "read_extract", "scan_options", "split_refused",
+    "with_raw_line", "write_extract", "load_or_empty",
     "read_dimension", "read_facts", "read_partition", "read_partitions", "read_staging",
     "scope_partitions",
 ]

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from ..schemas import EXTRACT_FIELDS, EXTRACT_LAYOUT, EXTRACT_SCHEMA
 from ..session import spread
 
+# Column of a scan that keeps the raw line of a row that doesn't fit the layout.
+RAW_LINE = "rawLine"
+SCAN_SCHEMA = StructType([*EXTRACT_SCHEMA.fields, StructField(RAW_LINE, StringType(), True)])
+
 _FIELD_OF = {field: header for header, _, field in EXTRACT_LAYOUT}
 
 
@@ -18,22 +24,43 @@ def extract_fields(raw: DataFrame) -> DataFrame:
 
 def extract_reader(spark: SparkSession, sep: str = ",", check_header: bool = False):
     """Reader options shared by the batch scan and the file-stream source."""
-    reader = (spark.read.schema(EXTRACT_SCHEMA).option("header", True)
-              .option("sep", sep).option("mode", "PERMISSIVE"))
-    if check_header:
-        reader = reader.option("enforceSchema", False)
-    return reader
+    return scan_options(spark.read, sep, check_header)
+
+
+def scan_options(reader, sep: str = ",", check_header: bool = False):
+    """The extract layout on a batch or stream reader; misfit lines are kept in ``rawLine``."""
+    reader = (reader.schema(SCAN_SCHEMA).option("header", True).option("sep", sep)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_LINE))
+    return reader.option("enforceSchema", False) if check_header else reader
+
+
+def with_raw_line(raw: DataFrame) -> DataFrame:
+    """Extract fields plus ``rawLine``."""
+    return raw.select(*[F.col(f"`{_FIELD_OF[f]}`").alias(f) for f in EXTRACT_FIELDS], RAW_LINE)
+
+
+def split_refused(extract: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cases, refused): a row without a readable case number has no key and is refused.
+
+    Refused rows are one column, the raw line as it was read, or the fields as JSON where the line fits
+    the layout or the extract isn't a scan.
+    """
+    fields = F.to_json(F.struct(*EXTRACT_FIELDS))
+    line = F.coalesce(F.col(RAW_LINE), fields) if RAW_LINE in extract.columns else fields
+    cases = extract.where(F.col("caseNum").isNotNull()).select(*EXTRACT_FIELDS)
+    return cases, extract.where(F.col("caseNum").isNull()).select(line.alias("line"))
 
 
 def read_extract(spark: SparkSession, path: str, sep: str = ",",
-                 check_header: bool = False) -> DataFrame:
-    """Scan one or more extract files; columns bind by position.
+                 check_header: bool = False, raw_line: bool = False) -> DataFrame:
+    """Scan one or more extract files; columns bind by position. ``raw_line`` keeps that column too.
 
     ``check_header=True`` makes Spark compare the header line with the
     layout's names (for the columns a query reads) instead of only skipping
     it; a mismatch fails the scan.
     """
-    return extract_fields(spread(extract_reader(spark, sep, check_header).csv(path)))
+    raw = spread(extract_reader(spark, sep, check_header).csv(path))
+    return with_raw_line(raw) if raw_line else extract_fields(raw)
 
 
 def write_extract(raw: DataFrame, path: str, sep: str = ",") -> None:

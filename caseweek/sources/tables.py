@@ -3,23 +3,20 @@ dimensions and the delimited staging files."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import FACT_SCHEMA, STAGING_SCHEMA
+from ..session import path_exists
 
 
 def load_or_empty(spark: SparkSession, path: str, schema: StructType,
                   fmt: str = "orc") -> DataFrame:
     """Read a table folder with a fixed schema; an absent folder reads as empty."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_facts(spark: SparkSession, path: str, fmt: str = "orc") -> DataFrame:
@@ -35,7 +32,7 @@ def read_partition(spark: SparkSession, path: str, year: int, week: str,
 
 
 # Largest touched-partition list turned into a static folder filter; a batch
-# spanning more weeks than this falls back to a broadcast semi join.
+# spanning more weeks than this keeps a filter on its years and a semi join.
 MAX_PARTITION_LIST = 20_000
 
 
@@ -52,20 +49,24 @@ def scope_partitions(facts: DataFrame, partitions: DataFrame,
 
     The distinct (year, week) keys of a batch are bounded by the calendar,
     not by its row count, so they are collected (at most ``max_list`` + 1
-    of them) and become a static filter on the partition columns: the file
-    index lists and reads only those folders. A semi join on the same keys
-    follows either way; it is what remains if the list is over the bound
-    (dynamic pruning needs a selective filter on the other side, which a
-    batch's partition list does not have). On a catalog table the filter
-    is answered by the catalog, so only the touched folders are listed.
+    of them) and become a static filter ``(year = y AND week IN (...)) OR
+    ...`` on the partition columns, a form that a file index and a catalog
+    can both answer: only those folders are listed and read. Over the bound
+    the filter is on the batch's years (at most as many as the calendar
+    has), and a semi join keeps the listed weeks.
     """
     keys = partitions.select("year", "week").distinct()
     listed = keys.limit(max_list + 1).collect()
-    if len(listed) <= max_list:
-        tags = [f"{r['year']}|{r['week']}" for r in listed]
-        facts = facts.where(F.concat_ws("|", F.col("year").cast("string"), F.col("week")).isin(tags))
-    return facts.join(F.broadcast(keys) if len(listed) <= max_list else keys,
-                      ["year", "week"], "left_semi")
+    if len(listed) > max_list:
+        years = [r["year"] for r in keys.select("year").distinct().collect()]
+        return facts.where(F.col("year").isin(years)).join(keys, ["year", "week"], "left_semi")
+    weeks: dict[int, list[str]] = {}
+    for r in sorted(listed):
+        weeks.setdefault(r["year"], []).append(r["week"])
+    touched = F.lit(False)
+    for year, own in weeks.items():
+        touched = touched | ((F.col("year") == year) & F.col("week").isin(own))
+    return facts.where(touched)
 
 
 def read_dimension(spark: SparkSession, path: str, schema: StructType,

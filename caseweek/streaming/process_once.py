@@ -1,32 +1,56 @@
 """Load every extract file dropped into an inbox exactly once.
 
 A file-stream source with an ``availableNow`` trigger: each run picks up the
-files not yet committed in the checkpoint, loads them through
-``load_frame`` in ``foreachBatch`` and archives them. The default mode is
-``upsert``, so a micro-batch replayed after a failure rewrites the same
-rows instead of adding them twice; its findings and its ledger row
-``(batch_id, run_date yyyyMMdd, rows)`` are likewise written to their own
-``batch`` / ``batch_id`` partitions, replaced on a replay.
+files not yet committed in the checkpoint, loads them through ``load_frame``
+in ``foreachBatch`` and archives them. A drop is one file. The files of a
+micro-batch are loaded one after another, oldest first (then by name), so
+the result doesn't depend on how many files a micro-batch takes; with the
+default mode ``upsert`` a later file replaces a case within its week.
+
+Findings, refused rows and ledger rows belong to a load, named by the
+stream's id (which its checkpoint keeps), the micro-batch and the file's
+place in it; two inboxes, or one with a new checkpoint, never share a name.
+A load's date for cases without open date is stored before it starts. So a
+micro-batch replayed after a failure, even in another week, writes the same
+rows to the same places instead of adding them twice.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import run_stamp
 from ..plans.jobs import Warehouse, load_frame
-from ..sources.extract import extract_fields
-from ..schemas import EXTRACT_SCHEMA
-from ..session import spread
+from ..session import path_exists, spread
+from ..sinks import write_batch
+from ..sources import scan_options, with_raw_line
 
 
 def ledger_path(wh: Warehouse) -> str:
+    """(batch, query_id, batch_id, file, run_date yyyyMMdd, rows) of every load."""
     return f"{wh.root}/processed"
 
 
+def dates_path(wh: Warehouse) -> str:
+    """(batch, as_of) of every load that was begun."""
+    return f"{wh.root}/processed_dates"
+
+
+def _date_of(spark: SparkSession, wh: Warehouse, label: str, as_of: _dt.date | None) -> _dt.date:
+    """The date that the load began with, stored when it begins first."""
+    if path_exists(spark, f"{dates_path(wh)}/batch={label}"):
+        stored = spark.read.format(wh.fmt).load(f"{dates_path(wh)}/batch={label}").first()
+        if stored:
+            return stored["as_of"]
+    day = as_of or _dt.date.today()
+    write_batch(spark.createDataFrame([(day, label)], "as_of date, batch string"), dates_path(wh), wh.fmt)
+    return day
+
+
 def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint: str,
                  archive: str | None = None, mode: str = "upsert",
                  as_of: _dt.date | None = None, sep: str = ",",
@@ -34,26 +58,35 @@ def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint:
     """Run one availableNow pass over ``inbox`` and wait for it to finish.
 
     ``max_files_per_trigger`` splits a backlog of drops into several
-    micro-batches (each one load) instead of one.
+    micro-batches; the rows are the same for any number.
     """
-    stream = (spark.readStream.schema(EXTRACT_SCHEMA).option("header", True)
-              .option("sep", sep).option("mode", "PERMISSIVE"))
+    stream = scan_options(spark.readStream, sep)
     if archive:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = stream.csv(inbox)
+    raw = stream.csv(inbox).select("*", F.col("_metadata.file_path").alias("_file"),
+                                   F.col("_metadata.file_modification_time").alias("_time"))
+    started, query_id = threading.Event(), []
 
     def _load(batch: DataFrame, batch_id: int) -> None:
-        extract = extract_fields(spread(batch))
-        load_frame(spark, extract, wh, mode=mode, as_of=as_of, batch_label=f"stream-{batch_id}")
-        (extract.agg(F.count(F.lit(1)).alias("rows"))
-         .select(F.lit(batch_id).cast("long").alias("batch_id"),
-                 run_stamp(F.current_date()).alias("run_date"), "rows")
-         .write.format(wh.fmt).partitionBy("batch_id").mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").save(ledger_path(wh)))
+        started.wait()
+        # one row a file: bounded by the drops of a micro-batch
+        files = sorted((r["_time"], r["_file"]) for r in batch.select("_time", "_file").distinct().collect())
+        for place, (_, file) in enumerate(files):
+            label = f"{query_id[0]}-{batch_id}-{place}"
+            extract = with_raw_line(spread(batch.where(F.col("_file") == file)))
+            loaded = load_frame(spark, extract, wh, mode=mode, as_of=_date_of(spark, wh, label, as_of),
+                                batch_label=label)
+            ledger = spark.range(1).select(
+                F.lit(query_id[0]).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"),
+                F.lit(file).alias("file"), run_stamp(F.current_date()).alias("run_date"),
+                F.lit(loaded.rows).cast("long").alias("rows"), F.lit(label).alias("batch"))
+            write_batch(ledger, ledger_path(wh), wh.fmt)
 
     query = (raw.writeStream.foreachBatch(_load)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
+    query_id.append(str(query.id))
+    started.set()
     query.awaitTermination()

@@ -68,7 +68,9 @@ def _raw_extract(orders: DataFrame, customer: DataFrame, revised: bool) -> DataF
     date_close = F.when(status == "F",
                         F.date_format(opened + F.expr("INTERVAL 3 DAYS"), "M/d/yy H:mm"))
     account = F.concat(F.col("c_name"), F.lit(" Ltd")) if revised else F.col("c_name")
-    account_id = F.when(k % 211 == 0, F.lit("")).otherwise(F.concat(F.lit("CUST-"), _s(F.col("o_custkey"))))
+    account_id = (F.when(k % 211 == 0, F.lit(""))
+                  .when(k % 223 == 0, F.concat(F.lit("CUST- "), _s(F.col("o_custkey"))))
+                  .otherwise(F.concat(F.lit("CUST-"), _s(F.col("o_custkey")))))
     ambari_mod = 6 if revised else 5
     stack_mod = 9 if revised else 7
     ambari = F.when(k % 4 != 0, F.concat(F.lit("2."), _s(k % ambari_mod)))
