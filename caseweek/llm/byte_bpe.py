@@ -25,11 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE
+from .common import WHITE_SPACE, Memo
 
-#: Entries of a memo (chunks, pieces, token pairs) before it starts afresh, and rows handled at a time;
-#: both bound memory only.
-MEMO_ENTRIES = 200_000
+#: Entries of a memo (chunks, pieces, token pairs) and rows handled at a time; both bound memory only.
+MEMO_ENTRIES = 300_000
 ROWS = 256
 
 #: Text between white space, with one space before it, or white space as the split pattern leaves it.
@@ -44,13 +43,6 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-def _remember(memo: dict[str, bytes], text: str, ids: bytes) -> None:
-    if len(text) <= 64:
-        if len(memo) >= MEMO_ENTRIES:
-            memo.clear()
-        memo[text] = ids
-
-
 class ByteBpe:
     """Encoder and decoder for one vocabulary and one split pattern."""
 
@@ -73,8 +65,9 @@ class ByteBpe:
         self.automaton.make_automaton()
         self.lengths = [len(token) for token in tokens]
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces = Memo(lambda p: np.array(self.encode_piece(p.encode("utf-8", "surrogatepass")),
+                                              np.int32).tobytes(), MEMO_ENTRIES)
+        self.chunks = Memo(lambda c: b"".join(map(self.pieces.__getitem__, self.pattern.findall(c))), MEMO_ENTRIES)
 
     def _last_merge(self, rank: int, token: bytes) -> tuple[int, int] | None:
         """The parts left when only merges of lower rank have been made, if they are two."""
@@ -131,49 +124,38 @@ class ByteBpe:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, lengths, compatible = len(piece), self.lengths, self.compatible
-        starting: list[list[int]] = [[] for _ in range(n)]  # token ids by start, shortest first
+        n, lengths, pairs = len(piece), self.lengths, self.pairs
+        untried: list[list[int]] = [[] for _ in range(n)]  # token ids by start, shortest first
         for end, token in self.automaton.iter(piece.decode("latin-1")):
-            starting[end - lengths[token] + 1].append(token)
+            untried[end - lengths[token] + 1].append(token)
         ids: list[int] = []
-        at = 0
-        untried: list[list[int] | None] = [None] * n  # of the positions on the current path
+        at, last = 0, -1
         fruitless = bytearray(n + 1)
         while at < n:
-            here = untried[at]
-            if here is None:
-                here = untried[at] = starting[at]  # a position is entered once, or is fruitless
+            here = untried[at]  # a position is entered once, or is fruitless
             while here:
                 token = here.pop()
                 end = at + lengths[token]
-                if not fruitless[end] and (not ids or compatible(ids[-1], token)):
-                    ids.append(token)
-                    at = end
-                    break
+                if fruitless[end]:
+                    continue
+                if last >= 0:
+                    fits = pairs.get((last, token))
+                    if not (self.compatible(last, token) if fits is None else fits):
+                        continue
+                ids.append(token)
+                at, last = end, token
+                break
             else:
                 fruitless[at] = 1
                 if not ids:
                     raise ValueError("the vocabulary lacks single bytes")
                 at -= lengths[ids.pop()]
+                last = ids[-1] if ids else -1
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as packed 32-bit integers."""
-        known, found = self.chunks, []
-        for chunk in _CHUNK.findall(text):
-            ids = known.get(chunk)
-            if ids is None:
-                ids = b"".join(map(self._piece_ids, self.pattern.findall(chunk)))
-                _remember(known, chunk, ids)
-            found.append(ids)
-        return b"".join(found)
-
-    def _piece_ids(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.array(self.encode_piece(piece.encode("utf-8", "surrogatepass")), np.int32).tobytes()
-            _remember(self.pieces, piece, ids)
-        return ids
+        return b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)
