@@ -53,7 +53,7 @@ SUPPORT = 4
 #: Weight of a listed insult and of a threat, the largest learned weight, and most that clauses add up to.
 LISTED, THREAT, HEAVIEST, MOST = 5.0, 5.0, 6.0, 12.0
 #: What negation, reported speech and a target make of a weight.
-NEGATED, REPORTED, AIMED = 0.1, 0.4, 1.2
+NEGATED, REPORTED, AIMED = 0.1, 0.3, 1.2
 #: Counts held by one task before it passes them on.
 HELD_COUNTS = 300_000
 
