@@ -2,13 +2,15 @@
 
 A 64-bit fingerprint falls into three segments (22, 21 and 21 bits), each a word of the perfect binary
 Golay code of length 23: every word lies within three bits of exactly one codeword, its centre, whose
-12 information bits are the codeword's index. If two fingerprints differ in at most three bits, at least
-two segments differ in at most one bit each. Two words one bit apart have the same centre, or both lie
+12 information bits are the codeword's index. Two words one bit apart have the same centre, or both lie
 three bits from theirs and four from the other's; so with its centre a word also gets the index of each
 codeword four bits away that is smaller than its centre's, and two such words always share an index.
-For each two of the three segments a fingerprint gets one key for each combination of their indices
-(about thirty keys in all, 24 bits each). Fingerprints that share a key are candidates, and the bit
-distance of every candidate pair is checked, so no link is lost and none is made up.
+If two fingerprints differ in at most three bits, either a segment is the same in both, and then one of
+the other two differs in at most one bit; or each segment differs in one bit. So a fingerprint gets the
+keys (one segment as it is, an index of another) for each two segments, and (an index of each segment)
+for all three: about forty keys of 33 to 36 bits, which stay selective among billions of fingerprints.
+Fingerprints that share a key are candidates, and the bit distance of every candidate pair is checked,
+so no link is lost and none is made up.
 
 Work is done on distinct fingerprints. Within a key only a forest of links leaves the task, enough to
 connect what is linked. A key of many fingerprints is cut into blocks, and each pair of blocks is a
@@ -115,14 +117,17 @@ class Golay:
 
 def golay_keys(fps: np.ndarray, golay: Golay) -> tuple[np.ndarray, np.ndarray]:
     """(position in ``fps``, key) of every key of every fingerprint; ``fps`` are unsigned."""
-    found = [golay.indices((fps >> np.uint64(first) & np.uint64((1 << width) - 1)).astype(np.int32))
-             for first, width in SEGMENTS]
+    segments = [(fps >> np.uint64(first) & np.uint64((1 << width) - 1)).astype(np.int32) for first, width in SEGMENTS]
+    found = [golay.indices(segment).astype(np.int64) for segment in segments]
     positions, keys = [], []
-    for pair, (a, b) in enumerate(itertools.combinations(range(3), 2)):
-        both = (pair << 24) + (found[a][:, :, None].astype(np.int64) << 12) + found[b][:, None, :]
-        there = (found[a][:, :, None] >= 0) & (found[b][:, None, :] >= 0)
-        positions.append(np.nonzero(there)[0])
-        keys.append(both[there])
+    for kind, (exact, fuzzy) in enumerate(itertools.permutations(range(3), 2)):
+        row, column = np.nonzero(found[fuzzy] >= 0)
+        positions.append(row)
+        keys.append(kind << 40 | segments[exact][row].astype(np.int64) << 12 | found[fuzzy][row, column])
+    a, b, c = found[0][:, :, None, None], found[1][:, None, :, None], found[2][:, None, None, :]
+    row, i, j, k = np.nonzero((a >= 0) & (b >= 0) & (c >= 0))
+    positions.append(row)
+    keys.append(6 << 40 | found[0][row, i] << 24 | found[1][row, j] << 12 | found[2][row, k])
     return np.concatenate(positions), np.concatenate(keys)
 
 
@@ -198,15 +203,38 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     return rows.repartition("group").sortWithinPartitions("group").mapInPandas(linked, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(id, fp, component) of every row: its signed fingerprint and the smallest id it is linked with."""
-    own = stored(docs.select(F.col(id_col).alias("id"),
-                             fingerprint_column(F.col(text_col), shingle_words).alias("fp")), "simhash")
+def _components(own: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component) of the fingerprints in ``own`` (id, fp), a stored table."""
     nodes = stored(own.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-nodes")
     roots = connect(fingerprint_links(nodes, max_bits))
     rooted = stored(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", "least_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     names = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component")), "simhash-names")
-    named = stored(rooted.join(names, "root").select("fp", "component"), "simhash-named")
-    return own.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    return stored(rooted.join(names, "root").select("fp", "root", "component"), "simhash-named")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(id, fp, component) of every row: its signed fingerprint and the smallest id it is linked with."""
+    own = stored(docs.select(F.col(id_col).alias("id"),
+                             fingerprint_column(F.col(text_col), shingle_words).alias("fp")), "simhash")
+    return own.join(_components(own, max_bits), "fp").select(F.col("id").alias(id_col), "fp", "component")
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, whole: of each component the one with the smallest id.
+
+    Of rows that tie for it one stays, as they are numbered in the table that the stage works on.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = stored(docs.select(F.struct(*columns).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                              fingerprint_column(F.col(f"`{text_col}`"), shingle_words).alias("fp"),
+                              F.monotonically_increasing_id().alias("number")), "simhash-rows")
+    own = rows.select("id", "fp", "number")
+    named = _components(own, max_bits)
+    # null ids come last: the smallest id of a component is that of a row that has one, if any has
+    order = F.struct(F.col("id").isNull(), "id", "number")
+    least = own.groupBy("fp").agg(F.min(order).alias("first"))
+    staying = least.join(named, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(staying.select(F.col("first.number").alias("number")), "number", "left_semi").select("row.*")
