@@ -29,10 +29,12 @@ BLANKS = " \t\n\x0b\f\r"
 WINDOW = 5
 REPEAT_PERCENT = 20
 LEAST_WORDS = 10
-#: Posterior from which a document is kept, rounds of estimation, and added counts that smooth them.
+#: Posterior from which a document is kept, and rounds of estimation.
 THRESHOLD = 0.5
 ROUNDS = 25
-SMOOTHING = 1.0
+#: Documents that the starting estimates count for: they tell good from bad where the corpus is too small
+#: to, and are nothing against a large one.
+PRIOR_DOCUMENTS = 20.0
 
 
 @dataclass(frozen=True)
@@ -119,11 +121,13 @@ def votes(rules: tuple[Rule, ...] = RULES) -> Column:
 class VoteModel:
     """Share of good documents, and each rule's chances of voting 1 or -1 on good and on bad ones."""
 
+    #: Starting estimates: a bad vote is taken to be much likelier on a bad document.
+    GOOD_SHARE, ON_GOOD, ON_BAD = 0.8, (0.6, 0.02), (0.3, 0.3)
+
     def __init__(self, rules: tuple[Rule, ...] = RULES):
-        self.good_share = 0.8
-        #: By rule: ((vote 1, vote -1) on good documents, the same on bad ones). To begin with, a bad vote
-        #: is taken to be much likelier on a bad document.
-        self.chances = [((0.6, 0.02), (0.3, 0.3)) for _ in rules]
+        self.good_share = self.GOOD_SHARE
+        #: By rule: ((vote 1, vote -1) on good documents, the same on bad ones).
+        self.chances = [(self.ON_GOOD, self.ON_BAD) for _ in rules]
 
     def posterior(self, votes_col: Column) -> Column:
         """Probability that a document with these votes is good."""
@@ -146,13 +150,13 @@ class VoteModel:
         row = weighed.agg(*sums).first()
         if not row["n"]:
             return 0.0
-        good, bad, s = row["good"], row["n"] - row["good"], SMOOTHING
-        share, chances = (good + s) / (row["n"] + 2 * s), []
+        good, bad, w = row["good"], row["n"] - row["good"], PRIOR_DOCUMENTS
+        share, chances = (good + w * self.GOOD_SHARE) / (row["n"] + w), []
         for k in range(len(self.chances)):
-            up, down = row[f"good_up_{k}"], row[f"good_down_{k}"]
-            chances.append((((up + s) / (good + 3 * s), (down + s) / (good + 3 * s)),
-                            ((row[f"all_up_{k}"] - up + s) / (bad + 3 * s),
-                             (row[f"all_down_{k}"] - down + s) / (bad + 3 * s))))
+            on_good = [row[f"good_{x}_{k}"] for x in ("up", "down")]
+            on_bad = [row[f"all_{x}_{k}"] - g for x, g in zip(("up", "down"), on_good, strict=True)]
+            chances.append((tuple((v + w * p) / (good + w) for v, p in zip(on_good, self.ON_GOOD, strict=True)),
+                            tuple((v + w * p) / (bad + w) for v, p in zip(on_bad, self.ON_BAD, strict=True))))
         change = max(abs(share - self.good_share), *(abs(a - b) for old, new in zip(self.chances, chances, strict=True)
                                                      for x, y in zip(old, new, strict=True)
                                                      for a, b in zip(x, y, strict=True)))

@@ -120,12 +120,12 @@ def brute_em(patterns, model, rounds):
         new = []
         for k in range(len(chances)):
             rates = []
-            for side in (lambda v: good[v], lambda v: 1 - good[v]):
+            for side, start in ((lambda v: good[v], (0.6, 0.02)), (lambda v: 1 - good[v], (0.3, 0.3))):
                 total = sum(patterns[v] * side(v) for v in patterns)
-                rates.append(tuple((sum(patterns[v] * side(v) for v in patterns if v[k] == x) + 1) / (total + 3)
-                                   for x in (1, -1)))
+                rates.append(tuple((sum(patterns[v] * side(v) for v in patterns if v[k] == x) + 20 * p) / (total + 20)
+                                   for x, p in zip((1, -1), start)))
             new.append(tuple(rates))
-        share, chances = (g + 1) / (n + 2), new
+        share, chances = (g + 20 * 0.8) / (n + 20), new
     return share, chances
 
 
