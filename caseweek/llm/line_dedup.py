@@ -150,7 +150,8 @@ def drop_common_lines(docs: DataFrame, least_docs: int = 3, least_chars: int = 2
     dropped = stored(losing.groupBy("id", "digest").agg(F.array_distinct(F.flatten(F.collect_list("places")))
                                                         .alias("dropped")), "lines-dropped")
     dropped = dropped.select(F.col("id").alias("own_id"), F.col("digest").alias("own_digest"), "dropped")
-    joined = rows.join(dropped, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest")),
+    # A sort-merge join for any number of lists, so that the plan is the same at every size.
+    joined = rows.join(dropped.hint("merge"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest")),
                        "left").select("id", "text", "dropped")
     return joined.mapInArrow(_rewrite, f"id {kind}, text string, n_lines long, n_dropped long").select(
         F.col("id").alias(id_col), F.col("text").alias(text_col), "n_lines", "n_dropped")
