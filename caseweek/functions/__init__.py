@@ -2,7 +2,7 @@
 
 from .codes import account_id, environment_id, severity_code, status_code, trailing_int
 from .durations import resolution_minutes
-from .links import link_parts, link_tail, link_tail_backtrack
+from .links import link_digits, link_parts, link_tail, link_tail_backtrack
 from .messages import render
 from .timestamps import (parse_case_timestamp, timestamp_from_parts, timestamp_parts,
                          with_case_timestamps)
@@ -11,7 +11,7 @@ from .weeks import (partition_day, run_stamp, week_friday, week_label,
 
 __all__ = [
     "account_id", "environment_id", "severity_code", "status_code", "trailing_int",
-    "resolution_minutes", "link_parts", "link_tail", "link_tail_backtrack", "render",
+    "resolution_minutes", "link_digits", "link_parts", "link_tail", "link_tail_backtrack", "render",
     "parse_case_timestamp", "timestamp_from_parts", "timestamp_parts", "with_case_timestamps", "partition_day", "run_stamp", "week_friday", "week_label",
     "week_partition_columns", "week_year",
 ]

@@ -55,19 +55,25 @@ def _full(pattern: str) -> str:
     return rf"^{pattern}\z"
 
 
+def link_digits(tail: Column, spec: LinkSpec) -> Column:
+    """Digits of a tail that fits the link's pattern, empty if it doesn't, null without a tail."""
+    return F.regexp_extract(tail, _full(spec.pattern), spec.id_group)
+
+
 def link_parts(link: Column, spec: LinkSpec, component: Column | None = None,
-               tail: Column | None = None) -> dict[str, Column]:
+               tail: Column | None = None, digits: Column | None = None) -> dict[str, Column]:
     """Id, findings array and helper columns for one link column.
 
-    ``tail`` may be a column already holding ``link_tail(link)`` (computed
-    once in an earlier projection). Returns ``id`` (int), ``present`` (the
-    id text exists, before the int cast) and ``findings``
-    (array<struct<code, message>>, nulls removed).
+    ``tail`` and ``digits`` may be columns already holding
+    ``link_tail(link)`` and ``link_digits(tail, spec)`` (computed once in
+    earlier projections; everything else follows from them without a
+    regex). Returns ``id`` (int), ``present`` (the id text exists, before
+    the int cast), ``entries`` (array<struct<code, message>>, null where a
+    finding doesn't apply) and ``findings`` (the same, nulls removed).
     """
     tail = link_tail(link) if tail is None else tail
-    full = _full(spec.pattern)
-    matched = tail.rlike(full)
-    digits = F.regexp_extract(tail, full, spec.id_group)
+    digits = link_digits(tail, spec) if digits is None else digits
+    matched = digits != F.lit("")
     unusable = link.isNotNull() & ~has_dash(link)
     malformed = has_dash(link) & ~matched
     entries = [
@@ -80,7 +86,7 @@ def link_parts(link: Column, spec: LinkSpec, component: Column | None = None,
     ]
     ok = matched
     if spec.project_group is not None:
-        project = F.regexp_extract(tail, full, spec.project_group)
+        project = tail.substr(F.lit(1), F.length(tail) - F.length(digits) - F.lit(1))
         same = F.coalesce(F.lower(project) == F.lower(component), F.lit(False))
         entries.append(F.when(matched & ~same, F.struct(
             F.lit(spec.mismatch_code).alias("code"),
@@ -88,6 +94,6 @@ def link_parts(link: Column, spec: LinkSpec, component: Column | None = None,
                    component=F.coalesce(component, F.lit("null"))).alias("message"))))
         ok = matched & same
     text_id = F.when(ok, digits)
-    findings = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return {"id": text_id.try_cast("int"), "present": text_id.isNotNull(),
-            "findings": findings}
+    every = F.array(*entries)
+    return {"id": text_id.try_cast("int"), "present": text_id.isNotNull(), "entries": every,
+            "findings": F.filter(every, lambda e: e.isNotNull())}

@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (account_id, environment_id, link_parts, link_tail, with_case_timestamps,
+from ..functions import (account_id, environment_id, link_digits, link_parts, link_tail, with_case_timestamps,
                          render, resolution_minutes, severity_code, status_code,
                          week_partition_columns)
 from ..specs import LINKS, RULES, SURROGATE_DIMENSIONS, DimensionSpec, RuleSpec
@@ -23,6 +23,10 @@ def tail_column(link: str) -> str:
     return f"_tail_{link}"
 
 
+def digits_column(link: str) -> str:
+    return f"_digits_{link}"
+
+
 def key_column(spec: DimensionSpec) -> str:
     return f"_nk_{spec.name}"
 
@@ -49,23 +53,24 @@ def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
 
     Output: the fact measures (severity ... ResolutionTime, without dimension
     ids), one natural-key column per surrogate dimension, the partition
-    columns ``year``/``week`` and ``findings`` (array<struct<code, message>>).
+    columns ``year``/``week`` and ``findings`` (array<struct<code, message>>,
+    null where a finding doesn't apply).
     """
-    # Stages 1-2: the costly texts (timestamp digit groups, link tails) once
-    # per row; the optimizer keeps these projections apart because their
-    # outputs are used several times.
-    staged = with_case_timestamps(
-        extract.select("*", *[link_tail(F.col(s.column)).alias(tail_column(s.column)) for s in LINKS]),
-        {"_opened": "dateOpen", "_closed": "dateClose"}, as_of)
+    # Stages 1-3: the costly texts (link tails, their digits, timestamp digit
+    # groups) once per row; the optimizer keeps these projections apart because
+    # their outputs are used several times.
+    tails = extract.select("*", *[link_tail(F.col(s.column)).alias(tail_column(s.column)) for s in LINKS])
+    numbers = tails.select("*", *[link_digits(F.col(tail_column(s.column)), s).alias(digits_column(s.column))
+                                  for s in LINKS])
+    staged = with_case_timestamps(numbers, {"_opened": "dateOpen", "_closed": "dateClose"}, as_of)
     severity = severity_code(F.col("severity"))
     status = status_code(F.col("status"))
     opened = F.col("_opened")
-    links = {s.column: link_parts(F.col(s.column), s, F.col("component"), F.col(tail_column(s.column)))
-             for s in LINKS}
+    links = {s.column: link_parts(F.col(s.column), s, F.col("component"), F.col(tail_column(s.column)),
+                                  F.col(digits_column(s.column))) for s in LINKS}
     rule = rule_finding(F.col("rootcause"), severity, status,
                         {k: v["present"] for k, v in links.items()})
-    findings = F.concat(F.filter(F.array(rule), lambda e: e.isNotNull()),
-                        *[links[s.column]["findings"] for s in LINKS])
+    findings = F.concat(F.array(rule), *[links[s.column]["entries"] for s in LINKS])
     part = week_partition_columns(opened, as_of)
     return staged.select(
         severity.alias("severity"),
@@ -88,4 +93,5 @@ def explode_findings(coded: DataFrame) -> DataFrame:
     """Findings rows ``(case_num, code, message)``; rows without findings vanish."""
     return (coded.select(F.col("caseNum").alias("case_num"),
                          F.explode("findings").alias("f"))
+            .where(F.col("f").isNotNull())
             .select("case_num", F.col("f.code").alias("code"), F.col("f.message").alias("message")))

@@ -208,10 +208,11 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
         else:
             raise ValueError(f"unknown load mode {mode!r}")
         write_findings(findings.withColumn("batch", F.lit(label)), wh.findings, wh.fmt)
-        write_batch(refused.withColumn("batch", F.lit(label)), wh.refused, wh.fmt)
+        counts = scanned.agg(F.count(F.lit(1)).alias("n"), F.count("caseNum").alias("cases")).first()
+        if counts["n"] > counts["cases"]:
+            write_batch(refused.withColumn("batch", F.lit(label)), wh.refused, wh.fmt)
         if wh.catalog_prefix is not None:
             register_tables(spark, wh, prefix=wh.catalog_prefix)
-        counts = scanned.agg(F.count(F.lit(1)).alias("n"), F.count("caseNum").alias("cases")).first()
         dims.batch, dims.rows, dims.refused = label, counts["n"], counts["n"] - counts["cases"]
         return dims
     finally:
