@@ -59,7 +59,7 @@ def scope_partitions(facts: DataFrame, partitions: DataFrame,
     listed = keys.limit(max_list + 1).collect()
     if len(listed) > max_list:
         years = [r["year"] for r in keys.select("year").distinct().collect()]
-        return facts.where(F.col("year").isin(years)).join(keys, ["year", "week"], "left_semi")
+        return facts.where(F.col("year").isin(years)).join(keys, ["year", "week"], "left_semi").select(*facts.columns)
     weeks: dict[int, list[str]] = {}
     for r in sorted(listed):
         weeks.setdefault(r["year"], []).append(r["week"])

@@ -224,3 +224,92 @@ def test_fallbacks_without_broadcast_give_the_same_rows(spark, extracts):
     m1 = merge_partitions(cur, new)
     m2 = merge_partitions(cur, new, broadcast_check=False)
     assert sorted(map(tuple, m1.collect()), key=str) == sorted(map(tuple, m2.collect()), key=str)
+
+
+# ---- rows without a key, repeated members, load identity, catalog tables ---------------
+
+def _bad_rows(spark, sf=SF):
+    raw = testbed.raw_extract(spark, sf, "new")
+    number = F.col("Case Number").cast("string")
+    return raw.withColumn("Case Number", F.when(F.col("Status") == "Pending", F.concat(F.lit("x"), number))
+                          .otherwise(number))
+
+
+def test_three_equal_updates_store_what_one_stores(spark, tmp_path):
+    path, wh = str(tmp_path / "csv"), Warehouse(str(tmp_path / "wh"))
+    write_extract(_bad_rows(spark), path)
+    seen = []
+    for _ in range(3):
+        res = update_batch(spark, path, wh, as_of=testbed.AS_OF)
+        seen.append(read_facts(spark, wh.facts).count())
+    assert len(set(seen)) == 1 and res.refused > 0 and res.rows == seen[0] + res.refused
+    assert read_facts(spark, wh.facts).where("caseNum IS NULL").count() == 0
+    refused = spark.read.orc(wh.refused)
+    assert refused.count() == 3 * res.refused
+    assert refused.where(~F.col("line").rlike(",x[0-9]+,")).count() == 0
+
+
+def test_null_case_numbers_are_replaced_not_added(spark):
+    from caseweek.operators import merge_partitions
+    from caseweek.schemas import FACT_SCHEMA
+    row = tuple(2017 if f.name == "year" else "06-09" if f.name == "week" else None for f in FACT_SCHEMA.fields)
+    batch = spark.createDataFrame([row], FACT_SCHEMA)
+    assert merge_partitions(batch, batch).count() == 1
+    assert merge_partitions(batch, batch, broadcast_check=False).count() == 1
+
+
+def test_repeated_member_does_not_multiply_rows(spark):
+    from caseweek.operators import code_cases, lookup_ids
+    from caseweek.sources import extract_fields
+    coded = code_cases(extract_fields(testbed.raw_extract(spark, SF, "new")), testbed.AS_OF)
+    dims = spark.createDataFrame([("product", "BUILDING", 7), ("product", "BUILDING", 3)],
+                                 "dimension string, member string, id int")
+    looked = lookup_ids(coded, dims)
+    assert looked.count() == coded.count()
+    assert {r["componentID"] for r in looked.select("componentID").distinct().collect()} == {3, -1}
+
+
+def test_catalog_tables_follow_later_loads(spark, extracts, tmp_path):
+    from caseweek.plans import register_tables
+    wh = Warehouse(str(tmp_path / "wh"))
+    for path in extracts:
+        load_batch(spark, path, wh, as_of=testbed.AS_OF)
+        names = register_tables(spark, wh, prefix="t_cur_")
+        assert spark.table(names["cases"]).count() == read_facts(spark, wh.facts).count()
+        assert spark.table(names["findings"]).count() == spark.read.orc(wh.findings).count()
+
+
+def test_catalog_mode_findings_are_in_the_table(spark, extracts, tmp_path):
+    wh = Warehouse(str(tmp_path / "wh"), catalog_prefix="t_own_")
+    load_batch(spark, extracts[0], wh, as_of=testbed.AS_OF)
+    assert spark.table("t_own_findings").count() == spark.read.orc(wh.findings).count() > 0
+
+
+def test_failed_account_rewrite_keeps_the_table(spark, tmp_path):
+    from caseweek.sinks import replace_table
+    path = str(tmp_path / "account")
+    replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), path)
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).cast("int").alias("id"), F.lit("b").alias("name"))
+    with pytest.raises(Exception):
+        replace_table(broken, path)
+    assert [tuple(r) for r in spark.read.orc(path).collect()] == [(1, "a")]
+    replace_table(spark.createDataFrame([(2, "b")], "id int, name string"), path)
+    assert [tuple(r) for r in spark.read.orc(path).collect()] == [(2, "b")]
+
+
+def test_partition_scope_over_the_bound_keeps_a_year_filter(spark, extracts, tmp_path):
+    from caseweek.sources import read_partitions
+    wh = Warehouse(str(tmp_path / "wh"))
+    load_batch(spark, extracts[0], wh, as_of=testbed.AS_OF)
+    weeks = read_facts(spark, wh.facts).select("year", "week").distinct().orderBy("year", "week").limit(5)
+    listed, beyond = read_partitions(spark, wh.facts, weeks), read_partitions(spark, wh.facts, weeks, max_list=2)
+    assert sorted(map(str, listed.collect())) == sorted(map(str, beyond.collect())) != []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan(listed)
+    assert any("year#" in x.split("]")[0] for x in plan(beyond).split("PartitionFilters: [")[1:])
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from caseweek.session import is_local
+    assert is_local("local[4]") and is_local("local")
+    assert not any(map(is_local, ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x")))

@@ -14,18 +14,18 @@ from conftest import SF
 
 def test_process_once_loads_each_file_once(spark):
     root = work_path(spark, "t-inbox")
-    for batch in ("old", "new"):
-        write_extract(testbed.raw_extract(spark, SF, batch), f"{root}/in/{batch}")
+    for batch in ("old", "new"):          # a drop is one file
+        write_extract(testbed.raw_extract(spark, SF, batch).coalesce(1), f"{root}/in/{batch}")
     wh = Warehouse(f"{root}/wh")
     kw = dict(checkpoint=f"{root}/cp", archive=f"{root}/archive", as_of=testbed.AS_OF)
     process_once(spark, f"{root}/in/*/*.csv", wh, **kw)
     first = read_facts(spark, wh.facts).count()
     process_once(spark, f"{root}/in/*/*.csv", wh, **kw)
     assert read_facts(spark, wh.facts).count() == first
-    expected = sum(testbed.raw_extract(spark, SF, b).count() for b in ("old", "new"))
-    assert first == expected
+    old, new = (testbed.raw_extract(spark, SF, b).select("Case Number") for b in ("old", "new"))
+    assert first == old.union(new).distinct().count()      # cases sent again replace the earlier rows
     ledger = spark.read.orc(ledger_path(wh))
-    assert ledger.agg(F.sum("rows")).first()[0] == expected
+    assert ledger.agg(F.sum("rows")).first()[0] == old.count() + new.count()
     assert ledger.where(F.length("run_date") == 8).count() == ledger.count()
 
 
@@ -81,16 +81,17 @@ def test_process_once_one_file_per_micro_batch_equals_load_then_update(spark):
     root = work_path(spark, "t-inbox2")
     for batch in ("old", "new"):          # one file per drop, written in order
         write_extract(testbed.raw_extract(spark, SF, batch).coalesce(1), f"{root}/in/{batch}")
-    wh = Warehouse(f"{root}/wh")
+    wh, together = Warehouse(f"{root}/wh"), Warehouse(f"{root}/together")
     process_once(spark, f"{root}/in/*/*.csv", wh, checkpoint=f"{root}/cp", as_of=testbed.AS_OF,
                  max_files_per_trigger=1)
+    process_once(spark, f"{root}/in/*/*.csv", together, checkpoint=f"{root}/cp2", as_of=testbed.AS_OF)
     ref = Warehouse(f"{root}/ref")
     load_batch(spark, f"{root}/in/old", ref, as_of=testbed.AS_OF)
     update_batch(spark, f"{root}/in/new", ref, as_of=testbed.AS_OF)
 
     def rows(w):
         return sorted(map(tuple, read_facts(spark, w.facts).collect()), key=str)
-    assert rows(wh) == rows(ref)
+    assert rows(wh) == rows(ref) == rows(together)
     assert spark.read.orc(ledger_path(wh)).count() == 2
 
 
@@ -103,3 +104,26 @@ def test_account_merge_reads_the_dimension_in_place(spark, capsys):
     joins = [line for line in plan.splitlines() if "Join" in line and "==" not in line]
     assert joins and all("BroadcastHashJoin" in line for line in joins)
     assert "SortMergeJoin" not in plan
+
+
+def test_inboxes_and_new_checkpoints_keep_each_others_findings(spark):
+    root = work_path(spark, "t-inboxes")
+    for batch in ("old", "new"):
+        write_extract(testbed.raw_extract(spark, SF, batch).coalesce(1), f"{root}/{batch}")
+    wh = Warehouse(f"{root}/wh")
+    seen = []
+    for inbox, checkpoint in (("old", "a"), ("new", "b"), ("new", "c")):
+        process_once(spark, f"{root}/{inbox}", wh, checkpoint=f"{root}/cp-{checkpoint}", as_of=testbed.AS_OF)
+        seen.append(spark.read.orc(wh.findings).count())
+    assert seen[0] < seen[1] < seen[2]
+    ledger = spark.read.orc(ledger_path(wh))
+    assert ledger.count() == 3 and ledger.select("query_id").distinct().count() == 3
+    assert spark.read.orc(wh.findings).select("batch").distinct().count() == 3
+
+
+def test_row_coding_runs_each_link_regex_once(spark):
+    from caseweek.operators import explode_findings
+    coded = code_cases(extract_fields(testbed.raw_extract(spark, SF, "new")), testbed.AS_OF)
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()      # as a load persists it
+    assert plan.count("regexp_extract(") <= 5 and "lambdafunction" not in plan
+    assert "lambdafunction" not in explode_findings(coded)._jdf.queryExecution().optimizedPlan().toString()
