@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +16,27 @@ from ..session import work_path
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's files with the application, once, so that Python workers can import it wherever
+    they run. The archive is made on the driver; Spark serves it to the executors."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if package.is_dir() and not getattr(context, "_caseweek_shipped", False):
+        folder = tempfile.mkdtemp(prefix="caseweek-package-")
+        context.addPyFile(shutil.make_archive(f"{folder}/caseweek", "zip", package.parent, package.name))
+        context._caseweek_shipped = True
+
+
+def on_workers(query):
+    """``query`` (its first argument a session) with the package shipped before."""
+
+    @functools.wraps(query)
+    def shipped(spark, *args, **kwargs):
+        ship_package(spark)
+        return query(spark, *args, **kwargs)
+
+    return shipped
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole documents table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

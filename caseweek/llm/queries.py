@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_classifier, quality_rules,
                simhash, toxicity, warc_fixity)
-from .common import documents, in_fold, labels, stored
+from .common import documents, in_fold, labels, on_workers, stored
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +171,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity": op10_toxicity,
 }
+QUERIES = {name: on_workers(query) for name, query in QUERIES.items()}
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweek.llm import exact_dedup, language_id, packing, quality_rules, simhash
-from caseweek.llm.common import stored
+from caseweek.llm.common import on_workers, stored
 
 #: Texts whose n-grams lie this far from every language's profile are no language (1: as in the profile).
 LEAST_FIT = 0.02
@@ -48,13 +48,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-STAGES = [
+STAGES = [(name, on_workers(stage)) for name, stage in (
     ("language", identify_language),
     ("quality", keep_quality),
     ("exact", drop_exact_copies),
     ("near", drop_near_copies),
     ("pack", pack_sequences),
-]
+)]
 
 #: The stages take learned models, bit counts and tokenizers; tests hold them against brute force instead.
 ORACLE_SQL = None
