@@ -47,7 +47,7 @@ STEMS = (4, 5, 6, 7)
 #: Labelled rows of each kind that are learned from, at most, and learned entries, the strongest first.
 SAMPLE = 20_000
 LEXICON = 5_000
-#: Share of toxic documents among those with an entry, at least; and documents with it, at least.
+#: Share of toxic documents among all labelled ones with an entry, at least; and sampled documents with it, at least.
 PRECISION = 0.9
 SUPPORT = 4
 #: Weight of a listed insult and of a threat, the largest learned weight, and most that clauses add up to.
@@ -129,7 +129,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(weight by stem, prior log-odds) from the rows of ``labels``.
 
     The prior counts every label. Stems are counted on at most ``sample`` rows of each kind, those with
-    the smallest hash of their id, so only that many ids are sent to the tasks.
+    the smallest hash of their id, so only that many ids are sent to the tasks. Their precision is that
+    at the mix of all labels, whatever the sample's.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -162,12 +163,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = stored(counts.filter(F.col("n") >= SUPPORT), "toxicity-stems")
     kinds = {r["label"]: r["n"] for r in picked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = kinds[1] / (kinds[0] + kinds[1])
+    # Documents with the stem among all labels, as the sample has them: its mix of kinds is not theirs.
+    toxic, clean = F.col("bad") * (n[1] / kinds[1]), (F.col("n") - F.col("bad")) * (n[0] / kinds[0])
     # Chance gives a stem this many toxic documents with a probability under exp(-evidence).
     q = F.col("bad") / F.col("n")
     part = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
     evidence = F.col("n") * (part(q, F.lit(share)) + part(1 - q, F.lit(1 - share)))
     enough = math.log(max(1, counts.count())) + 3
-    strong = (counts.withColumn("evidence", evidence).filter((q >= PRECISION) & (F.col("evidence") >= enough))
+    strong = (counts.withColumn("evidence", evidence).filter((toxic / (toxic + clean) >= PRECISION) & (F.col("evidence") >= enough))
               .orderBy(F.desc("evidence"), "stem").limit(LEXICON).collect())
     weights = {r["stem"]: min(HEAVIEST, math.log((r["bad"] + 0.5) / (kinds[1] + 1))
                               - math.log((r["n"] - r["bad"] + 0.5) / (kinds[0] + 1))) for r in strong}

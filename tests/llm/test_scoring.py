@@ -208,6 +208,22 @@ def test_toxicity_learns_stems_and_scores(spark):
     assert all((r["s"] >= 0.5) == (r["doc_id"] % 5 == 0) for r in found)
 
 
+def test_toxicity_lexicon_is_that_of_the_labels_mix(spark):
+    rows, labels = [], []
+    for i in range(1000):
+        bad = i % 10 == 0
+        text = prose(i, 20)
+        if bad and i % 20 == 0:
+            text += " gronk"                       # in half of the toxic documents only
+        if i % 20 == 10 or (not bad and i % 45 == 1):
+            text += " mixed"                       # in the other half and in 1 of 45 clean ones: precision 0.7
+        rows.append((i, text, None, None, None))
+        labels.append((i, 1, int(bad)))
+    docs, known = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lexicons = [set(toxicity.learn(docs, known, sample=n)[0]) for n in (100, 300, 10_000)]
+    assert lexicons[0] == lexicons[1] == lexicons[2] == {"gron", "gronk", "gronk "}
+
+
 def test_clause_grammar():
     score = toxicity.Scorer({"gronk": 6.0}, math.log(1 / 9)).score
     for toxic in ("you are an idiot", "What a moron.", "gronkig", "I will kill you", "Idiot! Not that.",
