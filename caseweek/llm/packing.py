@@ -38,9 +38,10 @@ from .byte_bpe import _CHUNK
 from .common import Memo, stored
 
 #: Groups of large lengths, and the shares of a sequence over which lengths are large: the plan of fewest
-#: sequences among these is taken. (More large lengths leave fewer small ones to fill the gaps.)
-GROUPS = 256
-LARGE = (0.5, 0.45)
+#: sequences among these is taken. Under a half, so that configurations hold several documents; more large
+#: lengths leave fewer small ones to fill the gaps.
+GROUPS = 512
+LARGE = (0.45,)
 #: Column generation stops after so many columns at the latest (any number gives a valid plan).
 COLUMNS = 3000
 #: Chunks a worker remembers, and rows handled at a time (bounds on memory only).

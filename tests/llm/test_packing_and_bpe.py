@@ -125,3 +125,19 @@ def test_few_sequences():
     assert packing.Plan({600: 3, 400: 3}, 1000).sequences == 3
     # exact pairs beat what first-come placing could do
     assert packing.Plan({700: 10, 300: 10, 500: 4}, 1000, large=0.2).sequences == 12
+
+
+def test_every_threshold_plans_configurations_of_several_documents(monkeypatch):
+    r, place, seen = random.Random(9), packing.Plan._place, []
+    counts = Counter(min(1023, int(r.lognormvariate(5.8, 0.8)) + 1) for _ in range(20_000))
+    monkeypatch.setattr(packing.Plan, "_place",
+                        lambda self, slots, times: (seen.append(len(slots) * times), place(self, slots, times))[1])
+    for share in packing.LARGE:
+        seen.clear()
+        packing.Plan(counts, 1024, large=share)
+        large = sum(c for n, c in counts.items() if n > share * 1024)
+        pairs = sum(c for n, c in counts.items() if share * 1024 < n <= 512)
+        assert share < 0.5 and sum(seen) >= 0.9 * large and pairs > 0
+        seen.clear()
+        packing.Plan({540: 10, 480: 10}, 1024, large=share)
+        assert seen == [20]  # ten times both
