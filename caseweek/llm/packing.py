@@ -50,18 +50,27 @@ ROWS = 256
 
 
 @functools.lru_cache(maxsize=2)
-def _chunk_ids(path: str) -> Memo:
+def _encoder(path: str) -> tuple:
+    """(encoding of a text, strings of added tokens, remembered encodings of chunks) of a tokenizer."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Memo(lambda chunk: np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes(),
-                MEMO_ENTRIES)
+
+    def encode(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    return encode, added, Memo(encode, MEMO_ENTRIES)
 
 
 def encode_text(text: str | None, path: str) -> bytes:
-    """Packed 32-bit ids of a text. A chunk between white space is encoded once and remembered."""
-    return b"".join(map(_chunk_ids(path).__getitem__, _CHUNK.findall(text or "")))
+    """Packed 32-bit ids of a text. A chunk between white space is encoded once and remembered; a text with
+    the string of an added token, which may cross chunks, is encoded whole."""
+    encode, added, chunks = _encoder(path)
+    text = text or ""
+    if any(map(text.__contains__, added)):
+        return encode(text)
+    return b"".join(map(chunks.__getitem__, _CHUNK.findall(text)))
 
 
 def cut(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id",

@@ -141,3 +141,20 @@ def test_every_threshold_plans_configurations_of_several_documents(monkeypatch):
         seen.clear()
         packing.Plan({540: 10, 480: 10}, 1024, large=share)
         assert seen == [20]  # ten times both
+
+
+def test_strings_of_added_tokens_encode_as_the_plain_call_does(spark):
+    plain = Tokenizer.from_file(JSON)
+    texts = ["<|endoftext|>", "one <|endoftext|> two", "one<|endoftext|>\n\n  two <|endoftext|><|endoftext|>.", "<|endof text|>",
+             "end of text", " ".join(f"word{i} <|endoftext|>" for i in range(900))]
+    want = {}
+    for i, text in enumerate(texts):
+        want[i] = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.encode_text(text, JSON), "<u4").tolist() == want[i]
+    assert want[0] == [50256]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = defaultdict(list)
+    for r in packing.pack_documents(docs, JSON, end_id=2, capacity=1024, with_ids=True).orderBy("doc_id", "piece").collect():
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        found[r["doc_id"]] += r["ids"]
+    assert found == {i: [*ids, 2] for i, ids in want.items()}
