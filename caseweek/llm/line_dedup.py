@@ -3,6 +3,7 @@
 Documents come in batches. A batch becomes one run: for each line hash the number of documents with it
 and the largest id among them, sorted by hash. It is merge-joined with the runs there are: an anti-join
 gives the lines never seen before, the rest are repeats, and both are marked so in the run that is added.
+A fresh line starts its count there; only repeats are added up, and added to the count that was started.
 Runs live in levels; when a level has as many as its fan-out they are merged into one run of the next,
 so there are only a logarithm of the batches to join with. Lines whose counts over all runs reach the
 limit lose their places, except in the document with the largest id among their holders.
@@ -99,16 +100,26 @@ class LevelledRuns:
 
     def common(self, least_docs: int) -> DataFrame:
         """(h1, h2, top) of the lines that at least so many documents hold."""
-        runs = self.runs()
-        return (self._merged(runs).filter(F.col("n") >= least_docs).select("h1", "h2", "top"))
+        union = self._union(self.runs())
+        # A line is fresh in one run, where its count starts; only what the other runs repeat is added up.
+        begun = union.filter("fresh").select("h1", "h2", "n", "top")
+        more = union.filter(~F.col("fresh")).groupBy("h1", "h2").agg(F.sum("n").alias("more"),
+                                                                     F.max("top").alias("more_top"))
+        total = begun.join(more.hint("merge"), ["h1", "h2"], "left")
+        return (total.filter(F.col("n") + F.coalesce("more", F.lit(0)) >= least_docs)
+                .select("h1", "h2", F.greatest("top", "more_top").alias("top")))
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
+    def _union(runs: list[DataFrame]) -> DataFrame:
         union = runs[0]
         for run in runs[1:]:
             union = union.unionAll(run)
-        return union.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("top").alias("top"),
-                                             F.max("fresh").alias("fresh"))
+        return union
+
+    @classmethod
+    def _merged(cls, runs: list[DataFrame]) -> DataFrame:
+        return cls._union(runs).groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("top").alias("top"),
+                                                        F.max("fresh").alias("fresh"))
 
     @staticmethod
     def _sorted(run: DataFrame) -> DataFrame:

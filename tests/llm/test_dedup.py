@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from caseweek.llm import exact_dedup, line_dedup, simhash
 from caseweek.llm.components import connect
@@ -191,3 +192,18 @@ def test_levelled_runs_mark_fresh_lines_and_merge(spark):
         seen |= set(batch)
     assert len(runs.runs()) < 5
     assert {r["h1"] for r in runs.common(3).collect()} == {3}
+
+
+@pytest.mark.parametrize("fan_out", [2, 9])
+def test_counts_start_at_fresh_lines(spark, fan_out):
+    runs, held = line_dedup.LevelledRuns(fan_out=fan_out), defaultdict(list)
+    for k, batch in enumerate(([1, 1, 2], [1, 3, 3, 4], [2, 3], [5, 5, 5], [2, 6])):
+        rows = [(100 - 10 * k + i if h != 5 else None, h) for i, h in enumerate(batch)]
+        for i, h in rows:
+            held[h].append(i)
+        runs.add(spark.createDataFrame(rows, "id long, h1 long").withColumn("h2", F.col("h1")))
+    want = {(h, h, max((i for i in ids if i is not None), default=None)) for h, ids in held.items() if len(ids) >= 3}
+    found = [tuple(r) for r in runs.common(3).collect()]
+    assert len(found) == len(want) == 4 and set(found) == want
+    runs.levels = [[run.withColumn("fresh", F.col("fresh") & (F.col("h1") != 3)) for run in runs.runs()]]
+    assert {r["h1"] for r in runs.common(3).collect()} == {1, 2, 5}  # a count that nothing started is none
