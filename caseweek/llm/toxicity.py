@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar (operator 10).
 
 A lexical transducer turns words into classes: insult (with a weight), harm, intent, target, negation,
-reporting, filler, and the ends of clauses and quotes. Small transducers read the classes of a clause, one each
-for negation, reported speech, target and threat; composed they are one machine whose states are tuples
-of theirs. An insult or a threat is scored by what the machine has read before it: a negated or reported
-one counts little, one aimed at somebody more. The score of a text is the logistic function of the
-prior log-odds and the weights of all matched clauses, so single words count only as parts of a clause.
+reporting, filler, quote marks and the ends of clauses (pauses and line breaks among them). Small transducers
+read the classes of a clause, one each for negation, reported speech, target and threat; composed they are one
+machine whose states are tuples of theirs. An insult or a threat is scored by what the machine has read before
+it: a negated or reported one counts little, one aimed at somebody more. The score of a text is the logistic
+function of the prior log-odds and the weights of all matched clauses, so single words count only as parts of
+a clause.
 
 The insult lexicon is a short list and what the labelled rows add: stems (first letters of words) and
 whole words far more frequent among toxic documents than chance allows.
@@ -57,6 +58,9 @@ NEGATED, REPORTED, AIMED = 0.1, 0.3, 1.2
 #: Counts held by one task before it passes them on.
 HELD_COUNTS = 300_000
 
+#: Classes of the marks that end a clause; all others are quote marks.
+ENDS = {".": "end", "!": "end", "?": "end", ";": "end", ":": "pause", ",": "pause", "\n": "break"}
+
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:,\n\"“”„«»]")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -75,7 +79,7 @@ class Transducer:
 
 def compose(*parts: Transducer) -> dict[tuple, tuple[tuple, float]]:
     """Arcs of the machine that runs all parts at once; factors multiply."""
-    kinds = [*WORDS, "other", "end", "quote"]
+    kinds = [*WORDS, "other", *dict.fromkeys(ENDS.values()), "quote"]
     arcs, start = {}, tuple(p.start for p in parts)
     todo, seen = [start], {start}
     while todo:
@@ -92,23 +96,30 @@ def compose(*parts: Transducer) -> dict[tuple, tuple[tuple, float]]:
 
 def grammar() -> tuple[dict, tuple]:
     """The composed clause machine and its start state."""
+    def over(*states: str) -> dict:
+        """Arcs that leave the states at any end of a clause."""
+        return {(state, end): ("no", 1.0) for state in states for end in ENDS.values()}
+
     # Negation reaches over fillers and at most one other word.
     negation = Transducer("no", {("no", "negation"): ("next", 1.0), ("next", "insult"): ("no", NEGATED),
                                  ("last", "insult"): ("no", NEGATED), ("next", "harm"): ("no", NEGATED),
                                  ("last", "harm"): ("no", NEGATED), ("next", "filler"): ("next", 1.0),
                                  ("last", "filler"): ("last", 1.0), ("next", "negation"): ("next", 1.0),
-                                 ("last", "negation"): ("next", 1.0), ("next", "end"): ("no", 1.0),
-                                 ("last", "end"): ("no", 1.0)}, {"next": "last", "last": "no"})
-    # Reported speech lasts to the end of the clause, and through a quote that follows it.
-    report = Transducer("no", {("no", "report"): ("said", 1.0), ("said", "end"): ("no", 1.0),
+                                 ("last", "negation"): ("next", 1.0), **over("next", "last")}, {"next": "last", "last": "no"})
+    # Reported speech lasts to the end of the clause, and through a quote that follows it, at once or after
+    # a comma or colon. A quote ends at its mark or with the line.
+    report = Transducer("no", {**over("said"), ("no", "report"): ("said", 1.0), ("said", "pause"): ("introduced", 1.0),
+                               ("introduced", "quote"): ("quoted", 1.0), ("introduced", "report"): ("said", 1.0),
+                               ("introduced", "break"): ("introduced", 1.0), ("quoted", "break"): ("no", 1.0),
                                ("said", "insult"): ("said", REPORTED), ("said", "harm"): ("said", REPORTED),
                                ("said", "quote"): ("quoted", 1.0), ("quoted", "insult"): ("quoted", REPORTED),
-                               ("quoted", "harm"): ("quoted", REPORTED), ("quoted", "quote"): ("no", 1.0)})
+                               ("quoted", "harm"): ("quoted", REPORTED), ("quoted", "quote"): ("no", 1.0)},
+                        {"introduced": "no"})
     target = Transducer("no", {("no", "target"): ("seen", 1.0), ("seen", "insult"): ("seen", AIMED),
-                               ("seen", "end"): ("no", 1.0)})
+                               **over("seen")})
     # Harm is a threat only where an intent stands before it in the clause.
     threat = Transducer("no", {("no", "intent"): ("meant", 1.0), ("no", "harm"): ("no", 0.0),
-                               ("meant", "harm"): ("meant", 1.0), ("meant", "end"): ("no", 1.0)})
+                               ("meant", "harm"): ("meant", 1.0), **over("meant")})
     parts = (negation, report, target, threat)
     return compose(*parts), tuple(p.start for p in parts)
 
@@ -189,7 +200,7 @@ class Scorer:
     def classify(self, token: str) -> tuple[str, float]:
         """Class and weight of a token."""
         if not token[0].isalpha():
-            return ("quote" if token in "\"“”„«»" else "end"), 0.0
+            return ENDS.get(token, "quote"), 0.0
         word = token.lower().replace("’", "'")
         kind = self.listed.get(word)
         if kind:
@@ -205,10 +216,11 @@ class Scorer:
         if not any(weight for _, weight in classes):
             return []
         found, state, total, first = [], self.start, 0.0, 0
+        ends = frozenset(ENDS.values())
         for i, (kind, weight) in enumerate([*classes, ("end", 0.0)]):
             state, factor = self.arcs[state, kind]
             total += weight * factor
-            if kind == "end":
+            if kind in ends:
                 if total:
                     found.append((total, " ".join(tokens[first:i])))
                 total, first = 0.0, i + 1

@@ -236,6 +236,18 @@ def test_clause_grammar():
     assert [c for _, c in clauses] == ["you idiot"]
 
 
+def test_quotes_after_a_comma_or_colon_are_reported_and_end_with_the_line():
+    score = toxicity.Scorer({}, math.log(1 / 9)).score
+    for clean in ('he said, "you idiot"', 'sagte er: „du Abschaum“', 'She wrote to him: "You, sir, are a moron."',
+                  'He said:\n"you idiot"', 'elle disait, « imbécile »', 'he said, "oh. you moron"'):
+        assert score(clean) < 0.5, clean
+    for toxic in ('he said "hello\nyou idiot', 'he said, "hello\n\nand more. you idiot', 'he said, you idiot',
+                  'he said, "hello". you idiot', 'hello, "you idiot"', 'he said: well, "you idiot"', 'he said\n"you idiot"'):
+        assert score(toxic) >= 0.5, toxic
+    clauses = toxicity.Scorer({}, 0.0).clauses('not now, you idiot: all\nyou moron; then home')
+    assert clauses == [(6.0, "you idiot"), (6.0, "you moron")]
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     weights, prior = toxicity.learn(documents(spark), labels)
