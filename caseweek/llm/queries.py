@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, exact_dedup, language_id, line_dedup, packing, quality_classifier, quality_rules,
-               simhash, toxicity, warc_fixity)
+from . import (byte_bpe, chat, cross_tokens, exact_dedup, fill_middle, language_id, line_dedup, packing,
+               quality_classifier, quality_rules, simhash, toxicity, warc_fixity)
 from .common import documents, in_fold, labels, on_workers, stored
 
 
@@ -159,6 +159,84 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in the middle, and rebuilt, as digests."""
+    recipe = fill_middle.Recipe(seed=42, rearranged=50, suffix_first=80, unit="word")
+    made = fill_middle.transform(documents(spark, sf_dir), recipe)
+    rebuilt = fill_middle.restored_column(F.col("output"), F.col("form"), recipe)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(rebuilt, 256).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4
+  FROM texts
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+              OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, with figures over the whole corpus."""
+    import public_tokenizers
+
+    return cross_tokens.align_corpus(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and a made-up one formatted, and read back from the output as digests."""
+    template, says = chat.Template(), r"\### Assistant: </turn> ok"
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
+    return chat.digests(chat.format_conversations(turns.unionByName(own), template), template)
+
+
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), written AS (
+  SELECT *, '<turn:' || coalesce(replace(replace(role, '\', '\\'), '>', '\g'), '\0') || '>'
+            || regexp_replace(text, '<(\\*)(turn:|/turn>)', '<\\\1\2', 'g') || '</turn>' || chr(10) AS formatted,
+         lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) AS before
+  FROM turns
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST) AS body,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length(formatted))::BIGINT AS formatted_chars,
+         count(*) FILTER (WHERE (before, role) NOT IN (('start', 'system'), ('start', 'user'), ('system', 'user'),
+                                                       ('user', 'assistant'), ('assistant', 'user'))) AS violations,
+         arg_max(role, turn) = 'assistant' AS complete
+  FROM written GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(body) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars, violations, complete
+FROM joined
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -170,6 +248,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_cross_tokens": op12_cross_tokens,
+    "op13_chat": op13_chat,
 }
 QUERIES = {name: on_workers(query) for name, query in QUERIES.items()}
 
@@ -177,4 +258,6 @@ SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op5_warc_fixity": OP5_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_fill_middle": OP11_SQL,
+    "op13_chat": OP13_SQL,
 }
