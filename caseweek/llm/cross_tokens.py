@@ -23,10 +23,10 @@ null ids), an empty table gives no rows, extra columns are ignored whatever thei
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
-import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +34,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, Memo, stored
+from .byte_level import byte_level_tokens, plain_encoder
+from .common import WHITE_SPACE, stored
 
 #: Pairs of ids that are broadcast with their counts (16 bytes each and what a hash table adds).
 FREQUENT = 100_000
-#: Chunks and windows that a worker remembers, packed bytes of the longest window among them, and rows handled at
-#: a time (bounds on memory only).
-MEMO_ENTRIES = 250_000
-LONGEST = 128
+#: Chunks and windows that a worker remembers, characters or packed bytes of the longest among them, characters
+#: tokenised by one call, and rows handled at a time (bounds on memory only).
+MEMO_ENTRIES = 400_000
+LONGEST = 64
+JOINED = 1 << 14
+
+#: What stands after the ids by A and after those by B in a window's key; no token has such an id.
+END_A, END_B = -1, -2
 ROWS = 256
 
 #: White space but the plain space.
@@ -51,26 +56,6 @@ _CHUNK = re.compile(rf"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+(?:[{_OTHER_SPACE}][{WHI
                     rf"(?:[{_OTHER_SPACE}][{WHITE_SPACE}]*\Z)?|[{WHITE_SPACE}]+")
 
 
-def byte_of_character() -> dict[str, int]:
-    """The bytes that byte-level vocabularies write as characters: printable Latin-1 ones as themselves, the
-    others, in order, as those from 256 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
-def byte_level_tokens(path: str) -> list[bytes]:
-    """Token bytes by id of a byte-level BPE tokenizer file."""
-    byte_of = byte_of_character()
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)
-    entries = {i: bytes(byte_of[c] for c in token) for token, i in model["model"]["vocab"].items()
-               if all(c in byte_of for c in token)}
-    for added in model.get("added_tokens", ()):
-        entries[added["id"]] = added["content"].encode()
-    return [entries.get(i, b"") for i in range(max(entries) + 1)]
-
-
 def piece_tokens(model) -> list[bytes]:
     """Bytes by id of a sentence-piece model's pieces; control pieces stand for none."""
     out = []
@@ -83,15 +68,30 @@ def piece_tokens(model) -> list[bytes]:
     return out
 
 
+def bound(memo: dict, new: Iterable, used: set, length) -> None:
+    """Bound a memo after a slice of rows: of the keys new in it the long ones aren't kept, and when the memo is
+    full only what the slice used is."""
+    for key in [k for k in new if length(k) > LONGEST]:
+        del memo[key]
+    if len(memo) > MEMO_ENTRIES:
+        kept = [(k, memo[k]) for k in used if k in memo]
+        memo.clear()
+        memo.update(kept)
+
+
+def parts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places of ``END_A``, places of ``END_B``, which are ids by A, which are ids by B) of packed id tuples."""
+    end_a, end_b = ids == END_A, ids == END_B
+    by_b = np.cumsum(end_a.astype(np.int8) - end_b.astype(np.int8), dtype=np.int8) > 0
+    is_id = ids >= 0
+    return np.flatnonzero(end_a), np.flatnonzero(end_b), is_id & ~by_b, is_id & by_b
+
+
 class Aligner:
     """Both tokenizers, the bytes of their tokens, and the memos."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(path_a), piece_tokens(self.b)
         inner = re.compile(r"[^▁]▁")
@@ -100,79 +100,127 @@ class Aligner:
         self.length_a, self.length_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.marked_a, self.marked_b = (np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.space_b = self.b.piece_to_id("▁")
-        self.fast_a = self._fast_a(path_a)
-        self.chunks = Memo(self._tokens, MEMO_ENTRIES)
-        self.windows = Memo(self._window, MEMO_ENTRIES)     # a key is a pair of id tuples
-
-    def _fast_a(self, path: str):
-        """The same merges in a faster library, if the file's ids are their ranks; else the tokenizer itself."""
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
-        merges, vocab = file["model"]["merges"], file["model"]["vocab"]
-        joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in merges]
-        special = {t["id"] for t in file.get("added_tokens", ())}
-        ranks = {self.bytes_a[i]: i for i in vocab.values() if i not in special}
-        in_order = [vocab[m] for m in joined] == list(range(256, 256 + len(joined))) and len(ranks) == 256 + len(joined)
-        if not in_order or file.get("normalizer") or file["pre_tokenizer"].get("type") != "ByteLevel" \
-                or file["pre_tokenizer"].get("add_prefix_space"):
-            return lambda text: self.a.encode(text, add_special_tokens=False).ids
-        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                 special_tokens={}).encode_ordinary
-
-    def _ids_b(self, chunk: str) -> list[int]:
-        """Pieces of a chunk that begins with a space, which the model adds itself."""
-        return self.b.encode(chunk[1:]) if len(chunk) > 1 else [self.space_b]
-
-    def _tokens(self, chunk: str) -> tuple[bytes, bytes, bool]:
-        """(ids by A, ids by B, both give the chunk back), ids packed."""
-        a, b = self.fast_a(chunk), self._ids_b(chunk)
-        exact = chunk.encode("utf-8", "surrogatepass")
-        same = (b"".join(map(self.bytes_a.__getitem__, a)) == exact == b"".join(map(self.bytes_b.__getitem__, b)))
-        return np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes(), same
-
-    def tokenise(self, text: str | None) -> tuple[bytes, bytes]:
-        """Packed ids of a text by A and by B; none where one doesn't give its bytes back."""
-        if not text:
-            return b"", b""
-        found = list(map(self.chunks.__getitem__, _CHUNK.findall(" " + text)))
-        a, b, same = zip(*found, strict=True)
-        return (b"".join(a), b"".join(b)) if all(same) else (b"", b"")
-
-    def _window(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes]:
-        """(groups as text, number of groups, packed links) of a window's packed ids. A link is A's id times
-        2**32 plus B's."""
-        a, b = (np.frombuffer(k, np.int32).tolist() for k in key)
-        groups, links = [], []
-        i = j = end_a = end_b = 0
-        own_a, own_b = [], []
-        while i < len(a) or j < len(b):
-            if end_a == end_b and own_a:
-                groups.append((own_a, own_b))
-                own_a, own_b = [], []
-            if end_a <= end_b:
-                take_b = end_a == end_b                   # at a shared end both go on
-                own_a.append(a[i])
-                end_a += len(self.bytes_a[a[i]])
-                i += 1
-                if not take_b:
-                    links.append((own_a[-1], own_b[-1]))
-                    continue
-            own_b.append(b[j])
-            end_b += len(self.bytes_b[b[j]])
-            j += 1
-            links.append((own_a[-1], own_b[-1]))
-        groups.append((own_a, own_b))
-        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
-        return text, len(groups), np.array([x << 32 | y for x, y in links], np.int64).tobytes()
+        self.fast_a = plain_encoder(path_a)
+        self.chunks: dict[str, bytes | None] = {}           # both id tuples, packed; None: not given back
+        self.windows: dict[bytes, tuple] = {}               # by both id tuples, packed
+        decimal = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.inner, self.last_a, self.last_b = (np.array([d + end for d in decimal], object) for end in ",|;")
+
+    def _encode(self, chunks: list[str]) -> list[bytes] | None:
+        """Packed ids by A, ``END_A``, by B, ``END_B`` of chunks that are tokenised as one text; None where that
+        text isn't given back byte by byte."""
+        joined = "".join(chunks)
+        exact = joined.encode("utf-8", "surrogatepass")
+        ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in chunks])
+        found = []
+        # the model adds the first space itself
+        for ids, tokens, lengths in ((self.fast_a(joined), self.bytes_a, self.length_a),
+                                     (self.b.encode(joined[1:]) if len(joined) > 1 else [self.space_b], self.bytes_b,
+                                      self.length_b)):
+            if b"".join(map(tokens.__getitem__, ids)) != exact:
+                return None
+            ids = np.array(ids, np.int32)
+            token_ends = np.cumsum(lengths[ids])
+            cuts = np.searchsorted(token_ends, ends)
+            if (token_ends[cuts] != ends).any():
+                return None
+            found += [ids, np.concatenate(([0], cuts + 1))]
+        return self._keys(*found[::2], *found[1::2])
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Remember the tokens of chunks. Those that end without white space are tokenised many at once: the
+        text that they make has the same places to cut."""
+        batches, size, single = [[]], 0, []
+        for c in chunks:
+            if c[-1].isspace():
+                single.append(c)
+                continue
+            if size > JOINED:
+                batches.append([])
+                size = 0
+            batches[-1].append(c)
+            size += len(c)
+        for batch in batches:
+            keys = self._encode(batch) if batch else []
+            if keys is None:
+                single += batch
+            else:
+                self.chunks.update(zip(batch, keys, strict=True))
+        for c in single:
+            self.chunks[c] = (self._encode([c]) or [None])[0]
+
+    def tokenise(self, texts: list[str | None]) -> list[bytes]:
+        """Both packed id tuples of each text's chunks, one after another; nothing where one tokenizer doesn't give
+        the text's bytes back."""
+        split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+        used = set().union(*split)
+        new, out, chunk = used.difference(self.chunks), [], self.chunks.__getitem__
+        self._learn(new)
+        for text, own in zip(texts, split, strict=True):
+            keys = list(map(chunk, own))
+            if None in keys:                              # the text is looked at as a whole
+                keys = self._encode([" " + text]) or []
+            out.append(b"".join(keys))
+        bound(self.chunks, new, used, len)
+        return out
+
+    def align_windows(self, keys: list[bytes]) -> list[tuple[str, int, bytes]]:
+        """(groups as text, number of groups, packed links) of each window. A key is the window's packed ids by A,
+        ``END_A``, those by B, ``END_B``; a link is A's id times 2**32 plus B's. A window has as many bytes by A
+        as by B, so all are compared end to end."""
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        at_a, at_b, is_a, is_b = parts(ids)
+        a, b = ids[is_a], ids[is_b]
+        length_a, length_b = self.length_a[a], self.length_b[b]
+        end_a, end_b = np.cumsum(length_a), np.cumsum(length_b)
+        first = np.searchsorted(end_b, end_a - length_a, side="right")   # tokens of B that a token of A overlaps
+        last = np.searchsorted(end_b, end_a, side="left")
+        times = last - first + 1
+        run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        links = (np.repeat(a.astype(np.int64), times) << 32) | b[np.repeat(first, times) + run]
+        shared_a = end_b[last] == end_a
+        shared_b = np.zeros(len(b), bool)
+        shared_b[last[shared_a]] = True
+        group_a, group_b = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
+        # in the text, a group's tokens of A come before its tokens of B
+        before_b = np.searchsorted(group_b, group_a, side="left")
+        before_a = np.searchsorted(group_a, group_b, side="right")
+        words = np.empty(len(a) + len(b), object)
+        words[np.arange(len(a)) + before_b] = np.where(shared_a, self.last_a[a], self.inner[a])
+        words[np.arange(len(b)) + before_a] = np.where(shared_b, self.last_b[b], self.inner[b])
+        words, packed = words.tolist(), links.tobytes()
+        stop_a = np.cumsum(np.diff(np.concatenate(([-1], at_b))) - (at_b - at_a) - 1)
+        stop_b = np.cumsum(at_b - at_a - 1)
+        groups = np.cumsum(shared_a)[stop_a - 1]
+        stop_links = 8 * np.cumsum(times)[stop_a - 1]
+        out, i, g, n = [], 0, 0, 0
+        for j, h, m in zip((stop_a + stop_b).tolist(), groups.tolist(), stop_links.tolist(), strict=True):
+            out.append(("".join(words[i:j]), h - g, packed[n:m]))
+            i, g, n = j, h, m
+        return out
+
+    @staticmethod
+    def _keys(a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[bytes]:
+        """Keys of the windows between the cuts."""
+        windows = len(cuts_a) - 1
+        ids = np.empty(len(a) + len(b) + 2 * windows, np.int32)
+        n_a, n_b, k = np.diff(cuts_a), np.diff(cuts_b), np.arange(windows)
+        ids[np.arange(len(a)) + np.repeat(cuts_b[:-1] + 2 * k, n_a)] = a
+        ids[np.arange(len(b)) + np.repeat(cuts_a[1:] + 2 * k + 1, n_b)] = b
+        stops = cuts_a[1:] + cuts_b[1:] + 2 * k + 2
+        ids[stops - 1] = END_B
+        ids[stops - n_b - 2] = END_A
+        packed, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [packed[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """(A's tokens, B's tokens, groups, links, groups as text, different links, times of each) of each text."""
-        packed = [self.tokenise(t) for t in texts]
-        a_all, b_all = b"".join(p[0] for p in packed), b"".join(p[1] for p in packed)
-        a, b = np.frombuffer(a_all, np.int32), np.frombuffer(b_all, np.int32)
+        packed = self.tokenise(texts)
+        ids = np.frombuffer(b"".join(packed), np.int32)
+        *_, is_a, is_b = parts(ids)
+        a, b = ids[is_a], ids[is_b]
+        stops = np.cumsum([0, *(len(p) // 4 for p in packed)])
+        rows_a, rows_b = (np.concatenate(([0], np.cumsum(x)))[stops] for x in (is_a, is_b))   # tokens before each row
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # tokens of A that begin with a space, and B's token at the same place if it does too and one ended there
         at_a = np.flatnonzero(self.marked_a[a])
@@ -182,28 +230,27 @@ class Aligner:
         shared = ~inner
         shared[inner] = end_b[at_b[inner]] == start[inner]
         at_b = at_b + inner
-        shared &= self.marked_b[b[np.minimum(at_b, max(len(b) - 1, 0))]] if len(b) else False
-        at_a, at_b = at_a[shared], at_b[shared]
+        if len(b):
+            shared &= self.marked_b[b[np.minimum(at_b, len(b) - 1)]]
         # texts begin with a space, so each begins a window; its last ends where the next text begins
-        cuts = list(zip((4 * at_a).tolist(), (4 * at_b).tolist(), strict=True))
-        cuts.append((len(a_all), len(b_all)))
-        windows, k, done_a = self.windows, 0, 0
-        for own_a, own_b in packed:
-            if not own_a:
+        cuts_a, cuts_b = (np.concatenate((at[shared], [len(x)])) for at, x in ((at_a, a), (at_b, b)))
+        keys = self._keys(a, b, cuts_a, cuts_b)
+        used = set(keys)
+        new = list(used.difference(self.windows))
+        if new:
+            self.windows.update(zip(new, self.align_windows(new), strict=True))
+        values = list(map(self.windows.__getitem__, keys))
+        bound(self.windows, new, used, lambda key: len(key) // 4)
+        firsts = np.searchsorted(cuts_a[:-1], rows_a).tolist()
+        counts = zip(np.diff(rows_a).tolist(), np.diff(rows_b).tolist(), firsts[:-1], firsts[1:], strict=True)
+        for n_a, n_b, i, j in counts:
+            if not n_a:
                 yield 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)
                 continue
-            done_a += len(own_a)
-            found = []
-            while cuts[k][0] < done_a:
-                (i, j), (m, n) = cuts[k], cuts[k + 1]
-                key = a_all[i:m], b_all[j:n]
-                found.append(windows[key] if m - i <= LONGEST and n - j <= LONGEST else self._window(key))
-                k += 1
-            texts_, groups, links = zip(*found, strict=True)
+            groups, n_groups, links = zip(*values[i:j], strict=True)
             pairs = np.frombuffer(b"".join(links), np.int64)
-            keys, times = np.unique(pairs, return_counts=True)
-            yield (len(own_a) // 4, len(own_b) // 4, sum(groups), len(pairs), ";".join(texts_), keys,
-                   times.astype(np.int32))
+            different, times = np.unique(pairs, return_counts=True)
+            yield n_a, n_b, sum(n_groups), len(pairs), "".join(groups)[:-1], different, times.astype(np.int32)
 
 
 @functools.lru_cache(maxsize=1)
@@ -224,7 +271,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                n_a, n_b, groups, links, texts, keys, times = zip(*aligner.align(part.column(1).to_pylist()), strict=True)
+                gc.disable()          # a slice makes millions of tuples, none in a cycle; looking them through costs more
+                found = list(aligner.align(part.column(1).to_pylist()))
+                gc.enable()
+                n_a, n_b, groups, links, texts, keys, times = zip(*found, strict=True)
                 shas = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
                 ends = pa.array(np.cumsum([0, *map(len, keys)], dtype=np.int32))
                 arrays = [part.column(0), pa.array(np.arange(row, row + part.num_rows)),

@@ -1,5 +1,6 @@
 """Fill-in-middle, cross-tokenizer alignment and chat formatting, against brute force."""
 
+import functools
 import hashlib
 import random
 import re
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from caseweek.llm import chat, cross_tokens, fill_middle, queries
+from caseweek.llm import byte_level, chat, cross_tokens, fill_middle, queries
 
 from .helpers import documents, empty, prose
 
@@ -82,11 +83,16 @@ def test_fill_middle_refuses_unknown_units():
 
 # ---- alignment -----------------------------------------------------------------------------
 
-@pytest.fixture(scope="module")
-def plain_tokenizers():
+@functools.lru_cache
+def _whole_a():
     a = Tokenizer.from_file(PATH_A)
     a.encode_special_tokens = True
-    return a, sentencepiece.SentencePieceProcessor(model_file=PATH_B)
+    return a
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizers():
+    return _whole_a(), sentencepiece.SentencePieceProcessor(model_file=PATH_B)
 
 
 def brute_align(text, tokenizers):
@@ -96,7 +102,7 @@ def brute_align(text, tokenizers):
     if not text:
         return nothing
     enc = a.encode(" " + text, add_special_tokens=False)
-    byte_of = cross_tokens.byte_of_character()
+    byte_of = byte_level.byte_of_character()
     bytes_a = [bytes(byte_of[c] for c in t) for t in enc.tokens]
     ids_b = b.encode(text)
     bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
@@ -168,14 +174,35 @@ def test_cross_tokens_same_with_any_share_of_frequent_links(spark, tmp_path):
 @settings(max_examples=150, deadline=None, derandomize=True)
 @given(st.text(alphabet=st.sampled_from(list("ab the 1.\n\t é日  ▁<>s|\x00'")), max_size=40))
 def test_chunks_give_the_tokens_of_the_whole_text(text):
-    aligner, full = cross_tokens._aligner(PATH_A, PATH_B), " " + text
+    aligner, full, whole_a = cross_tokens._aligner(PATH_A, PATH_B), " " + text, _whole_a()
     assert "".join(cross_tokens._CHUNK.findall(full)) == full
-    a, b = aligner.tokenise(text)
-    ids_a, ids_b = aligner.a.encode(full, add_special_tokens=False).ids, aligner.b.encode(text)
+    both = np.frombuffer(aligner.tokenise([text])[0], np.int32)
+    *_, is_a, is_b = cross_tokens.parts(both)
+    ids_a, ids_b = whole_a.encode(full, add_special_tokens=False).ids, aligner.b.encode(text)
     joined = [b"".join(map(t.__getitem__, ids)) for t, ids in ((aligner.bytes_a, ids_a), (aligner.bytes_b, ids_b))]
     if not text or joined != [full.encode()] * 2:
         ids_a = ids_b = []
-    assert np.frombuffer(a, np.int32).tolist() == ids_a and np.frombuffer(b, np.int32).tolist() == ids_b
+    assert both[is_a].tolist() == ids_a and both[is_b].tolist() == ids_b
+
+
+def test_plain_encoder_equals_the_file_s_own_library():
+    fast, texts = byte_level.plain_encoder(PATH_A), ODD + [prose(9, 300), "x" * 500, "don't  we'll 1234567 ...\n\n\t a"]
+    assert "Encoding" in repr(fast)
+    assert [fast(t) for t in texts] == [_whole_a().encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_memos_may_forget(plain_tokenizers, monkeypatch):
+    aligner = cross_tokens.Aligner(PATH_A, PATH_B)
+    texts = [prose(k, 60) + ODD[k % len(ODD)] for k in range(40)]
+    whole = list(aligner.align(texts))
+    monkeypatch.setattr(cross_tokens, "MEMO_ENTRIES", 3)
+    monkeypatch.setattr(cross_tokens, "LONGEST", 6)
+    again = [next(aligner.align([t])) for t in texts + texts]
+    assert all(len(memo) < 200 for memo in (aligner.chunks, aligner.windows))
+    assert [x[:5] for x in again] == [x[:5] for x in whole] * 2
+    for text, found in zip(texts, whole, strict=True):
+        a, b, groups, links = brute_align(text, plain_tokenizers)
+        assert found[:4] == (len(a), len(b), len(groups), len(links))
 
 
 # ---- chat ----------------------------------------------------------------------------------
