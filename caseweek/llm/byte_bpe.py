@@ -15,27 +15,23 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, Memo
+from .common import Memo
 
-#: Entries of a memo (chunks, pieces, token pairs) and rows handled at a time; both bound memory only.
+#: Entries of a memo (pieces, token pairs) and rows handled at a time; both bound memory only.
 MEMO_ENTRIES = 300_000
 ROWS = 256
 
-#: Text between white space, with one space before it, or white space as the split pattern leaves it.
-#: No alternative of a byte-level split pattern crosses these borders.
-_CHUNK = re.compile(rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
-
-
 def read_ranks(path: str) -> list[bytes]:
     """Token bytes by id from a rank file (base64 bytes and rank on each line)."""
     with open(path, "rb") as f:
@@ -43,6 +39,21 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
+class Decoder:
+    """Token bytes in one buffer, gathered by id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes that the ids stand for, their ends by id)."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - ends + sizes, sizes)], ends
+
+
 class ByteBpe:
     """Encoder and decoder for one vocabulary and one split pattern."""
 
@@ -65,9 +76,10 @@ class ByteBpe:
         self.automaton.make_automaton()
         self.lengths = [len(token) for token in tokens]
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces = Memo(lambda p: np.array(self.encode_piece(p.encode("utf-8", "surrogatepass")),
-                                              np.int32).tobytes(), MEMO_ENTRIES)
-        self.chunks = Memo(lambda c: b"".join(map(self.pieces.__getitem__, self.pattern.findall(c))), MEMO_ENTRIES)
+        #: The longest token that a token begins with, -1 if none.
+        self.shorter = [self._shorter(token) for token in tokens]
+        self.pieces = Memo(self._packed, MEMO_ENTRIES)
+        self.decoder = Decoder(tokens)
 
     def _last_merge(self, rank: int, token: bytes) -> tuple[int, int] | None:
         """The parts left when only merges of lower rank have been made, if they are two."""
@@ -119,43 +131,53 @@ class ByteBpe:
                     return True
                 left = self.parts[left][1]
 
+    def _shorter(self, token: bytes) -> int:
+        for n in range(len(token) - 1, 0, -1):
+            i = self.ranks.get(token[:n], -1)
+            if i >= 0 and (n == 1 or self.parts[i] != (i, i)):
+                return i
+        return -1
+
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the split pattern."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, lengths, pairs = len(piece), self.lengths, self.pairs
-        untried: list[list[int]] = [[] for _ in range(n)]  # token ids by start, shortest first
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            untried[end - lengths[token] + 1].append(token)
-        ids: list[int] = []
-        at, last = 0, -1
-        fruitless = bytearray(n + 1)
-        while at < n:
-            here = untried[at]  # a position is entered once, or is fruitless
-            while here:
-                token = here.pop()
-                end = at + lengths[token]
-                if fruitless[end]:
+        text, n, lengths, pairs, shorter = piece.decode("latin-1"), len(piece), self.lengths, self.pairs, self.shorter
+        ids, at, last, fruitless = [], 0, -1, None
+        longest = self.automaton.iter_long(text)          # goes on as long as each of its matches is taken
+        _, token = next(longest, (0, -1))
+        taken = True
+        while token >= 0:
+            end = at + lengths[token]
+            if not (fruitless and end in fruitless):
+                fits = last < 0 or pairs.get((last, token))
+                if fits or fits is None and self.compatible(last, token):
+                    ids.append(token)
+                    if end == n:
+                        return ids
+                    at, last = end, token
+                    if not taken:
+                        longest = self.automaton.iter_long(text, at)
+                    _, token = next(longest, (0, -1))
+                    taken = True
                     continue
-                if last >= 0:
-                    fits = pairs.get((last, token))
-                    if not (self.compatible(last, token) if fits is None else fits):
-                        continue
-                ids.append(token)
-                at, last = end, token
-                break
-            else:
-                fruitless[at] = 1
-                if not ids:
-                    raise ValueError("the vocabulary lacks single bytes")
-                at -= lengths[ids.pop()]
+            token, taken = shorter[token], False
+            while token < 0 and ids:                      # nothing fits here: a shorter one before
+                fruitless = fruitless or set()
+                fruitless.add(at)
+                token = ids.pop()
+                at -= lengths[token]
                 last = ids[-1] if ids else -1
-        return ids
+                token = shorter[token]
+        raise ValueError("the vocabulary lacks single bytes")
+
+    def _packed(self, piece: str) -> bytes:
+        return array("i", self.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as packed 32-bit integers."""
-        return b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -164,40 +186,61 @@ def _codec(path: str, pattern: str) -> ByteBpe:
 
 
 @functools.lru_cache(maxsize=2)
-def _tokens(path: str) -> list[bytes]:
-    return read_ranks(path)
+def _decoder(path: str) -> Decoder:
+    return Decoder(read_ranks(path))
+
+
+def _ids_column(ids: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(list column, flat ids, ends by row) of packed ids."""
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+    flat = np.frombuffer(b"".join(ids), np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), flat, ends
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every row's whole text. ``ranks_path`` must exist on every worker."""
+def _decoded_column(decoder: Decoder, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary column of what rows of ids stand for."""
+    data, byte_ends = decoder.decode(flat)
+    ends = np.concatenate(([0], byte_ends))[ends].astype(np.int64)
+    texts = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return texts.cast(pa.binary())
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           with_decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>[, decoded]) of every row's whole text; ``decoded`` is what the ids stand for, as bytes.
+    ``ranks_path`` must exist on every worker."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                                      names=[id_col, "ids"])
+                column, flat, ends = _ids_column([codec.encode(t or "") for t in part.column(1).to_pylist()])
+                arrays = [part.column(0), column]
+                if with_decoded:
+                    arrays.append(_decoded_column(codec.decoder, flat, ends))
+                yield pa.record_batch(arrays, names=["id", "ids", "decoded"][:len(arrays)])
 
-    rows = docs.select(id_col, text_col)
-    return rows.mapInArrow(encoded, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = rows.mapInArrow(encoded, f"id {rows.dtypes[0][1]}, ids array<int>" + ", decoded binary" * with_decoded)
+    return found.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, ids, decoded) with the bytes the ids stand for."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _tokens(ranks_path).__getitem__
+        decoder = _decoder(ranks_path)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                texts = [b"".join(map(token, ids or ())) for ids in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.binary())],
-                                      names=[id_col, "ids", "decoded"])
-
-    rows = encoded.select(id_col, ids_col)
-    return rows.mapInArrow(decoded, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>, decoded binary")
+                lists = part.column(1)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+                sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+                yield pa.record_batch([part.column(0), lists, _decoded_column(decoder, flat, ends)],
+                                      names=["id", "ids", "decoded"])
+
+    rows = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
+    found = rows.mapInArrow(decoded, f"id {rows.dtypes[0][1]}, ids array<int>, decoded binary")
+    return found.withColumnRenamed("id", id_col)

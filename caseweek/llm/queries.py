@@ -142,8 +142,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(documents(spark, sf_dir), path, pattern)
-    both = byte_bpe.decode(encoded, path)
+    both = byte_bpe.encode(documents(spark, sf_dir), path, pattern, with_decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
