@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import bisect
 import functools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import _CHUNK
-from .common import Memo, stored
+from .byte_level import plain_encoder
+from .common import WHITE_SPACE, Memo, stored
 
 #: Groups of large lengths, and the shares of a sequence over which lengths are large: the plan of fewest
 #: sequences among these is taken. Under a half, so that configurations hold several documents; more large
@@ -45,31 +47,32 @@ LARGE = (0.45,)
 #: Column generation stops after so many columns at the latest (any number gives a valid plan).
 COLUMNS = 3000
 #: Chunks a worker remembers, and rows handled at a time (bounds on memory only).
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 400_000
 ROWS = 256
 
 
+#: Text between white space, with one space before it, or white space as the split pattern leaves it.
+#: No alternative of a byte-level split pattern crosses these borders.
+_CHUNK = re.compile(rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> tuple:
-    """(encoding of a text, strings of added tokens, remembered encodings of chunks) of a tokenizer."""
+    """(the tokenizer, strings of its added tokens, remembered packed ids of chunks) of a tokenizer file."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
+    tokenizer, plain = Tokenizer.from_file(path), plain_encoder(path)
     added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-    return encode, added, Memo(encode, MEMO_ENTRIES)
+    return tokenizer, added, Memo(lambda chunk: array("I", plain(chunk)).tobytes(), MEMO_ENTRIES)
 
 
 def encode_text(text: str | None, path: str) -> bytes:
     """Packed 32-bit ids of a text. A chunk between white space is encoded once and remembered; a text with
-    the string of an added token, which may cross chunks, is encoded whole."""
-    encode, added, chunks = _encoder(path)
+    the string of an added token, which may cross chunks, is encoded whole by the tokenizer itself."""
+    tokenizer, added, chunks = _encoder(path)
     text = text or ""
     if any(map(text.__contains__, added)):
-        return encode(text)
+        return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     return b"".join(map(chunks.__getitem__, _CHUNK.findall(text)))
 
 
