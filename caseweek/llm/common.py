@@ -63,6 +63,29 @@ def in_fold(id_col: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+#: How many times the rows wanted a hash bound lets through, and at how many rows more is room for chance.
+ROOM, CHANCE = 2.0, 1000
+
+
+def smallest_hashes(rows: DataFrame, id_col: str, most: int, n: int) -> DataFrame:
+    """The ``most`` rows of ``rows`` whose ids have the smallest hashes (ties by id); ``n`` is how many there are.
+
+    Hashes are spread evenly, so a bound on them lets about ``ROOM * most`` rows through, wherever they lie, and
+    only those are put in order: what meets in one task is bounded by the sample, not by the number of tasks. Of
+    few rows, all are let through. Should so many rows share their ids that too few pass, all are put in order.
+    """
+    h = F.xxhash64(id_col)
+    order = (h, F.col(id_col))
+    share = (ROOM * most + CHANCE) / max(n, 1)
+    if share >= 1:
+        return rows.orderBy(*order).limit(most)
+    bound = int(-(1 << 63) + share * (1 << 64))
+    within = rows.filter(h <= F.lit(bound))
+    if within.count() < most:
+        return rows.orderBy(*order).limit(most)
+    return within.orderBy(*order).limit(most)
+
+
 class Memo(dict):
     """Computed values by text. When it is full, values not used since it was last full are forgotten,
     so its size is bounded; long texts are computed each time."""

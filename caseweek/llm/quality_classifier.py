@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import smallest_hashes, stored
 
 #: Rows of each kind that are learned from, at most: those with the smallest hash of their id.
 SAMPLE = 20_000
@@ -174,9 +174,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     ids = docs.select(F.col(id_col).alias("id")).dropna()
     good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).alias("id")).dropna().distinct()
-    order = (F.xxhash64("id"), F.col("id"))
-    positive = stored(ids.join(good, "id", "left_semi").orderBy(*order).limit(sample), "quality-positive")
-    unlabelled = stored(ids.join(good, "id", "left_anti").orderBy(*order).limit(sample), "quality-unlabelled")
+    kinds = [ids.join(good, "id", how) for how in ("left_semi", "left_anti")]
+    sizes = ids.join(good.withColumn("good", F.lit(1)), "id", "left").agg(F.count("good"), F.count(F.lit(1))).first()
+    positive, unlabelled = (stored(smallest_hashes(rows, "id", sample, n), f"quality-{name}") for rows, n, name in
+                            zip(kinds, (sizes[0], sizes[1] - sizes[0]), ("positive", "unlabelled"), strict=True))
     picked = positive.withColumn("positive", F.lit(True)).unionAll(unlabelled.withColumn("positive", F.lit(False)))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(picked.distinct()), "id").select("id", "positive", _figures(F.col("text")).alias("x"))

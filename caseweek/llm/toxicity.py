@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, stored
+from .common import Memo, smallest_hashes, stored
 
 #: Words of each class (lower case).
 WORDS = {
@@ -148,7 +148,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not n.get(0) or not n.get(1):
         return {}, math.log(1 / 9)
     prior = math.log(n[1] / n[0])
-    picked = [known.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample) for k in (0, 1)]
+    picked = [smallest_hashes(known.filter(F.col("label") == k), "id", sample, n[k]) for k in (0, 1)]
     picked = stored(picked[0].unionAll(picked[1]), "toxicity-sample")
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

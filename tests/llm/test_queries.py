@@ -3,23 +3,25 @@
 import base64
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from caseweek.llm import quality_classifier, queries, toxicity
-from caseweek.llm.common import stored
+from caseweek.llm import quality_classifier, quality_rules, queries, toxicity
+from caseweek.llm.common import smallest_hashes, stored
 
 from .helpers import documents
 from .test_dedup import brute_components, brute_fingerprint
-from .test_scoring import brute_profile
+from .test_scoring import brute_em, brute_figures, brute_profile
 
 SIZE = 300
 
@@ -68,6 +70,62 @@ def linked(rows):
     return [(fp, least.get(c), c) for fp, c in zip(fps, roots, strict=True)]
 
 
+def brute_votes(text):
+    """The rules' votes on a text, its figures counted anew."""
+    text = text or ""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = brute_figures(text)
+    words, unlettered = re.findall("[^\x20\x09-\x0D]+", text), regex.sub(r"\p{L}", "", text)
+    figures = dict(
+        n_words=n_words, word_chars=word_chars, n_symbols=n_symbols, n_dup_lines=n_dup_lines, n_repeat_words=n_repeat_words,
+        n_lines=sum(1 for x in text.split("\n") if re.search("[^\x20\x09-\x0D]", x)), n_letters=len(regex.findall(r"\p{L}", text)),
+        n_symbol_runs=len(re.findall("[#*$%&|<>]+", unlettered)), n_capitals=len(regex.findall(r"\p{Lu}", text)),
+        n_exclaimed=text.count("!"), n_distinct_words=len(set(words)), false=False)
+    return figures, tuple(1 if eval(r.good, {}, figures) else -1 if eval(r.bad, {}, figures) else 0 for r in quality_rules.RULES)
+
+
+def brute_kept(rows):
+    """Whether each row is kept, by expectation-maximisation over all rows' votes."""
+    voted = [brute_votes(text) for _, text, *_ in rows]
+    patterns, model, share = Counter(v for _, v in voted), quality_rules.VoteModel(), None
+    old = model.good_share, model.chances
+    for _ in range(quality_rules.ROUNDS):
+        state = quality_rules.VoteModel()
+        state.good_share, state.chances = old
+        share, chances = brute_em(patterns, state, 1)
+        change = max(abs(share - old[0]), np.abs(np.array(chances) - np.array(old[1])).max())
+        old = share, chances
+        if change < 1e-4:
+            break
+    kept = []
+    for f, votes in voted:
+        good, bad = old[0], 1 - old[0]
+        for v, ((up, down), (bad_up, bad_down)) in zip(votes, old[1], strict=True):
+            good *= up if v == 1 else down if v == -1 else 1 - up - down
+            bad *= bad_up if v == 1 else bad_down if v == -1 else 1 - bad_up - bad_down
+        failed = f["n_words"] < 10 or 100 * f["n_repeat_words"] > 20 * f["n_words"]
+        kept.append((failed, not failed and good / (good + bad) >= 0.5))
+    return kept
+
+
+def test_quality_rules_query(spark, folder, rows):
+    want = Counter((i, *brute_figures(text), *verdict) for (i, text, _), verdict in zip(rows, brute_kept(rows), strict=True))
+    found = queries.QUERIES["op1_quality_rules"](spark, folder)
+    assert Counter(tuple(r)[:8] for r in found.collect()) == want
+    stage = dict(corpus_pipeline.STAGES)["quality"](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert Counter(r["doc_id"] for r in stage.collect()) == Counter(r[0] for r in want.elements() if r[-1])
+
+
+def test_samples_are_the_smallest_hashes_and_bounded(spark, folder):
+    ids = spark.range(40_000).select((F.col("id") * 7).alias("id"))
+    for most in (10, 3000, 50_000):
+        found = smallest_hashes(ids, "id", most, 40_000)
+        assert found.collect() == ids.orderBy(F.xxhash64("id"), "id").limit(most).collect()
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("xxhash64" in plan.split("Sort")[1] and "<=" in plan) == (most < 10_000)
+    repeated = spark.range(40_000).select((F.col("id") % 3).alias("id"))
+    assert smallest_hashes(repeated, "id", 50, 40_000).count() == 50
+
+
 def test_simhash_query(spark, folder, rows):
     want = Counter((i, f"{fp:016x}", least) for (i, *_), (fp, least, _) in zip(rows, linked(rows), strict=True))
     assert Counter(map(tuple, queries.QUERIES["op2_simhash"](spark, folder).collect())) == want
