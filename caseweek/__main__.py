@@ -59,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
                     help="date used for cases without an open date (default: today)")
     ap.add_argument("--sep", default=",")
     ap.add_argument("--format", default="orc")
+    ap.add_argument("--once", action="store_true",
+                    help="load, update: leave out files that the ledger has, and enter the others in it")
     ap.add_argument("--register", action="store_true", help="also expose the tables in the catalog")
     ap.add_argument("--catalog-prefix", default=None,
                     help="keep the fact table in the catalog as <prefix>cases (partition pruning by the catalog)")
@@ -83,9 +85,10 @@ def main(argv: list[str] | None = None) -> int:
             print("caseweek process-once: done")
             return 0
         if args.job == "load":
-            res = load_batch(spark, args.file, wh, overwrite=args.overwrite, as_of=args.as_of, sep=args.sep)
+            res = load_batch(spark, args.file, wh, overwrite=args.overwrite, as_of=args.as_of, sep=args.sep,
+                             once=args.once)
         else:
-            res = update_batch(spark, args.file, wh, as_of=args.as_of, sep=args.sep)
+            res = update_batch(spark, args.file, wh, as_of=args.as_of, sep=args.sep, once=args.once)
         if args.register:
             register_tables(spark, wh, prefix=args.catalog_prefix or "")
     except Exception as exc:  # noqa: BLE001 - report and fail the job
@@ -93,7 +96,8 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     print(f"caseweek {args.job}: {res.rows} rows, {res.refused} refused, new dimension members {res.added}, "
           f"account changes {res.account_changes}")
-    report(spark, wh, res.batch)
+    if not args.once:                 # there, each file has a report label of its own
+        report(spark, wh, res.batch)
     return 0
 
 

@@ -29,7 +29,7 @@ from .sinks import write_automation, write_smartsense, write_staging
 from .schemas import NAME_DIM_SCHEMA
 from .sources import (extract_fields, read_dimension, read_extract, read_facts, read_partitions,
                       write_extract)
-from .specs import LINKS
+from .specs import LINKS, MISFIT_RULE
 from .streaming import ledger_path
 from .streaming import process_once as _process_once
 
@@ -196,8 +196,7 @@ def _read_all_dims(spark, wh) -> DataFrame:
 
 def dim_rewrite_roundtrip(spark, sf):
     """K1: dimension tables written for the old batch, updated for the new one
-    (surrogates: new members appended; accounts: rewritten from a
-    checkpoint), read back."""
+    (surrogates: new members added; accounts: changes put over the base), read back."""
     wh = Warehouse(work_path(spark, "dims"))
     maintain_dimensions(spark, wh, _x(spark, sf, "old"))
     maintain_dimensions(spark, wh, _x(spark, sf, "new"))
@@ -231,8 +230,8 @@ def fact_append_roundtrip(spark, sf):
 
 
 def fact_overwrite_partitions(spark, sf):
-    """K3/K6: old batch appended, then the new batch overwrites only its weeks -
-    through a catalog fact table (insertInto, catalog partition pruning)."""
+    """K3/K6: old batch appended, then the new batch overwrites only its weeks,
+    read through the catalog fact table."""
     return _two_loads(spark, sf, "overwrite", catalog=True)
 
 
@@ -341,52 +340,66 @@ def fact_after_bootstrap(spark, sf):
 
 
 def malformed_cases(spark, sf):
-    """A new batch whose pending cases have unreadable numbers, updated
-    twice: those rows stand in the refused table of both loads, the others
-    are stored once. Counts by kind and case."""
-    wh = Warehouse(work_path(spark, "wh"))
-    path = work_path(spark, "csv")
+    """A new batch updated twice in which pending cases have unreadable numbers, cases of severity
+    ``other`` lines that end after nine fields, and S4 cases lines of twenty. Those rows stand in the refused
+    table of both loads, with why, and misfit lines have a finding; the others are stored once. Counts by kind
+    and case."""
+    root = work_path(spark, "wh")
+    wh, path = Warehouse(root), f"{root}/csv"
     number = F.col("Case Number").cast("string")
     raw = testbed.raw_extract(spark, sf, "new").withColumn(
         "Case Number", F.when(F.col("Status") == "Pending", F.concat(F.lit("no-"), number)).otherwise(number))
-    write_extract(raw, path)
+    short, long = F.col("Severity") == "other", F.col("Severity").startswith("S4")
+    write_extract(raw.where(~short & ~long), f"{path}/fit")
+    for name, rows in (("short", raw.where(short).select(*raw.columns[:9])),
+                       ("long", raw.where(long).select("*", F.lit("more").alias("x"), F.lit("fields").alias("y")))):
+        rows.write.option("header", True).csv(f"{path}/{name}")
     for _ in range(2):
-        update_batch(spark, path, wh, as_of=AS_OF)
+        update_batch(spark, f"{path}/*", wh, as_of=AS_OF)
     refused = spark.read.format(wh.fmt).load(wh.refused).select(
-        F.lit("refused").alias("kind"), F.regexp_extract("line", ",no-([0-9]+),", 1).alias("case_number"))
+        F.concat(F.lit("refused: "), F.col("reason")).alias("kind"),
+        F.regexp_extract("line", "^(?:[^,]*,){3}(?:no-)?([0-9]+),", 1).alias("case_number"))
+    found = spark.read.format(wh.fmt).load(wh.findings).where(F.col("code") == MISFIT_RULE.code).select(
+        F.lit("finding").alias("kind"), F.col("case_num").cast("string").alias("case_number"))
     stored = fact_rows(spark, wh).select(F.lit("fact").alias("kind"), F.col("caseNum").cast("string").alias("case_number"))
-    return refused.unionByName(stored).groupBy("kind", "case_number").agg(F.count(F.lit(1)).alias("n"))
+    rows = refused.unionByName(found).unionByName(stored)
+    return rows.groupBy("kind", "case_number").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+def _side_table(spark, name: str, write, rows: DataFrame) -> DataFrame:
+    """Write a side table, drop it from the catalog (its files stay) and read the files back."""
+    table, path = _table_name(name), work_path(spark, name)
+    write(rows, table, path)
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE `{table}`")
+    return spark.read.schema(schema).orc(path).select(*rows.columns)
+
+
 def automation_bucketed(spark, sf):
     """K7: Automation side table, 3 buckets on CaseNum, read back."""
-    name = _table_name("automation")
-    write_automation(testbed.side_rows(spark, sf), name, work_path(spark, name))
-    return spark.table(name)
+    return _side_table(spark, "automation", write_automation, testbed.side_rows(spark, sf))
 
 
 def smartsense_bucketed(spark, sf):
     """K8: SmartSense side table, partitioned by Priority, 2 buckets, read back."""
-    name = _table_name("smartsense")
-    write_smartsense(testbed.smartsense_rows(spark, sf), name, work_path(spark, name))
-    return spark.table(name)
+    return _side_table(spark, "smartsense", write_smartsense, testbed.smartsense_rows(spark, sf))
 
 
 def process_once(spark, sf):
-    """Two extract drops (a file each) in an inbox, loaded by a file-stream
-    source that runs twice; every file is loaded exactly once, the later after
-    the earlier."""
+    """Two extract drops (folders of part files) in an inbox, loaded by a
+    file-stream source that runs twice; every file is loaded exactly once, in
+    one pass over both, the later drop after the earlier."""
     root = work_path(spark, "inbox")
     for batch in ("old", "new"):
-        write_extract(testbed.raw_extract(spark, sf, batch).coalesce(1), f"{root}/in/{batch}")
+        write_extract(testbed.raw_extract(spark, sf, batch), f"{root}/in/{('old', 'new').index(batch)}-{batch}")
     wh = Warehouse(f"{root}/wh")
     for _ in range(2):
         _process_once(spark, f"{root}/in/*/*.csv", wh, checkpoint=f"{root}/checkpoint",
-                      archive=f"{root}/archive", as_of=AS_OF)
+                      archive=f"{root}/archive", as_of=AS_OF, drops="folder")
     return read_facts(spark, wh.facts)
 
 
@@ -396,8 +409,8 @@ def process_ledger(spark, sf):
     root = work_path(spark, "inboxes")
     wh = Warehouse(f"{root}/wh")
     for batch in ("old", "new"):
-        write_extract(testbed.raw_extract(spark, sf, batch).coalesce(1), f"{root}/in-{batch}")
-        _process_once(spark, f"{root}/in-{batch}", wh, checkpoint=f"{root}/checkpoint-{batch}", as_of=AS_OF)
+        write_extract(testbed.raw_extract(spark, sf, batch), f"{root}/in-{batch}")
+        _process_once(spark, f"{root}/in-{batch}", wh, checkpoint=f"{root}/checkpoint-{batch}", as_of=AS_OF, drops="folder")
     ledger = spark.read.format(wh.fmt).load(ledger_path(wh))
     cases = spark.read.format(wh.fmt).load(wh.findings).groupBy("batch").agg(
         F.count_distinct("case_num").alias("cases"))

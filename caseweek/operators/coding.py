@@ -48,8 +48,8 @@ def rule_finding(rootcause: Column, severity: Column, status: Column,
     return F.coalesce(*hits)
 
 
-def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
-    """Extract rows -> coded rows.
+def code_cases(extract: DataFrame, as_of: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Extract rows -> coded rows, which keep the columns ``keep`` too.
 
     Output: the fact measures (severity ... ResolutionTime, without dimension
     ids), one natural-key column per surrogate dimension, the partition
@@ -86,12 +86,13 @@ def code_cases(extract: DataFrame, as_of: _dt.date) -> DataFrame:
         part["year"].alias("year"),
         part["week"].alias("week"),
         findings.alias("findings"),
+        *keep,
     )
 
 
-def explode_findings(coded: DataFrame) -> DataFrame:
-    """Findings rows ``(case_num, code, message)``; rows without findings vanish."""
-    return (coded.select(F.col("caseNum").alias("case_num"),
+def explode_findings(coded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Findings rows ``(case_num, code, message)`` and the columns ``keep``; rows without findings vanish."""
+    return (coded.select(F.col("caseNum").alias("case_num"), *keep,
                          F.explode("findings").alias("f"))
             .where(F.col("f").isNotNull())
-            .select("case_num", F.col("f.code").alias("code"), F.col("f.message").alias("message")))
+            .select("case_num", F.col("f.code").alias("code"), F.col("f.message").alias("message"), *keep))

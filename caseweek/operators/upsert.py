@@ -14,6 +14,27 @@ def touched_partitions(facts: DataFrame) -> DataFrame:
     return facts.select(*PARTITION_COLUMNS).distinct()
 
 
+def last_drops(coded: DataFrame, drop: str, mode: str) -> DataFrame:
+    """The rows that remain of several drops loaded one after another, as one batch.
+
+    ``upsert``: a case's rows of the last drop that has it in that week. ``overwrite``: a week's rows of the
+    last drop that has the week. ``append``: all rows. Keys that only one drop has need no comparison, so what
+    meets the rows is the list of the others; it is broadcast if its size allows.
+    """
+    if mode == "append":
+        return coded
+    keys = [*PARTITION_COLUMNS, "caseNum"] if mode == "upsert" else list(PARTITION_COLUMNS)
+    several = coded.groupBy(*keys).agg(F.min(drop).alias("_lo"), F.max(drop).alias("_hi")).where("_lo < _hi")
+    several = several.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_hi")
+    if fits_broadcast(several):
+        several = F.broadcast(several)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    rows = coded.join(several, same, "left")
+    return rows.where(F.col("_hi").isNull() | (F.col(drop) == F.col("_hi"))).select(*coded.columns)
+
+
 def merge_partitions(current: DataFrame, batch: DataFrame, scoped: bool = False,
                      broadcast_check: bool = True) -> DataFrame:
     """New contents of every partition the batch touches.

@@ -449,10 +449,12 @@ def oracle_queries() -> dict[str, str]:
             "JOIN customer ON o_custkey = c_custkey JOIN (SELECT c_mktsegment AS name, min(c_custkey) AS id "
             f"FROM customer GROUP BY 1) s ON s.name = c_mktsegment WHERE o_orderdate >= {d(NEW_FROM)}"),
         "malformed_cases": (
-            "SELECT CASE WHEN o_orderstatus = 'P' THEN 'refused' ELSE 'fact' END AS kind, "
-            "CAST(o_orderkey AS VARCHAR) AS case_number, "
-            "CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS BIGINT) AS n "
-            f"FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= {d(NEW_FROM)}"),
+            "WITH sent AS (SELECT CAST(o_orderkey AS VARCHAR) AS case_number, o_orderstatus = 'P' AS pending, "
+            "substr(o_orderpriority, 1, 1) IN ('4', '5') AS misfit FROM orders JOIN customer ON o_custkey = c_custkey "
+            f"WHERE o_orderdate >= {d(NEW_FROM)}) "
+            "SELECT CASE WHEN pending THEN 'refused: case number' WHEN misfit THEN 'refused: fields' ELSE 'fact' END AS kind, "
+            "case_number, CAST(CASE WHEN pending OR misfit THEN 2 ELSE 1 END AS BIGINT) AS n FROM sent "
+            "UNION ALL SELECT 'finding', case_number, CAST(2 AS BIGINT) FROM sent WHERE misfit AND NOT pending"),
         "process_ledger": _with(_XO, _XN) + " UNION ALL ".join(
             f"SELECT CAST(0 AS BIGINT) AS batch_id, (SELECT count(*) FROM x{p}) AS rows, 8 AS run_date_length, "
             f"(SELECT count(DISTINCT case_num) FROM ({rule_findings_sql(p)} UNION ALL {link_findings_sql(p)})) AS cases"

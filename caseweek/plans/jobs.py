@@ -4,9 +4,12 @@
 partitions -> write facts -> write findings``; every step is a lazy
 DataFrame plan and no row data is collected to the driver. Driver-side
 values are bounded metadata only: per-dimension counts of added members,
-the dense-id offset table (range partitions x dimensions), one row count
-before broadcasting dimensions, and the list of touched (year, week)
-partitions of an upsert (bounded by the calendar, capped).
+row and byte counts before broadcasts, the list of touched (year, week)
+partitions of an upsert (bounded by the calendar, capped), and the data
+folders of the tables' versions.
+
+Facts and dimensions are versioned tables (``versions``): a load writes new
+folders and puts them in place at the end, so it may run beside others.
 """
 
 from __future__ import annotations
@@ -16,20 +19,24 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import (account_merge, batch_accounts, batch_members, code_cases,
-                         explode_findings, from_long, lookup_ids, merge_partitions,
-                         merge_surrogates, to_facts, to_long, touched_partitions)
-from ..schemas import ACCOUNT_DIM_SCHEMA, NAME_DIM_SCHEMA, VERSION_DIM_SCHEMA
-from ..session import path_exists, pin
-from ..sinks import (append_table, insert_facts, replace_table, write_batch, write_facts, write_findings,
-                     write_table)
-from ..sources import (read_dimension, read_extract, read_facts, read_staging, scope_partitions,
-                       split_refused)
+from ..functions import run_stamp
+from ..operators import (batch_accounts, batch_members, changed_accounts, code_cases, dense_ids, explode_findings,
+                         last_drops, lookup_ids, max_ids, merge_partitions, new_members, to_facts, to_long,
+                         touched_partitions)
+from ..schemas import (ACCOUNT_DIM_SCHEMA, FACT_COLUMNS, FACT_SCHEMA, FINDINGS_SCHEMA, NAME_DIM_SCHEMA,
+                       PARTITION_COLUMNS, VERSION_DIM_SCHEMA)
+from ..session import fits_broadcast, path_exists, row_bytes
+from ..sinks import replace_table, write_batch, write_facts, write_findings
+from ..sources import (DROP, fact_versions, read_dimension, read_extract, read_facts, read_partitions, read_staging,
+                       refused_findings, refused_rows, split_refused)
+from ..sources import read_accounts as _read_accounts
+from ..sources.tables import LOAD
 from ..specs import SURROGATE_DIMENSIONS, DimensionSpec
+from ..versions import ATTEMPTS, Conflict, Folder, Version, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -37,12 +44,10 @@ class Warehouse:
     """Folder layout of one warehouse (a shared file-system root).
 
     ``table`` names the fact table and its folder. With ``catalog_prefix``
-    set, it is also a catalog table
-    (``<prefix><table>``, created on first use): facts are read with
-    ``spark.table`` and written with ``insertInto``, so partition filters are
-    answered by the catalog and only the touched week folders are listed -
-    what a fact table with years of weekly partitions needs. Without it,
-    facts are read and written by path.
+    set, the tables are also kept in the catalog (``<prefix><table>`` and so
+    on, created on first use): every load registers the week folders that it
+    put in place and removes those it replaced, so that the catalog answers
+    partition filters on ``spark.table``.
     """
     root: str
     fmt: str = "orc"
@@ -65,6 +70,10 @@ class Warehouse:
     def findings(self) -> str:
         return f"{self.root}/findings"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/processed"
+
     def dimension(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -73,11 +82,17 @@ def _dim_schema(spec: DimensionSpec):
     return VERSION_DIM_SCHEMA if spec.key == "version" else NAME_DIM_SCHEMA
 
 
-def read_surrogates(spark: SparkSession, wh: Warehouse) -> DataFrame:
+def dimension_versions(spark: SparkSession, wh: Warehouse) -> dict[str, Version]:
+    """The newest version of each surrogate dimension."""
+    return {s.name: VersionedTable(spark, wh.dimension(s.name)).current() for s in SURROGATE_DIMENSIONS}
+
+
+def read_surrogates(spark: SparkSession, wh: Warehouse, versions: dict[str, Version] | None = None) -> DataFrame:
     """All surrogate dimensions in long form ``(dimension, member, id)``."""
-    out = None
+    versions, out = versions or dimension_versions(spark, wh), None
     for spec in SURROGATE_DIMENSIONS:
-        d = to_long(read_dimension(spark, wh.dimension(spec.name), _dim_schema(spec), wh.fmt), spec)
+        stored = read_dimension(spark, wh.dimension(spec.name), _dim_schema(spec), wh.fmt, versions[spec.name])
+        d = to_long(stored, spec)
         out = d if out is None else out.unionByName(d)
     return out
 
@@ -87,70 +102,175 @@ def fact_rows(spark: SparkSession, wh: Warehouse) -> DataFrame:
     if wh.fact_table is None:
         return read_facts(spark, wh.facts, wh.fmt)
     register_tables(spark, wh, prefix=wh.catalog_prefix)
-    return spark.table(wh.fact_table)
-
-
-def store_facts(spark: SparkSession, wh: Warehouse, facts: DataFrame, mode: str) -> None:
-    """Append, or overwrite only the touched week partitions."""
-    if wh.fact_table is None:
-        write_facts(facts, wh.facts, mode, wh.fmt)
-        return
-    register_tables(spark, wh, prefix=wh.catalog_prefix)
-    insert_facts(facts, wh.fact_table, overwrite=(mode == "overwrite"))
+    return spark.table(wh.fact_table).select(*FACT_COLUMNS, *PARTITION_COLUMNS)
 
 
 def read_accounts(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return read_dimension(spark, wh.dimension("account"), ACCOUNT_DIM_SCHEMA, wh.fmt)
+    return _read_accounts(spark, wh.dimension("account"), wh.fmt)
 
 
 @dataclass
 class DimensionUpdate:
     surrogates: DataFrame        # stored surrogate dimensions after the update, long form
-    accounts: DataFrame          # merged account dimension, lineage cut
     added: dict[str, int]        # new members per surrogate dimension
     account_changes: int         # new or renamed accounts
     batch: str | None = None     # label of the load in the findings and the refused rows
     rows: int = 0                # rows of the extract, refused ones too
-    refused: int = 0             # rows without a readable case number
+    refused: int = 0             # rows without a readable case number, or that don't fit the layout
+
+
+#: Folder beside the dimensions' own that holds the members added by each load, all dimensions in one write.
+MEMBERS = "members"
+
+
+def grow_surrogates(spark: SparkSession, wh: Warehouse, members: DataFrame) -> dict[str, int]:
+    """Add the new ones among ``members(dimension, member[, _first])`` to the dimensions, with dense ids after
+    the largest; how many each dimension got.
+
+    The ids go by the version that was read. A dimension that another load has added to since then isn't
+    given these ids: its members are compared and numbered again on its new state, so that two loads at
+    once never give an id twice, nor a member two ids.
+    """
+    added: dict[str, int] = {}
+    waiting = {s.name for s in SURROGATE_DIMENSIONS}
+    for _ in range(ATTEMPTS):
+        versions = dimension_versions(spark, wh)
+        current, sizes = read_surrogates(spark, wh, versions), {}
+        new = new_members(members.where(F.col("dimension").isin(sorted(waiting))), current).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            numbered = dense_ids(new, max_ids(current), sizes)
+            if not sizes:
+                return added
+            folder = f"{LOAD}={uuid.uuid4().hex}"
+            # a dimension reads its own key column of the two
+            (numbered.select("dimension", F.col("member").alias("version"), F.col("member").alias("name"), "id")
+             .hint("rebalance", "dimension").write.format(wh.fmt).partitionBy("dimension").save(f"{wh.root}/{MEMBERS}/{folder}"))
+        finally:
+            new.unpersist()
+        for name in sorted(sizes):
+            own = Folder(f"../{MEMBERS}/{folder}/dimension={name}", ("members",))
+            try:
+                VersionedTable(spark, wh.dimension(name)).publish(versions[name], [*versions[name].folders, own])
+            except Conflict:
+                continue
+            added[name] = sizes[name]
+            waiting.discard(name)
+        if not waiting & set(sizes):
+            return added
+    raise Conflict(f"dimensions {sorted(waiting)} kept changing")
+
+
+#: Changed accounts, as a share of the base, and change files after which the account table is written anew.
+COMPACT_SHARE = 0.25
+COMPACT_FILES = 64
+
+
+def grow_accounts(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> int:
+    """Upsert a batch's account names ``(id, name)``; how many are new or renamed.
+
+    Only those accounts are written, as a change that readers put over the base. Once the changes are many,
+    base and changes are written anew as one base.
+    """
+    path = wh.dimension("account")
+    table = VersionedTable(spark, path)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        small = fits_broadcast(batch)
+        for _ in range(ATTEMPTS):
+            now = table.current()
+            current = _read_accounts(spark, path, wh.fmt, now)
+            folder, size = table.new_folder(now), Observation()
+            changed = changed_accounts(current, batch, small).select("id", "name")
+            changed = changed.coalesce(1) if small else changed            # one file of at most what fits a broadcast
+            (changed.observe(size, F.count(F.lit(1)).alias("n"), F.sum(row_bytes(changed)).alias("bytes"))
+             .write.format(wh.fmt).save(f"{path}/{folder}"))
+            n, bytes_ = size.get["n"], size.get["bytes"] or 0    # counted while it was written
+            if not n:
+                table.drop_folder(folder)
+                return 0
+            kind = "change" if now.folders else "base"
+            try:
+                new = table.publish(now, [*now.folders, Folder(folder, (kind, n, bytes_))])
+            except Conflict:
+                table.drop_folder(folder)
+                continue
+            if _many_changes(new):
+                compact_accounts(spark, wh)
+            return n
+        raise Conflict(f"{path} kept changing")
+    finally:
+        batch.unpersist()
+
+
+def _many_changes(version: Version) -> bool:
+    changes = [f.part[1] for f in version.folders if f.part[0] == "change"]
+    base = [f.part[1] for f in version.folders if f.part[0] == "base" and len(f.part) > 1]
+    return len(changes) > COMPACT_FILES or bool(base) and sum(changes) > max(COMPACT_SHARE * sum(base), 1000)
+
+
+def compact_accounts(spark: SparkSession, wh: Warehouse) -> None:
+    """Write the account table anew as one base. If another load changes it meanwhile, its changes stay."""
+    path = wh.dimension("account")
+    table = VersionedTable(spark, path)
+    now = table.current()
+    folder = table.new_folder(now)
+    _read_accounts(spark, path, wh.fmt, now).hint("rebalance").write.format(wh.fmt).save(f"{path}/{folder}")
+    rows = sum(f.part[1] for f in now.folders if len(f.part) > 1)
+    for _ in range(ATTEMPTS):
+        latest = table.current()
+        later = [f for f in latest.folders if f not in now.folders]
+        if not all(f in latest.folders for f in now.folders):
+            break                                     # somebody else has compacted it
+        try:
+            table.publish(latest, [Folder(folder, ("base", rows)), *later])
+            return
+        except Conflict:
+            continue
+    table.drop_folder(folder)
 
 
 def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame) -> DimensionUpdate:
     """Add the batch's new members (dense ids after the current max) and
-    upsert account names; write only the dimension tables that changed.
-
-    Surrogate dimensions only grow and existing ids never change, so their
-    new members are appended; the account dimension (names change in place)
-    is rewritten from a checkpoint into a folder of its own, which then takes
-    the table's place. Dimensions are written before any fact
-    row, as a reload relies on it.
+    upsert account names; write only what is new or changed. An extract of
+    several drops gives what loading them one after another gives. Dimensions
+    are written before any fact row, as a reload relies on it.
     """
-    added_sizes: dict[str, int] = {}
-    _, added = merge_surrogates(read_surrogates(spark, wh), batch_members(extract), added_sizes)
-    for spec in SURROGATE_DIMENSIONS:
-        if added_sizes.get(spec.name, 0) > 0:
-            append_table(from_long(added, spec), wh.dimension(spec.name), wh.fmt)
-
-    # the account table read here gets rewritten: merge once into a checkpoint
-    merged = pin(account_merge(read_accounts(spark, wh), batch_accounts(extract)))
-    changed = merged.where(F.col("change").isNotNull()).count()
-    accounts = merged.select("id", "name")
-    if changed > 0:
-        replace_table(accounts, wh.dimension("account"), wh.fmt)
+    drop = DROP if DROP in extract.columns else None
+    added = grow_surrogates(spark, wh, batch_members(extract, drop=drop))
+    changes = grow_accounts(spark, wh, batch_accounts(extract, drop))
     # tiny and read by every lookup: keep one copy in memory (re-read from the
     # tables if an executor holding it is lost)
     surrogates = read_surrogates(spark, wh).persist(StorageLevel.MEMORY_AND_DISK)
-    return DimensionUpdate(surrogates, accounts, added_sizes, changed)
+    return DimensionUpdate(surrogates, added, changes)
 
 
 def compact_dimensions(spark: SparkSession, wh: Warehouse) -> None:
-    """Rewrite each surrogate dimension into few files: weekly appends of a
+    """Rewrite each dimension into few files: weekly appends of a
     few new members leave one small file per load. A REBALANCE lets AQE size
-    the output (one file for a small table). Contents and ids stay the same;
-    each table is pinned first because it is read and replaced.
+    the output (one file for a small table). Contents and ids stay the same.
     """
     for spec in SURROGATE_DIMENSIONS:
-        dim = read_dimension(spark, wh.dimension(spec.name), _dim_schema(spec), wh.fmt)
-        write_table(pin(dim.hint("rebalance")), wh.dimension(spec.name), wh.fmt)
+        path = wh.dimension(spec.name)
+        table = VersionedTable(spark, path)
+        now = table.current()
+        if len(now.folders) < 2:
+            continue
+        folder = table.new_folder(now)
+        dim = read_dimension(spark, path, _dim_schema(spec), wh.fmt, now)
+        dim.hint("rebalance").write.format(wh.fmt).save(f"{path}/{folder}")
+        try:
+            table.publish(now, [Folder(folder, ("base",))])
+        except Conflict:
+            table.drop_folder(folder)                 # a load has added members; compact another time
+    compact_accounts(spark, wh)
+
+
+def remove_unused(spark: SparkSession, wh: Warehouse, keep_versions: int = 2, older_than_hours: float = 24.0) -> int:
+    """Delete the folders of facts and dimensions that none of the newest versions lists. How many went."""
+    gone = fact_versions(spark, wh.facts).clean(keep_versions, older_than_hours)
+    for name in ("account", *(s.name for s in SURROGATE_DIMENSIONS)):
+        gone += VersionedTable(spark, wh.dimension(name)).clean(keep_versions, older_than_hours)
+    return gone
 
 
 # ---- Fixed values: staging text layouts (separator, header line) -------------
@@ -170,12 +290,19 @@ def bootstrap_dimensions(spark: SparkSession, wh: Warehouse, *, account_staging:
     number = F.col("ID").try_cast("int").alias("id")
     if account_staging:
         stg = read_staging(spark, account_staging, ACCOUNT_STAGING_SEP).select(number, "name")
-        write_table(stg.where("id IS NOT NULL").groupBy("id").agg(F.max("name").alias("name")),
-                    wh.dimension("account"), wh.fmt)
+        replace_table(stg.where("id IS NOT NULL").groupBy("id").agg(F.max("name").alias("name")),
+                      wh.dimension("account"), wh.fmt)
     if product_staging:
         stg = read_staging(spark, product_staging, PRODUCT_STAGING_SEP).select("name", number)
-        write_table(stg.where("id IS NOT NULL").groupBy("name").agg(F.min("id").alias("id")),
-                    wh.dimension("product"), wh.fmt)
+        replace_table(stg.where("id IS NOT NULL").groupBy("name").agg(F.min("id").alias("id")),
+                      wh.dimension("product"), wh.fmt)
+
+
+def _label(label: str, extract: DataFrame) -> Column:
+    """Label of a row's load: the load's own, with a digest of the file where each file is a drop."""
+    if DROP not in extract.columns:
+        return F.lit(label)
+    return F.concat(F.lit(f"{label}-"), F.substring(F.sha1(F.col(f"{DROP}.file")), 1, 12))
 
 
 def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode: str = "append",
@@ -184,36 +311,42 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     touched week partitions are replaced) or upsert (case number within its
     week partition is the key).
 
-    Rows without a readable case number have no key: they are kept apart in
-    the ``refused`` table, as raw lines under the load's label, and reach
-    neither facts, dimensions nor findings. The label is unique unless given.
+    Rows without a readable case number have no key, and lines with too few or
+    too many fields can't be trusted: they are kept apart in the ``refused``
+    table, as raw lines under the load's label, and reach neither facts nor
+    dimensions. The label is unique unless given.
+
+    An extract with the column ``_drop`` holds several drops (files). It is
+    loaded in one pass, with the rows that loading them one after another, in
+    the column's order, would leave; findings, refused rows and ledger rows
+    are kept for each drop under a label of its own.
     """
+    if mode not in ("append", "overwrite", "upsert"):
+        raise ValueError(f"unknown load mode {mode!r}")
     as_of = as_of or _dt.date.today()
     label = batch_label or f"{_dt.datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
+    own = (DROP,) if DROP in extract.columns else ()
     scanned = extract.persist(StorageLevel.MEMORY_AND_DISK)
-    extract, refused = split_refused(scanned)
+    cases, refused = split_refused(scanned)
     coded = dims = None
     try:
-        dims = maintain_dimensions(spark, wh, extract)
+        dims = maintain_dimensions(spark, wh, cases)
         # coded rows feed both the fact and the findings write: code once
-        coded = code_cases(extract, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-        facts, findings = to_facts(lookup_ids(coded, dims.surrogates)), explode_findings(coded)
-        if mode == "upsert":
-            # the partition keys come straight from the coded rows (no lookups needed)
-            current = scope_partitions(fact_rows(spark, wh), touched_partitions(coded))
-            merged = merge_partitions(current, facts, scoped=True)
-            store_facts(spark, wh, merged, "overwrite")
-        elif mode in ("append", "overwrite"):
-            store_facts(spark, wh, facts, mode)
-        else:
-            raise ValueError(f"unknown load mode {mode!r}")
-        write_findings(findings.withColumn("batch", F.lit(label)), wh.findings, wh.fmt)
-        counts = scanned.agg(F.count(F.lit(1)).alias("n"), F.count("caseNum").alias("cases")).first()
-        if counts["n"] > counts["cases"]:
-            write_batch(refused.withColumn("batch", F.lit(label)), wh.refused, wh.fmt)
+        coded = code_cases(cases, as_of, own).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = last_drops(coded, DROP, mode) if own else coded
+        facts = to_facts(lookup_ids(batch, dims.surrogates))
+        _store_facts(spark, wh, facts, touched_partitions(coded), mode)
+        n = scanned.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(refused_rows(scanned), 1)).alias("refused")).first()
+        counts = n["rows"], n["refused"]
+        findings = explode_findings(coded, own)
+        if counts[1]:
+            findings = findings.unionByName(refused_findings(refused))
+            write_batch(refused.select("line", "reason", _label(label, extract).alias("batch")), wh.refused, wh.fmt)
+        write_findings(findings.select("case_num", "code", "message", _label(label, extract).alias("batch")),
+                       wh.findings, wh.fmt)
         if wh.catalog_prefix is not None:
             register_tables(spark, wh, prefix=wh.catalog_prefix)
-        dims.batch, dims.rows, dims.refused = label, counts["n"], counts["n"] - counts["cases"]
+        dims.batch, dims.rows, dims.refused = label, *counts
         return dims
     finally:
         if coded is not None:
@@ -223,62 +356,137 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
         scanned.unpersist()
 
 
+def _store_facts(spark: SparkSession, wh: Warehouse, facts: DataFrame, touched: DataFrame, mode: str) -> None:
+    """Append the rows, overwrite their weeks or put them into their weeks by case number. An upsert whose weeks
+    another load changes meanwhile is made again from their new rows."""
+    if mode != "upsert":
+        write_facts(facts, wh.facts, mode, wh.fmt)
+        return
+    for _ in range(ATTEMPTS):
+        version = fact_versions(spark, wh.facts).current()
+        # the partition keys come straight from the coded rows (no lookups needed)
+        current = read_partitions(spark, wh.facts, touched, wh.fmt, version=version)
+        try:
+            write_facts(merge_partitions(current, facts, scoped=True), wh.facts, "overwrite", wh.fmt, version)
+            return
+        except Conflict:
+            continue
+    raise Conflict(f"{wh.facts} kept changing")
+
+
+def write_ledger(spark: SparkSession, wh: Warehouse, extract: DataFrame, label: str, query_id: str,
+                 batch_id: int) -> None:
+    """A ledger row for each drop of an extract that has been loaded."""
+    ledger = extract.groupBy(DROP).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"),
+        F.col(f"{DROP}.file").alias("file"), F.col(f"{DROP}.time").alias("time"),
+        run_stamp(F.current_date()).alias("run_date"), "rows", _label(label, extract).alias("batch"))
+    write_batch(ledger, wh.ledger, wh.fmt)
+
+
+def _load_file(spark: SparkSession, path: str, wh: Warehouse, mode: str, as_of: _dt.date | None, sep: str,
+               once: bool) -> DimensionUpdate:
+    if not once:
+        return load_frame(spark, read_extract(spark, path, sep, raw_line=True), wh, mode=mode, as_of=as_of)
+    extract = read_extract(spark, path, sep, drops=True)
+    if path_exists(spark, wh.ledger):
+        known = spark.read.format(wh.fmt).load(wh.ledger).select(F.col("file").alias("_file"), F.col("time").alias("_time"))
+        extract = extract.join(known, (F.col(f"{DROP}.file") == F.col("_file")) & (F.col(f"{DROP}.time") == F.col("_time")),
+                               "left_anti")
+    extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loaded = load_frame(spark, extract, wh, mode=mode, as_of=as_of)
+        if loaded.rows:
+            write_ledger(spark, wh, extract, loaded.batch, "load", 0)
+        return loaded
+    finally:
+        extract.unpersist()
+
+
 def load_batch(spark: SparkSession, path: str, wh: Warehouse, *, overwrite: bool = False,
-               as_of: _dt.date | None = None, sep: str = ",") -> DimensionUpdate:
-    """Weekly load of an extract file (append, or overwrite touched weeks)."""
-    return load_frame(spark, read_extract(spark, path, sep, raw_line=True), wh,
-                      mode="overwrite" if overwrite else "append", as_of=as_of)
+               as_of: _dt.date | None = None, sep: str = ",", once: bool = False) -> DimensionUpdate:
+    """Weekly load of an extract file (append, or overwrite touched weeks). With ``once``, files whose name and
+    time the ledger has are left out, and the others are entered in it."""
+    return _load_file(spark, path, wh, "overwrite" if overwrite else "append", as_of, sep, once)
 
 
-def update_batch(spark: SparkSession, path: str, wh: Warehouse, *,
-                 as_of: _dt.date | None = None, sep: str = ",") -> DimensionUpdate:
-    """Weekly update: upsert by case number inside each touched week."""
-    return load_frame(spark, read_extract(spark, path, sep, raw_line=True), wh, mode="upsert", as_of=as_of)
+def update_batch(spark: SparkSession, path: str, wh: Warehouse, *, as_of: _dt.date | None = None,
+                 sep: str = ",", once: bool = False) -> DimensionUpdate:
+    """Weekly update: upsert by case number inside each touched week. ``once`` as for ``load_batch``."""
+    return _load_file(spark, path, wh, "upsert", as_of, sep, once)
 
 
 def _ddl_columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _recover(spark: SparkSession, table: str, location: str) -> None:
-    """Register partition folders already on disk (none yet is fine)."""
-    if path_exists(spark, location):
-        spark.sql(f"ALTER TABLE `{table}` RECOVER PARTITIONS")
-        spark.catalog.refreshTable(table)
+#: Partitions registered or removed by one statement.
+DDL_PARTITIONS = 500
+
+
+def _sync(spark: SparkSession, name: str, table: VersionedTable, spec) -> None:
+    """Make a catalog table's partitions those of the newest version: ``spec(folder)`` gives a folder's
+    partition values."""
+    want = {spec(f): table.location(f) for f in table.current().folders}
+    have = {tuple(p.split("=", 1)[1] for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS `{name}`").collect()}
+    columns = [LOAD, *PARTITION_COLUMNS]
+
+    def clause(values: tuple[str, ...]) -> str:
+        return "PARTITION (" + ", ".join(f"{c}='{v}'" for c, v in zip(columns, values)) + ")"
+
+    new, gone = sorted(set(want) - have), sorted(have - set(want))
+    for i in range(0, len(new), DDL_PARTITIONS):
+        added = " ".join(f"{clause(v)} LOCATION '{want[v]}'" for v in new[i:i + DDL_PARTITIONS])
+        spark.sql(f"ALTER TABLE `{name}` ADD IF NOT EXISTS {added}")
+    for i in range(0, len(gone), DDL_PARTITIONS):
+        spark.sql(f"ALTER TABLE `{name}` DROP IF EXISTS " + ", ".join(map(clause, gone[i:i + DDL_PARTITIONS])))
+    spark.catalog.refreshTable(name)
+
+
+def _load_of(folder: Folder) -> str:
+    """The load that a folder was written by; a text of its own for folders that have none."""
+    return next((p.split("=", 1)[1] for p in folder.path.split("/") if p.startswith(f"{LOAD}=")), "plain")
 
 
 def register_tables(spark: SparkSession, wh: Warehouse, prefix: str = "") -> dict[str, str]:
-    """Expose the warehouse folders as catalog tables (``USING <fmt>``):
-    the partitioned fact table, the five dimensions and the findings.
-
-    Tables are external (``LOCATION`` = the shared folder), so dropping one
-    keeps its files. Every call registers the partition folders that writes
-    by path have added since the last one and drops what the session
-    remembers of the files; facts written through ``insertInto`` are known
-    already, and their folders are recovered only when the table is made.
+    """Expose the warehouse as catalog tables (``USING <fmt>``): the
+    partitioned fact table, the five dimensions, the findings and the refused
+    lines.
+
+    Tables are external, so dropping one keeps its files. Facts and dimensions
+    have the load that wrote a row as one more partition column; every call
+    makes their partitions those of the newest version. The accounts are a
+    view that takes each one's last name from ``<prefix>account_changes``.
+    Findings and refused lines have a partition for each load.
     Returns ``{logical name: table name}``.
     """
-    from ..schemas import FACT_SCHEMA, FINDINGS_SCHEMA
     names = {}
 
-    def create(logical: str, schema, location: str, partitioned: str = "", by_path: bool = True) -> None:
-        name = f"{prefix}{logical}"
-        names[logical] = name
-        known = spark.catalog.tableExists(name)
-        if not known:
+    def create(logical: str, schema, location: str, partitioned: str) -> str:
+        name = names[logical] = f"{prefix}{logical}"
+        if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({_ddl_columns(schema)}) USING {wh.fmt} "
-                      f"{partitioned} LOCATION '{location}'")
-        if partitioned and (by_path or not known):
-            _recover(spark, name, location)
-        elif known:
-            spark.catalog.refreshTable(name)
+                      f"PARTITIONED BY ({partitioned}) LOCATION '{location}'")
+        return name
 
-    create(wh.table, FACT_SCHEMA, wh.facts, "PARTITIONED BY (year, week)", by_path=wh.fact_table is None)
+    load = StructField(LOAD, StringType(), True)
+    facts = create(wh.table, StructType([*FACT_SCHEMA.fields, load]), wh.facts, f"{LOAD}, year, week")
+    _sync(spark, facts, fact_versions(spark, wh.facts), lambda f: (_load_of(f), *f.part))
     for spec in SURROGATE_DIMENSIONS:
-        create(spec.name, _dim_schema(spec), wh.dimension(spec.name))
-    create("account", ACCOUNT_DIM_SCHEMA, wh.dimension("account"))
-    findings_schema = StructType([*FINDINGS_SCHEMA.fields, StructField("batch", StringType(), True)])
-    create("findings", findings_schema, wh.findings, "PARTITIONED BY (batch)")
-    refused_schema = StructType([StructField("line", StringType(), True), StructField("batch", StringType(), True)])
-    create("refused", refused_schema, wh.refused, "PARTITIONED BY (batch)")
+        path = wh.dimension(spec.name)
+        name = create(spec.name, StructType([*_dim_schema(spec).fields, load]), path, LOAD)
+        _sync(spark, name, VersionedTable(spark, path), lambda f: (_load_of(f),))
+    accounts = create("account_changes", StructType([*ACCOUNT_DIM_SCHEMA.fields, load]), wh.dimension("account"), LOAD)
+    _sync(spark, accounts, VersionedTable(spark, wh.dimension("account")), lambda f: (_load_of(f),))
+    names["account"] = f"{prefix}account"
+    spark.sql(f"CREATE OR REPLACE VIEW `{names['account']}` AS SELECT id, max(struct({LOAD}, name)).name AS name "
+              f"FROM `{accounts}` GROUP BY id")
+    batch = StructField("batch", StringType(), True)
+    texts = [StructField(c, StringType(), True) for c in ("line", "reason")]
+    for logical, schema, location in (("findings", StructType([*FINDINGS_SCHEMA.fields, batch]), wh.findings),
+                                      ("refused", StructType([*texts, batch]), wh.refused)):
+        name = create(logical, schema, location, "batch")
+        if path_exists(spark, location):
+            spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+            spark.catalog.refreshTable(name)
     return names

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Dimensions above this many rows are joined without a broadcast hint; the
-# planner (sort-merge join, AQE skew handling) takes over beyond the bound.
+# Sides above this many rows or bytes are joined without a broadcast hint; the
+# planner (sort-merge join, AQE skew handling) takes over beyond the bounds.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -85,11 +86,26 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Count ``df`` (one small job) and say whether it is within the bound."""
-    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes that a row takes in memory, about: the lengths of its texts, eight for any other value and for
+    each row's own upkeep."""
+    fixed = F.lit(8 * (len(df.columns) + 1)).cast("long")
+    texts = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)).cast("long")
+             for name, kind in df.dtypes if kind in ("string", "binary")]
+    return sum(texts, fixed)
 
 
+def within_bounds(rows: int, size: int, max_rows: int = BROADCAST_MAX_ROWS,
+                  max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether a side of so many rows and bytes may be broadcast."""
+    return rows <= max_rows and size <= max_bytes
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Count the rows and bytes of ``df`` (one aggregate) and say whether both are within bounds."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return within_bounds(size["n"], size["bytes"], max_rows, max_bytes)
+
 
 def spread(scan: DataFrame) -> DataFrame:
     """Round-robin a plain file scan that yields fewer partitions than the

@@ -2,86 +2,64 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import (AUTOMATION_SCHEMA, FACT_COLUMNS, PARTITION_COLUMNS,
                        SMARTSENSE_SCHEMA)
+from ..session import fits_broadcast
+from ..sources.tables import WEEK_FOLDERS, fact_versions
+from ..versions import ATTEMPTS, Conflict, Folder, Version, VersionedTable
 
 
-def write_facts(facts: DataFrame, path: str, mode: str = "append", fmt: str = "orc") -> None:
-    """Append, or overwrite only the ``(year, week)`` partitions present in ``facts``.
-
-    Columns are selected in table order. A REBALANCE on the partition columns
-    groups each week into few files while AQE splits an oversized week over
-    several tasks instead of one.
-    """
-    out = facts.select(*FACT_COLUMNS, *PARTITION_COLUMNS).hint("rebalance", *PARTITION_COLUMNS)
-    writer = out.write.format(fmt).partitionBy(*PARTITION_COLUMNS)
-    if mode == "overwrite":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    elif mode == "append":
-        writer = writer.mode("append")
-    else:
-        raise ValueError(f"unknown fact write mode {mode!r}")
-    writer.save(path)
-
+def write_facts(facts: DataFrame, path: str, mode: str = "append", fmt: str = "orc",
+                based_on: Version | None = None) -> Version:
+    """Append, or overwrite only the ``(year, week)`` partitions present in ``facts``, all weeks at once.
 
-def insert_facts(facts: DataFrame, table: str, overwrite: bool = False) -> None:
-    """Append to, or overwrite only the touched partitions of, a catalog fact
-    table; the catalog learns new partitions as they are written.
+    The weeks are written into a folder of their own beside the old ones; publishing the table's next version
+    then puts them in place, so readers see all of them or none, and a failure before leaves the old rows.
+    A REBALANCE on the partition columns groups each week into few files while AQE splits an oversized week
+    over several tasks instead of one.
 
-    ``insertInto`` binds columns by position (table order is selected here)
-    and reads the overwrite mode from the session, so dynamic partition
-    overwrite is switched on for this one write and restored afterwards.
+    Where another writer publishes first, this one follows it. ``based_on`` is the version that ``facts`` was
+    made from (an upsert); if one of its weeks has changed since, nothing is put in place (``Conflict``).
     """
-    spark = facts.sparkSession
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown fact write mode {mode!r}")
+    table = fact_versions(facts.sparkSession, path)
+    now = table.current()
+    folder = table.new_folder(now)
     out = facts.select(*FACT_COLUMNS, *PARTITION_COLUMNS).hint("rebalance", *PARTITION_COLUMNS)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        out.write.insertInto(table, overwrite=overwrite)
-    finally:
-        spark.conf.set(key, before)
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
-    """Replace a whole (unpartitioned) table folder, e.g. a dimension.
-
-    ``df`` must not read ``path`` itself: pin it first (see ``session.pin``).
-    """
-    df.write.mode("overwrite").format(fmt).save(path)
-
-
-def replace_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
-    """Replace a whole table folder by way of a folder beside it.
-
-    The new rows are written first; only when they are complete does their
-    folder take the old one's place, so a failed write leaves the table as it
-    was. On a file system with atomic renames it is missing for the moment
-    between two renames at most.
+    out.write.format(fmt).partitionBy(*PARTITION_COLUMNS).save(f"{path}/{folder}")
+    new = table.folders_below(folder, WEEK_FOLDERS)
+    weeks = {f.part for f in new}
+    for _ in range(ATTEMPTS):
+        if based_on is not None and now.among(weeks) != based_on.among(weeks):
+            table.drop_folder(folder)
+            raise Conflict(f"weeks of {path} have changed since version {based_on.number}")
+        kept = [f for f in now.folders if mode == "append" or f.part not in weeks]
+        try:
+            return table.publish(now, [*kept, *new])
+        except Conflict:
+            now = table.current()
+    raise Conflict(f"{path} kept changing")
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "orc") -> Version:
+    """Replace the contents of a whole (unpartitioned) table, e.g. a dimension; ``df`` may read the table itself.
+
+    The new rows are written beside the old ones, and the next version lists only them.
     """
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
-    df.write.format(fmt).save(staged)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, old = hadoop.Path(staged), hadoop.Path(path)
-    files = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    before = hadoop.Path(f"{path.rstrip('/')}.before-{uuid.uuid4().hex[:12]}")
-    if files.exists(old) and not files.rename(old, before):
-        raise OSError(f"could not move {path} aside")
-    if not files.rename(new, old):
-        files.rename(before, old)
-        raise OSError(f"could not move {staged} to {path}")
-    files.delete(before, True)
-
-
-def append_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
-    """Append rows to an (unpartitioned) table folder, e.g. new dimension members."""
-    df.write.mode("append").format(fmt).save(path)
+    table = VersionedTable(df.sparkSession, path)
+    for _ in range(ATTEMPTS):
+        now = table.current()
+        folder = table.new_folder(now)
+        df.write.format(fmt).save(f"{path}/{folder}")
+        try:
+            return table.publish(now, [Folder(folder, ("base",))])
+        except Conflict:
+            table.drop_folder(folder)
+    raise Conflict(f"{path} kept changing")
 
 
 def write_staging(df: DataFrame, path: str, sep: str) -> None:
@@ -108,22 +86,55 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_automation(df: DataFrame, table: str, path: str, fmt: str = "orc") -> None:
-    """Automation side table: 3 buckets on CaseNum (catalog table at ``path``),
-    each written by one task."""
-    (_conform(df, AUTOMATION_SCHEMA).repartition(3, "CaseNum").write.mode("overwrite").format(fmt)
-     .bucketBy(3, "CaseNum").sortBy("CaseNum").option("path", path).saveAsTable(table))
+#: Rows of a bucket that one task sorts and writes, about.
+ROWS_PER_FILE = 1_000_000
 
 
-def write_smartsense(df: DataFrame, table: str, path: str, fmt: str = "orc") -> None:
-    """SmartSense side table: partitioned by Priority, 2 buckets on CaseNum;
-    the rows of a priority's bucket are written by one task."""
-    bucket = F.pmod(F.hash("CaseNum"), F.lit(2))
-    (_conform(df, SMARTSENSE_SCHEMA).repartition("Priority", bucket).write.mode("overwrite").format(fmt)
-     .partitionBy("Priority").bucketBy(2, "CaseNum").sortBy("CaseNum")
-     .option("path", path).saveAsTable(table))
+def deal_buckets(df: DataFrame, buckets: int, key: str, partition: list[str], rows_per_file: int) -> DataFrame:
+    """``df`` dealt out so that a task has rows of one bucket only, and a bucket has as many tasks as its rows
+    ask for.
 
-
-__all__ = ["write_facts", "insert_facts", "write_table", "append_table", "write_staging", "write_findings",
-           "write_batch", "replace_table",
-           "write_automation", "write_smartsense"]
+    A count by partition and bucket (a few rows) says over how many tasks a bucket is spread; a row's place
+    among them comes from a hash of the row. Equal rows fall together; what is still too large for a task,
+    such as one row repeated over and over, is split by the rebalancing, and small buckets share a task.
+    """
+    bucket = F.pmod(F.hash(key), F.lit(buckets))            # the bucket that the writer puts a row in
+    rows = df.withColumn("_bucket", bucket)
+    ways = rows.groupBy(*partition, "_bucket").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_ways"))
+    own = [F.col(c).alias(f"_of_{c}") for c in partition]
+    ways = ways.select(*own, F.col("_bucket").alias("_of_bucket"), "_ways")
+    same = F.col("_bucket") == F.col("_of_bucket")
+    for c in partition:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    if fits_broadcast(ways):
+        ways = F.broadcast(ways)
+    salted = rows.join(ways, same, "left").withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_ways")))
+    return salted.hint("rebalance", *partition, "_bucket", "_salt").select(*df.columns)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str, partition: tuple[str, ...] = (),
+                   fmt: str = "orc", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Catalog table ``table`` at ``path``, bucketed and sorted by ``key``; a bucket is one or more sorted
+    files, written by as many tasks."""
+    writer = deal_buckets(df, buckets, key, list(partition), rows_per_file).write.mode("overwrite").format(fmt)
+    if partition:
+        writer = writer.partitionBy(*partition)
+    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
+def write_automation(df: DataFrame, table: str, path: str, fmt: str = "orc",
+                     rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Automation side table: 3 buckets on CaseNum."""
+    write_bucketed(_conform(df, AUTOMATION_SCHEMA), table, path, 3, "CaseNum", (), fmt, rows_per_file)
+
+
+def write_smartsense(df: DataFrame, table: str, path: str, fmt: str = "orc",
+                     rows_per_file: int = ROWS_PER_FILE) -> None:
+    """SmartSense side table: partitioned by Priority, 2 buckets on CaseNum; a priority that holds most rows is
+    written by many tasks."""
+    write_bucketed(_conform(df, SMARTSENSE_SCHEMA), table, path, 2, "CaseNum", ("Priority",), fmt, rows_per_file)
+
+
+__all__ = ["write_facts", "replace_table", "write_staging", "write_findings", "write_batch", "deal_buckets",
+           "write_bucketed", "write_automation", "write_smartsense"]

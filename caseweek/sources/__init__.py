@@ -1,13 +1,12 @@
 """Sources: the weekly extract scan and the warehouse table scans."""
 
-from .extract import (extract_fields, extract_reader, read_extract, scan_options, split_refused,
-                      with_raw_line, write_extract)
-from .tables import (load_or_empty, read_dimension, read_facts, read_partition,
-                     read_partitions, read_staging, scope_partitions)
+from .extract import (DROP, drop_column, extract_fields, extract_reader, read_extract, refused_findings, refused_rows,
+                      scan_options, split_refused, with_raw_line, write_extract)
+from .tables import (fact_versions, read_accounts, read_dimension, read_facts, read_partition, read_partitions,
+                     read_staging, scope_partitions)
 
 __all__ = [
-    "extract_fields", "extract_reader", "read_extract", "scan_options", "split_refused",
-    "with_raw_line", "write_extract", "load_or_empty",
-    "read_dimension", "read_facts", "read_partition", "read_partitions", "read_staging",
-    "scope_partitions",
+    "DROP", "drop_column", "extract_fields", "extract_reader", "read_extract", "refused_findings", "refused_rows", "scan_options",
+    "split_refused", "with_raw_line", "write_extract", "fact_versions", "read_accounts", "read_dimension",
+    "read_facts", "read_partition", "read_partitions", "read_staging", "scope_partitions",
 ]

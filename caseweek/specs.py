@@ -102,6 +102,10 @@ class RuleSpec:
     missing: tuple[str, ...] = field(default=())   # ids that must all be null
 
 
+# The finding of a line whose fields don't fit the extract layout (such a line is refused).
+MISFIT_RULE = RuleSpec("X1", (), "The line doesn't have the fields of the extract layout.")
+
+
 # ---- Fixed values: record-quality rules, in evaluation order ------------------
 RULES = [
     RuleSpec("R1", ("Undetermined at this time",),

@@ -2,15 +2,16 @@
 
 A file-stream source with an ``availableNow`` trigger: each run picks up the
 files not yet committed in the checkpoint, loads them through ``load_frame``
-in ``foreachBatch`` and archives them. A drop is one file. The files of a
-micro-batch are loaded one after another, oldest first (then by name), so
-the result doesn't depend on how many files a micro-batch takes; with the
+in ``foreachBatch`` and archives them. A drop is one file. All files of a
+micro-batch are read once and loaded in one pass, with the rows that loading
+them one after another, oldest first (then by name), would leave; so the
+result doesn't depend on how many files a micro-batch takes. With the
 default mode ``upsert`` a later file replaces a case within its week.
 
-Findings, refused rows and ledger rows belong to a load, named by the
-stream's id (which its checkpoint keeps), the micro-batch and the file's
-place in it; two inboxes, or one with a new checkpoint, never share a name.
-A load's date for cases without open date is stored before it starts. So a
+Findings, refused rows and ledger rows belong to a drop, named by the
+stream's id (which its checkpoint keeps), the micro-batch and the file; two
+inboxes, or one with a new checkpoint, never share a name. A micro-batch's
+date for cases without open date is stored before it starts. So a
 micro-batch replayed after a failure, even in another week, writes the same
 rows to the same places instead of adding them twice.
 """
@@ -20,28 +21,27 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions import run_stamp
-from ..plans.jobs import Warehouse, load_frame
+from ..plans.jobs import Warehouse, load_frame, write_ledger
 from ..session import path_exists, spread
 from ..sinks import write_batch
-from ..sources import scan_options, with_raw_line
+from ..sources import drop_column, scan_options, with_raw_line
 
 
 def ledger_path(wh: Warehouse) -> str:
-    """(batch, query_id, batch_id, file, run_date yyyyMMdd, rows) of every load."""
-    return f"{wh.root}/processed"
+    """(batch, query_id, batch_id, file, time, run_date yyyyMMdd, rows) of every drop that was loaded."""
+    return wh.ledger
 
 
 def dates_path(wh: Warehouse) -> str:
-    """(batch, as_of) of every load that was begun."""
+    """(batch, as_of) of every micro-batch that was begun."""
     return f"{wh.root}/processed_dates"
 
 
 def _date_of(spark: SparkSession, wh: Warehouse, label: str, as_of: _dt.date | None) -> _dt.date:
-    """The date that the load began with, stored when it begins first."""
+    """The date that the micro-batch began with, stored when it begins first."""
     if path_exists(spark, f"{dates_path(wh)}/batch={label}"):
         stored = spark.read.format(wh.fmt).load(f"{dates_path(wh)}/batch={label}").first()
         if stored:
@@ -54,35 +54,30 @@ def _date_of(spark: SparkSession, wh: Warehouse, label: str, as_of: _dt.date | N
 def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint: str,
                  archive: str | None = None, mode: str = "upsert",
                  as_of: _dt.date | None = None, sep: str = ",",
-                 max_files_per_trigger: int | None = None) -> None:
-    """Run one availableNow pass over ``inbox`` and wait for it to finish.
+                 max_files_per_trigger: int | None = None, drops: str = "file") -> str:
+    """Run one availableNow pass over ``inbox``, wait for it to finish and return the run's id.
 
     ``max_files_per_trigger`` splits a backlog of drops into several
-    micro-batches; the rows are the same for any number.
+    micro-batches; the rows are the same for any number. With ``drops="folder"``
+    the files of a folder are one drop, and drops are ordered by folder name.
     """
     stream = scan_options(spark.readStream, sep)
     if archive:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = stream.csv(inbox).select("*", F.col("_metadata.file_path").alias("_file"),
-                                   F.col("_metadata.file_modification_time").alias("_time"))
+    raw = stream.csv(inbox).select("*", drop_column(drops))
     started, query_id = threading.Event(), []
 
     def _load(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        # one row a file: bounded by the drops of a micro-batch
-        files = sorted((r["_time"], r["_file"]) for r in batch.select("_time", "_file").distinct().collect())
-        for place, (_, file) in enumerate(files):
-            label = f"{query_id[0]}-{batch_id}-{place}"
-            extract = with_raw_line(spread(batch.where(F.col("_file") == file)))
-            loaded = load_frame(spark, extract, wh, mode=mode, as_of=_date_of(spark, wh, label, as_of),
-                                batch_label=label)
-            ledger = spark.range(1).select(
-                F.lit(query_id[0]).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"),
-                F.lit(file).alias("file"), run_stamp(F.current_date()).alias("run_date"),
-                F.lit(loaded.rows).cast("long").alias("rows"), F.lit(label).alias("batch"))
-            write_batch(ledger, ledger_path(wh), wh.fmt)
+        label = f"{query_id[0]}-{batch_id}"
+        drops = with_raw_line(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            load_frame(spark, drops, wh, mode=mode, as_of=_date_of(spark, wh, label, as_of), batch_label=label)
+            write_ledger(spark, wh, drops, label, query_id[0], batch_id)
+        finally:
+            drops.unpersist()
 
     query = (raw.writeStream.foreachBatch(_load)
              .option("checkpointLocation", checkpoint)
@@ -90,3 +85,4 @@ def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint:
     query_id.append(str(query.id))
     started.set()
     query.awaitTermination()
+    return str(query.runId)

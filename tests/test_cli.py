@@ -7,7 +7,8 @@ from caseweek import testbed
 from caseweek.__main__ import main
 from caseweek.session import work_path
 from caseweek.sinks import write_staging
-from caseweek.sources import read_facts, write_extract
+from caseweek.schemas import NAME_DIM_SCHEMA
+from caseweek.sources import read_dimension, read_facts, write_extract
 
 from conftest import SF
 
@@ -25,7 +26,7 @@ def test_cli_load_update_bootstrap(spark):
     write_staging(part.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("ID")),
                   f"{root}/products", ",")
     assert main(["bootstrap", "--warehouse", f"{root}/wh2", "--products", f"{root}/products"]) == 0
-    assert spark.read.orc(f"{root}/wh2/product").count() == part.select("p_name").distinct().count()
+    assert read_dimension(spark, f"{root}/wh2/product", NAME_DIM_SCHEMA).count() == part.select("p_name").distinct().count()
 
 
 def test_cli_needs_a_file_for_loads():

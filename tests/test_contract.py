@@ -1,6 +1,8 @@
 """Driver contract: entry runs, every query has an oracle."""
 
 import __spark_entry__ as entry_mod
+from caseweek.catalogue import QUERIES
+from caseweek.oracle import oracle_queries
 
 
 def test_entry_runs(spark):
@@ -10,4 +12,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
