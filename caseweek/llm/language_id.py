@@ -166,3 +166,32 @@ def language_column(text: Column, profiles: dict[str, list[int]], size: int = PR
             yield pd.DataFrame([identifier.identify(t) for t in texts], columns=["lang_pred", "score", "fit"])
 
     return identified(text)
+
+
+#: Letters from which a text's fit is judged in full; of a shorter text in proportion less is asked.
+FULL = 400
+#: Quantile of the fits of the rows that teach, and the share of it that is asked of a text.
+QUANTILE, SHARE = 0.01, 0.8
+#: Asked where a language has no rows of that many letters.
+LEAST_FIT = 0.02
+
+
+def letters(text: Column) -> Column:
+    """Letters of a text."""
+    return F.coalesce(F.length(F.regexp_replace(text, r"\P{L}+", "")), F.lit(0))
+
+
+def fit_bounds(found: DataFrame) -> dict[str, float]:
+    """Least fit of each language, from all rows ``(lang, n_letters, found)`` whose language is known and found
+    right: a low quantile of their fits, less a margin. One figure a language comes to the driver."""
+    right = found.filter((F.col("lang") == F.col("found.lang_pred")) & (F.col("n_letters") >= FULL))
+    rows = right.groupBy("lang").agg(F.percentile_approx("found.fit", QUANTILE, F.lit(100_000)).alias("fit")).collect()
+    return {r["lang"]: SHARE * r["fit"] for r in rows}
+
+
+def is_language(found: Column, n_letters: Column, bounds: dict[str, float]) -> Column:
+    """Whether a text is in the language found: it has letters and fits about as well as the rows that teach."""
+    bound = F.lit(LEAST_FIT)
+    for lang, fit in bounds.items():
+        bound = F.when(found["lang_pred"] == lang, fit).otherwise(bound)
+    return (found["lang_pred"] != "und") & (found["fit"] >= bound * F.least(F.lit(1.0), n_letters / F.lit(FULL)))

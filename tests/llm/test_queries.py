@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -195,7 +196,14 @@ def test_language_and_copy_stages_keep_the_right_rows(spark, folder):
     before = own(docs)
     docs = stored(stages["language"](spark, docs, folder), "test-queries-language")
     fits = nearest(before, before)
-    rows = [r for r, (lang, fit) in zip(before, fits, strict=True) if lang != "und" and fit >= corpus_pipeline.LEAST_FIT]
+    n_letters = [len(regex.findall(r"\p{L}", text or "")) for _, text, _ in before]
+    taught = defaultdict(list)
+    for (_, _, label), (lang, fit), n in zip(before, fits, n_letters, strict=True):
+        if label == lang and n >= 400:
+            taught[lang].append(fit)
+    bounds = {lang: 0.8 * sorted(own)[math.ceil(0.01 * len(own)) - 1] for lang, own in taught.items()}
+    rows = [r for r, (lang, fit), n in zip(before, fits, n_letters, strict=True)
+            if lang != "und" and fit >= bounds.get(lang, 0.02) * min(1, n / 400)]
     assert Counter(own(docs)) == Counter(rows) and len(rows) < len(before)
     docs = stored(stages["exact"](spark, docs, folder), "test-queries-exact")
     top = {}
@@ -208,3 +216,23 @@ def test_language_and_copy_stages_keep_the_right_rows(spark, folder):
     groups = {c for *_, c in linked(after)}
     found = own(docs)
     assert len(found) == len(groups) < len(after) and Counter(i for i, *_ in found).keys() == want.keys()
+
+
+def test_language_stage_drops_what_is_no_language_taught(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = random.Random(1)
+    gibberish = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(200)) for _ in range(5)]
+    polish = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+              "i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności. ") * 4
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja "
+               "heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään, vapauteen. ") * 4
+    texts = [*gibberish, polish, finnish, "12 34 !!", None]
+    foreign = [(-1 - k, t, None, "s", len(t or "")) for k, t in enumerate(texts)]
+    short = [(r["doc_id"] + 10**6, " ".join(r["text"].split()[:12]), None, "s", 0)
+             for r in docs.filter("lang IS NOT NULL AND length(text) > 600").limit(40).collect()]
+    kept = dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(spark.createDataFrame(foreign + short, docs.schema)), "")
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert not any(i < 0 for i in ids)
+    assert sum(i >= 10**6 for i in ids) >= 39
+    clean = docs.filter("lang IS NOT NULL AND text RLIKE '[A-Za-z]'")
+    assert kept.filter("doc_id BETWEEN 0 AND 999999").count() >= 0.995 * clean.count()
