@@ -267,10 +267,12 @@ def compact_dimensions(spark: SparkSession, wh: Warehouse) -> None:
 
 def remove_unused(spark: SparkSession, wh: Warehouse, keep_versions: int = 2, older_than_hours: float = 24.0) -> int:
     """Delete the folders of facts and dimensions that none of the newest versions lists. How many went."""
-    gone = fact_versions(spark, wh.facts).clean(keep_versions, older_than_hours)
+    gone, members = fact_versions(spark, wh.facts).clean(keep_versions, older_than_hours), set()
     for name in ("account", *(s.name for s in SURROGATE_DIMENSIONS)):
-        gone += VersionedTable(spark, wh.dimension(name)).clean(keep_versions, older_than_hours)
-    return gone
+        table = VersionedTable(spark, wh.dimension(name))
+        gone += table.clean(keep_versions, older_than_hours)
+        members |= {f.path.split("/")[2] for f in table.listed(keep_versions) if f.path.startswith(f"../{MEMBERS}/")}
+    return gone + VersionedTable(spark, f"{wh.root}/{MEMBERS}").drop_others(members, older_than_hours)
 
 
 # ---- Fixed values: staging text layouts (separator, header line) -------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,9 +72,32 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _work_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/caseweek-work"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the shared root for one job's tables."""
-    return f"{shared_root(spark)}/caseweek-work/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared root for one job's tables, among those of this application."""
+    return f"{_work_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_work(spark: SparkSession, others_older_than_hours: float | None = None) -> int:
+    """Delete the working tables of this application, once its results have been read or written elsewhere; with
+    an age also those that other applications left behind and added nothing to for that long. How many
+    applications' folders went."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return 0
+    gone = 0
+    for status in files.listStatus(root):
+        own = status.getPath().getName() == spark.sparkContext.applicationId
+        old = (others_older_than_hours is not None
+               and status.getModificationTime() <= (time.time() - 3600 * others_older_than_hours) * 1000)
+        if own or old:
+            files.delete(status.getPath(), True)
+            gone += 1
+    return gone
 
 
 def pin(df: DataFrame) -> DataFrame:

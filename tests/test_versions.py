@@ -114,6 +114,27 @@ def test_unused_folders_are_removed(spark, tmp_path):
     assert snapshot(read_facts(spark, wh.facts)) == [(2017, "06-09", 1, 3)]
 
 
+def test_unused_members_are_removed_and_used_ones_stay(spark, tmp_path):
+    wh = Warehouse(str(tmp_path / "wh"))
+    for names in ("ab", "cd"):
+        grow_surrogates(spark, wh, spark.createDataFrame([("product", n) for n in names], "dimension string, member string"))
+    os.makedirs(tmp_path / "wh/members/load=left-behind")
+    before = sorted(map(str, read_surrogates(spark, wh).collect()))
+    assert remove_unused(spark, wh, older_than_hours=1) == 0 and remove_unused(spark, wh, older_than_hours=-1) == 1
+    assert sorted(map(str, read_surrogates(spark, wh).collect())) == before and len(before) == 4
+
+
+def test_working_tables_are_cleared(spark, monkeypatch, tmp_path):
+    from caseweek import session
+    monkeypatch.setattr(session, "_work_root", lambda _: str(tmp_path / "work"))
+    mine = work_path(spark, "own")
+    spark.range(3).write.parquet(mine)
+    os.makedirs(tmp_path / "work/other-application/table")
+    assert session.clear_work(spark) == 1 and not os.path.exists(mine)
+    assert os.path.exists(tmp_path / "work/other-application")
+    assert session.clear_work(spark, others_older_than_hours=1) == 0 and session.clear_work(spark, others_older_than_hours=-1) == 1
+
+
 # ---- loads at once ---------------------------------------------------------------------------
 
 def test_two_loads_at_once_give_dense_unique_ids(spark, tmp_path, monkeypatch):
