@@ -238,10 +238,8 @@ def maintain_dimensions(spark: SparkSession, wh: Warehouse, extract: DataFrame)
     drop = DROP if DROP in extract.columns else None
     added = grow_surrogates(spark, wh, batch_members(extract, drop=drop))
     changes = grow_accounts(spark, wh, batch_accounts(extract, drop))
-    # tiny and read by every lookup: keep one copy in memory (re-read from the
-    # tables if an executor holding it is lost)
-    surrogates = read_surrogates(spark, wh).persist(StorageLevel.MEMORY_AND_DISK)
-    return DimensionUpdate(surrogates, added, changes)
+    # not persisted: the lookups then share one broadcast, and the tables are small files
+    return DimensionUpdate(read_surrogates(spark, wh), added, changes)
 
 
 def compact_dimensions(spark: SparkSession, wh: Warehouse) -> None:
@@ -330,7 +328,7 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     own = (DROP,) if DROP in extract.columns else ()
     scanned = extract.persist(StorageLevel.MEMORY_AND_DISK)
     cases, refused = split_refused(scanned)
-    coded = dims = None
+    coded = None
     try:
         dims = maintain_dimensions(spark, wh, cases)
         # coded rows feed both the fact and the findings write: code once
@@ -353,8 +351,6 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     finally:
         if coded is not None:
             coded.unpersist()
-        if dims is not None:
-            dims.surrogates.unpersist()
         scanned.unpersist()
 
 
