@@ -207,3 +207,25 @@ def test_counts_start_at_fresh_lines(spark, fan_out):
     assert len(found) == len(want) == 4 and set(found) == want
     runs.levels = [[run.withColumn("fresh", F.col("fresh") & (F.col("h1") != 3)) for run in runs.runs()]]
     assert {r["h1"] for r in runs.common(3).collect()} == {1, 2, 5}  # a count that nothing started is none
+
+
+def test_runs_are_joined_and_merged_as_they_lie(spark):
+    runs = line_dedup.LevelledRuns(fan_out=9)
+    for k in range(3):
+        runs.add(spark.range(4000).selectExpr("id", f"id % {500 + 100 * k} AS h1", "id % 7 AS h2"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    marked = plan(runs._marked(runs.runs()[-1].select("h1", "h2", "n", "top")))
+    assert marked.count("LeftAnti") == 3 and "Exchange" not in marked and "Sort [" not in marked
+    assert "Exchange" not in plan(runs._merged(runs.runs())) and "Exchange" not in plan(runs.common(3))
+    assert all(len(run.inputFiles()) <= runs.buckets for run in runs.runs())
+    assert spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering") == "false"  # of the runs' session alone
+    tables = list(runs.tables)
+    runs.drop()
+    assert len(tables) == 5 and not any(spark.catalog.tableExists(t) for t in tables)
+
+
+def test_batches_grow_with_the_entries():
+    some = [line_dedup.batches_for(n) for n in (0, 10 ** 6, 10 ** 7, 10 ** 9, 10 ** 12)]
+    assert some[:2] == [4, 4] and some == sorted(some) and some[2] < some[3] < some[4] < 30
