@@ -181,7 +181,8 @@ def grow_accounts(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> int:
             current = _read_accounts(spark, path, wh.fmt, now)
             folder, size = table.new_folder(now), Observation()
             changed = changed_accounts(current, batch, small).select("id", "name")
-            changed = changed.coalesce(1) if small else changed            # one file of at most what fits a broadcast
+            # few files; a coalesce(1) would pull the join and its sorts of all partitions into the one writing task
+            changed = changed.hint("rebalance") if small else changed
             (changed.observe(size, F.count(F.lit(1)).alias("n"), F.sum(row_bytes(changed)).alias("bytes"))
              .write.format(wh.fmt).save(f"{path}/{folder}"))
             n, bytes_ = size.get["n"], size.get["bytes"] or 0    # counted while it was written

@@ -246,6 +246,25 @@ def test_accounts_of_plain_files_take_changes(spark, tmp_path):
     assert sorted(map(tuple, read_accounts(spark, wh).collect())) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_the_join_of_account_changes_is_not_one_task(spark, tmp_path):
+    wh = Warehouse(str(tmp_path / "wh"))
+    base = spark.range(5000).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("n"), "id").alias("name"))
+    sent = base.where("id < 4000").select("id", F.concat(F.col("name"), F.lit(" Ltd")).alias("name"))
+    plain = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        assert (grow_accounts(spark, wh, base), grow_accounts(spark, wh, sent.repartition(4))) == (5000, 4000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    names = {f: len([n for n in os.listdir(tmp_path / "wh" / "account" / f) if n.endswith(".orc")])
+             for f in os.listdir(tmp_path / "wh" / "account") if f.startswith("load=")}
+    assert all(n > 1 for n in names.values()), names
+    assert read_accounts(spark, wh).where("name LIKE '% Ltd'").count() == 4000
+
+
 # ---- K12: drops in one pass ------------------------------------------------------------------
 
 def five_drops(spark, root):
