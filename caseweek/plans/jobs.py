@@ -163,6 +163,8 @@ def grow_surrogates(spark: SparkSession, wh: Warehouse, members: DataFrame) -> d
 #: Changed accounts, as a share of the base, and change files after which the account table is written anew.
 COMPACT_SHARE = 0.25
 COMPACT_FILES = 64
+#: Parts that a change of at most what fits a broadcast is dealt into before AQE joins the small ones.
+CHANGE_PARTS = 8
 
 
 def grow_accounts(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> int:
@@ -182,7 +184,7 @@ def grow_accounts(spark: SparkSession, wh: Warehouse, batch: DataFrame) -> int:
             folder, size = table.new_folder(now), Observation()
             changed = changed_accounts(current, batch, small).select("id", "name")
             # few files; a coalesce(1) would pull the join and its sorts of all partitions into the one writing task
-            changed = changed.hint("rebalance") if small else changed
+            changed = changed.hint("rebalance", CHANGE_PARTS) if small else changed
             (changed.observe(size, F.count(F.lit(1)).alias("n"), F.sum(row_bytes(changed)).alias("bytes"))
              .write.format(wh.fmt).save(f"{path}/{folder}"))
             n, bytes_ = size.get["n"], size.get["bytes"] or 0    # counted while it was written
@@ -327,7 +329,8 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     as_of = as_of or _dt.date.today()
     label = batch_label or f"{_dt.datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
     own = (DROP,) if DROP in extract.columns else ()
-    scanned = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    held = extract.storageLevel.useMemory or extract.storageLevel.useDisk     # by the caller, who reads it again later
+    scanned = extract if held else extract.persist(StorageLevel.MEMORY_AND_DISK)
     cases, refused = split_refused(scanned)
     coded = None
     try:
@@ -352,7 +355,8 @@ def load_frame(spark: SparkSession, extract: DataFrame, wh: Warehouse, *, mode:
     finally:
         if coded is not None:
             coded.unpersist()
-        scanned.unpersist()
+        if not held:
+            scanned.unpersist()
 
 
 def _store_facts(spark: SparkSession, wh: Warehouse, facts: DataFrame, touched: DataFrame, mode: str) -> None:

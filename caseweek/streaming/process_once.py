@@ -30,6 +30,12 @@ from ..sinks import write_batch
 from ..sources import drop_column, scan_options, with_raw_line
 
 
+#: The row coding as one generated method is larger than the 8,000 bytes that HotSpot compiles and would be
+#: interpreted; beyond the limit Spark runs each projection by itself, in small methods. Set in the stream's own
+#: session, not in the caller's.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def ledger_path(wh: Warehouse) -> str:
     """(batch, query_id, batch_id, file, time, run_date yyyyMMdd, rows) of every drop that was loaded."""
     return wh.ledger
@@ -71,6 +77,7 @@ def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint:
 
     def _load(batch: DataFrame, batch_id: int) -> None:
         started.wait()
+        batch.sparkSession.conf.set(*METHOD_LIMIT)
         label = f"{query_id[0]}-{batch_id}"
         drops = with_raw_line(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:

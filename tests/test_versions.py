@@ -1,6 +1,7 @@
 """Versioned tables: weeks put in place at once, loads side by side, account changes, drops in one pass."""
 
 import os
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,6 +307,27 @@ def test_five_files_in_one_pass_equal_file_by_file(spark, mode):
     assert count[0] <= count[1] + 4
 
 
+def test_a_drop_is_read_once_and_coded_in_compiled_methods(spark, monkeypatch):
+    module = sys.modules["caseweek.streaming.process_once"]
+    root, seen = work_path(spark, "t-once"), {}
+    extract(spark, [(c, "20170605 010000", "X-1", "a", "c", "2.0") for c in range(9)], f"{root}/in/0")
+    load, ledger, limit = module.load_frame, module.write_ledger, "spark.sql.codegen.hugeMethodLimit"
+
+    def loading(session, rows, *args, **kw):
+        seen["limit"] = int(rows.sparkSession.conf.get(limit))
+        return load(session, rows, *args, **kw)
+
+    def entering(session, wh, rows, *args):
+        seen["held"] = rows.storageLevel.useMemory
+        return ledger(session, wh, rows, *args)
+    monkeypatch.setattr(module, "load_frame", loading)
+    monkeypatch.setattr(module, "write_ledger", entering)
+    before = spark.conf.get(limit)
+    process_once(spark, f"{root}/in/*/*.csv", Warehouse(f"{root}/wh"), checkpoint=f"{root}/cp", as_of=AS_OF)
+    assert seen == {"limit": 8000, "held": True}
+    assert spark.conf.get(limit) == before
+
+
 def test_drops_of_several_files_are_folders(spark):
     root = work_path(spark, "t-folders")
     for k, batch in enumerate(("old", "new")):
