@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import EXTRACT_FIELDS, EXTRACT_LAYOUT, EXTRACT_SCHEMA
-from ..session import spread
+from ..session import fits_broadcast, spread
 from ..specs import MISFIT_RULE
 
 # Column of a scan that keeps the raw line of a row that doesn't fit the layout: too few or too many
@@ -17,6 +18,8 @@ RAW_LINE = "rawLine"
 # Column with the time and name of the file that a row came from. Where an extract has it, each file is a
 # drop of its own and later ones come after earlier ones.
 DROP = "_drop"
+# Column with the place of a row's drop among the extract's drops, 1 for the first.
+DROP_NUMBER = "_drop_number"
 
 # Why a line is refused.
 MISFIT, NO_KEY = "fields", "case number"
@@ -54,6 +57,20 @@ def drop_column(by: str = "file") -> Column:
     return F.struct(time.alias("time"), path.alias("file")).alias(DROP)
 
 
+def number_drops(extract: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the extract with ``DROP_NUMBER``, the kept list of its drops, which the caller releases).
+
+    Numbers stand for drops wherever the first or the last one is looked for: Spark aggregates a number in a
+    hash table that has one entry a key, while for time and name it would sort all rows, each with its file's
+    path. The list has a row for each file.
+    """
+    own = F.col(DROP).alias("_of_drop")
+    listed = extract.select(own).where("_of_drop IS NOT NULL").distinct().select(
+        "_of_drop", F.row_number().over(Window.orderBy("_of_drop")).alias(DROP_NUMBER)).persist(StorageLevel.MEMORY_AND_DISK)
+    numbers = F.broadcast(listed) if fits_broadcast(listed.select("_of_drop.*")) else listed
+    return extract.join(numbers, F.col(DROP) == F.col("_of_drop"), "left").select(*extract.columns, DROP_NUMBER), listed
+
+
 def with_raw_line(raw: DataFrame) -> DataFrame:
     """Extract fields plus ``rawLine`` (and the drop, where the scan has it)."""
     own = [c for c in (RAW_LINE, DROP) if c in raw.columns]
@@ -78,7 +95,7 @@ def split_refused(extract: DataFrame) -> tuple[DataFrame, DataFrame]:
     line, refused = fields, refused_rows(extract)
     if RAW_LINE in extract.columns:
         line = F.coalesce(F.col(RAW_LINE), fields)
-    own = [c for c in (DROP,) if c in extract.columns]
+    own = [c for c in (DROP, DROP_NUMBER) if c in extract.columns]
     return extract.where(~refused).select(*EXTRACT_FIELDS, *own), extract.where(refused).select(
         line.alias("line"), F.when(F.col("caseNum").isNull(), NO_KEY).otherwise(MISFIT).alias("reason"),
         F.col("caseNum").alias("case_num"), *own)

@@ -34,6 +34,10 @@ from ..sources import drop_column, scan_options, with_raw_line
 #: interpreted; beyond the limit Spark runs each projection by itself, in small methods. Set in the stream's own
 #: session, not in the caller's.
 METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+#: Kept rows are stored as serialized batches, and Java's object streams hold on to the last 100 batches that a task
+#: writes or reads, outside the memory that Spark counts. With Spark's 10,000 rows a batch that is all rows of a
+#: 128 MB split, in plain form, for each task. Also set in the stream's own session.
+BATCH_ROWS = ("spark.sql.inMemoryColumnarStorage.batchSize", "500")
 
 
 def ledger_path(wh: Warehouse) -> str:
@@ -77,7 +81,8 @@ def process_once(spark: SparkSession, inbox: str, wh: Warehouse, *, checkpoint:
 
     def _load(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        batch.sparkSession.conf.set(*METHOD_LIMIT)
+        for setting in (METHOD_LIMIT, BATCH_ROWS):
+            batch.sparkSession.conf.set(*setting)
         label = f"{query_id[0]}-{batch_id}"
         drops = with_raw_line(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:

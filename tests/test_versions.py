@@ -13,7 +13,8 @@ from caseweek.plans import (Warehouse, compact_accounts, grow_accounts, grow_sur
 from caseweek.schemas import EXTRACT_LAYOUT, FACT_COLUMNS, FACT_SCHEMA
 from caseweek.session import fits_broadcast, work_path
 from caseweek.sinks import write_automation, write_facts, write_smartsense
-from caseweek.sources import fact_versions, read_extract, read_facts, split_refused, write_extract
+from caseweek.sources import (DROP_NUMBER, fact_versions, number_drops, read_extract, read_facts, split_refused,
+                              write_extract)
 from caseweek.streaming import ledger_path, process_once
 from caseweek.versions import Conflict, Folder, VersionedTable
 
@@ -328,6 +329,54 @@ def test_a_drop_is_read_once_and_coded_in_compiled_methods(spark, monkeypatch):
     assert spark.conf.get(limit) == before
 
 
+def test_kept_rows_are_stored_in_small_batches(spark, monkeypatch):
+    module = sys.modules["caseweek.streaming.process_once"]
+    root, seen, size = work_path(spark, "t-batches"), {}, "spark.sql.inMemoryColumnarStorage.batchSize"
+    extract(spark, [(c, "20170605 010000", "X-1", "a", "c", "2.0") for c in range(4000)], f"{root}/in/0")
+    ledger, before = module.write_ledger, spark.conf.get(size)
+
+    def entering(session, wh, rows, *args):
+        kept = rows._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers()
+        seen["partitions"], seen["batches"] = kept.getNumPartitions(), kept.count()
+        return ledger(session, wh, rows, *args)
+    monkeypatch.setattr(module, "write_ledger", entering)
+    process_once(spark, f"{root}/in/*/*.csv", Warehouse(f"{root}/wh"), checkpoint=f"{root}/cp", as_of=AS_OF)
+    assert seen["partitions"] <= 4 and seen["batches"] >= 8       # a task of 1,000 rows holds one batch otherwise
+    assert spark.conf.get(size) == before
+
+
+@pytest.mark.parametrize("mode", ["upsert", "overwrite"])
+def test_the_first_and_last_drop_are_found_without_sorting_all_rows(spark, monkeypatch, mode):
+    root, plans = work_path(spark, "t-numbers"), {}
+    five_drops(spark, root)
+
+    def seeing(name, plan_of):
+        run = getattr(jobs, name)
+
+        def wrapped(*args, **kw):
+            out = run(*args, **kw)
+            plans[name] = plan_of(out)._jdf.queryExecution().executedPlan().toString()
+            return out
+        monkeypatch.setattr(jobs, name, wrapped)
+    seeing("batch_members", lambda members: members)
+    seeing("last_drops", lambda rows: rows)
+    process_once(spark, f"{root}/in/*/*.csv", Warehouse(f"{root}/wh"), checkpoint=f"{root}/cp", as_of=AS_OF, mode=mode)
+    assert set(plans) == {"batch_members", "last_drops"}
+    for name, plan in plans.items():        # an aggregate of a struct or a text sorts its rows first
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, (name, plan)
+
+
+def test_drops_are_numbered_in_order(spark):
+    times = "timestamp '2020-01-02'", "timestamp '2020-01-01'"
+    rows = spark.sql(f"""SELECT 1 AS n, named_struct('time', {times[0]}, 'file', 'a') AS _drop UNION ALL
+        SELECT 2, named_struct('time', {times[1]}, 'file', 'b') UNION ALL SELECT 3, named_struct('time', {times[1]}, 'file', 'a')
+        UNION ALL SELECT 4, named_struct('time', {times[1]}, 'file', 'b') UNION ALL SELECT 5, NULL""")
+    numbered, listed = number_drops(rows)
+    assert {r["n"]: r[DROP_NUMBER] for r in numbered.collect()} == {1: 3, 2: 2, 3: 1, 4: 2, 5: None}
+    assert numbered.columns == ["n", "_drop", DROP_NUMBER] and listed.count() == 3
+    listed.unpersist()
+
+
 def test_drops_of_several_files_are_folders(spark):
     root = work_path(spark, "t-folders")
     for k, batch in enumerate(("old", "new")):
